@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tracewright.functions.ids import trace_key
 from tracewright.functions.spans import has_error_tag, span_service
 from tracewright.operators import adjust as A
+from tracewright.operators import report as R
+from tracewright.operators import trace as T
 from tracewright.operators.flat import flat_spans
 from tracewright.plans import oracle as O
 from tracewright.sources.events import spans_table
@@ -158,3 +160,193 @@ def adjuster_chain(spark, sf_dir):
     """A1: Finagle -> Issue 343 -> prune, in list order, fused into one projection."""
     chain = A.chain([A.finagle_adjuster(), A.issue343_adjuster(), A.prune(tag_keys=PRUNE_TAG_KEYS)])
     return flat_spans(chain(_spans(spark, sf_dir)))
+
+
+# ------------------------------------------------------- A12 - A15 ----------
+PRUNE_ANNOTATIONS = ("finagle.flush",)
+
+
+@query(
+    "prune_tags",
+    O.with_spans(
+        "p AS (SELECT * REPLACE ("
+        "list_filter(binary_annotations, lambda t: t.key IS DISTINCT FROM 'user.email') AS binary_annotations,"
+        " list_filter(annotations, lambda a: a.value IS DISTINCT FROM 'finagle.flush') AS annotations) FROM spans)"
+    )
+    + O.flat_select("p"),
+)
+def prune_tags(spark, sf_dir):
+    """Drop tags and annotations by deny list."""
+    return flat_spans(A.prune(tag_keys=PRUNE_TAG_KEYS, annotation_values=PRUNE_ANNOTATIONS)(_spans(spark, sf_dir)))
+
+
+REKEY_SALT = 0x5DEECE66D
+
+
+@query(
+    "rekey_spans",
+    O.with_spans(
+        f"r AS (SELECT * REPLACE (xor(id, {REKEY_SALT}) AS id, xor(parent_id, {REKEY_SALT}) AS parent_id) FROM spans)"
+    )
+    + O.flat_select("r"),
+)
+def rekey_spans(spark, sf_dir):
+    """Consistent id rewrite (ids and parent ids)."""
+    return flat_spans(A.rekey(REKEY_SALT)(_spans(spark, sf_dir)))
+
+
+# fixed values: the alias table used by the normalize query
+SERVICE_ALIASES = {"svc-0": "frontend", "svc-5": "billing"}
+
+
+def _norm_sql(x: str) -> str:
+    base = f"CASE WHEN {x} IS NULL OR trim({x}) = '' THEN 'unknown' ELSE lower(trim({x})) END"
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in sorted(SERVICE_ALIASES.items()))
+    return f"(CASE {base} {cases} ELSE {base} END)"
+
+
+@query(
+    "normalize_service",
+    O.with_spans("n AS (" + O.endpoint_map_select("spans", _norm_sql) + ")") + O.flat_select("n"),
+)
+def normalize_service(spark, sf_dir):
+    """Normalise and alias service names in every endpoint."""
+    return flat_spans(A.normalize_services(SERVICE_ALIASES)(_spans(spark, sf_dir)))
+
+
+@query(
+    "scrub_tags",
+    O.with_spans(
+        "s AS (SELECT * REPLACE (list_transform(binary_annotations, lambda t: {'key': t.key,"
+        " 'value': regexp_replace(t.value, '[A-Za-z0-9._%+-]+@', '***@', 'g'),"
+        " 'endpoint': t.endpoint}) AS binary_annotations) FROM spans)"
+    )
+    + O.flat_select("s"),
+)
+def scrub_tags(spark, sf_dir):
+    """Mask e-mail local parts in tag values."""
+    return flat_spans(A.scrub()(_spans(spark, sf_dir)))
+
+
+# ------------------------------------------------------- whole trace --------
+@query(
+    "group_traces",
+    O.with_spans()
+    + f"""
+SELECT {O.TRACE_KEY_SQL} AS trace_key, count(*) AS n_spans,
+  count(*) FILTER (WHERE parent_id IS NULL) AS n_roots,
+  min(timestamp) AS first_timestamp, max(timestamp + duration) AS last_end,
+  CAST(sum(CASE WHEN {O.ERR_SQL} THEN 1 ELSE 0 END) AS BIGINT) AS n_error_spans,
+  count(DISTINCT {O.SVC_SQL}) AS n_services
+FROM spans GROUP BY trace_id_high, trace_id
+""",
+)
+def group_traces_q(spark, sf_dir):
+    """G1 + F4: spans grouped by trace, one summary row per trace."""
+    return T.group_traces(_spans(spark, sf_dir))
+
+
+@query(
+    "merge_by_id",
+    O.with_spans(
+        """m AS (
+  SELECT trace_id_high, trace_id, id, max(parent_id) AS parent_id,
+    coalesce(max(CASE WHEN name <> '' THEN name END), '') AS name,
+    min(timestamp) AS timestamp, max(duration) AS duration,
+    list_distinct(flatten(list(annotations))) AS annotations,
+    list_distinct(flatten(list(binary_annotations))) AS binary_annotations
+  FROM half_spans GROUP BY trace_id_high, trace_id, id)"""
+    )
+    + O.flat_select("m"),
+)
+def merge_by_id_q(spark, sf_dir):
+    """A4 + A10: client and server halves of a span merged into one."""
+    return flat_spans(T.merge_by_id(_spans(spark, sf_dir, split_halves=True)))
+
+
+SAMPLE_MIN_DURATION = 400_000
+
+
+@query(
+    "sample_traces",
+    O.with_spans(
+        f"""k AS (SELECT trace_id_high, trace_id FROM spans GROUP BY trace_id_high, trace_id
+  HAVING coalesce(max(duration) >= {SAMPLE_MIN_DURATION}, FALSE) OR bool_or({O.ERR_SQL}))""",
+        "s AS (SELECT spans.* FROM spans SEMI JOIN k USING (trace_id_high, trace_id))",
+    )
+    + O.flat_select("s"),
+)
+def sample_traces_q(spark, sf_dir):
+    """Keep whole traces that are slow or failed."""
+    return flat_spans(T.sample_traces(_spans(spark, sf_dir), SAMPLE_MIN_DURATION))
+
+
+SESSION_GAP = 1_800_000_000  # 30 minutes
+
+
+@query(
+    "trace_sessions",
+    O.with_spans(
+        "bf AS (" + O.backfill_select("spans") + ")",
+        """l AS (SELECT trace_id_high, trace_id, timestamp,
+    lag(timestamp) OVER (PARTITION BY trace_id_high, trace_id ORDER BY timestamp) AS prev
+  FROM bf WHERE timestamp IS NOT NULL)""",
+        f"""g AS (SELECT *, sum(CASE WHEN prev IS NULL OR timestamp - prev >= {SESSION_GAP} THEN 1 ELSE 0 END)
+    OVER (PARTITION BY trace_id_high, trace_id ORDER BY timestamp, prev ROWS UNBOUNDED PRECEDING) AS sid FROM l)""",
+    )
+    + f"""SELECT {O.TRACE_KEY_SQL} AS trace_key, min(timestamp) AS session_start,
+  max(timestamp) + {SESSION_GAP} AS session_end, count(*) AS n_spans
+FROM g GROUP BY trace_id_high, trace_id, sid""",
+)
+def trace_sessions_q(spark, sf_dir):
+    """Per-trace sessions with a 30 minute gap (backfilled timestamps)."""
+    return T.trace_sessions(A.backfill_timestamp_duration(_spans(spark, sf_dir)), SESSION_GAP)
+
+
+# ------------------------------------------------------------ reports -------
+HOUR = 3_600_000_000
+
+
+@query(
+    "spans_per_window",
+    O.with_spans("bf AS (" + O.backfill_select("spans") + ")")
+    + f"""SELECT timestamp - (timestamp % {HOUR}) AS window_start, {O.SVC_SQL} AS service,
+  count(*) AS n_spans, CAST(sum(CASE WHEN {O.ERR_SQL} THEN 1 ELSE 0 END) AS BIGINT) AS n_errors,
+  CAST(sum(duration) AS BIGINT) AS sum_duration
+FROM bf WHERE timestamp IS NOT NULL GROUP BY 1, 2""",
+)
+def spans_per_window_q(spark, sf_dir):
+    """Spans per hour and service."""
+    return R.spans_per_window(A.backfill_timestamp_duration(_spans(spark, sf_dir)), "1 hour")
+
+
+DAY = 86_400_000_000
+
+
+@query(
+    "service_latency",
+    O.with_spans("bf AS (" + O.backfill_select("spans") + ")")
+    + f"""SELECT {O.SVC_SQL} AS service, timestamp // {DAY} AS bucket, count(*) AS n_spans,
+  CAST(sum(duration) AS BIGINT) AS sum_duration, min(duration) AS min_duration, max(duration) AS max_duration,
+  quantile_disc(duration, 0.5) AS p50_duration, quantile_disc(duration, 0.95) AS p95_duration
+FROM bf WHERE timestamp IS NOT NULL AND duration IS NOT NULL GROUP BY 1, 2""",
+)
+def service_latency_q(spark, sf_dir):
+    """Latency report per service and day."""
+    return R.service_latency(A.backfill_timestamp_duration(_spans(spark, sf_dir)), DAY)
+
+
+@query(
+    "dependency_links",
+    O.with_spans(
+        f"x AS (SELECT trace_id_high, trace_id, id, parent_id, {O.SVC_SQL} AS svc, {O.ERR_SQL} AS err FROM spans)",
+        "p AS (SELECT trace_id_high, trace_id, id, min(svc) AS svc FROM x GROUP BY 1, 2, 3)",
+    )
+    + """SELECT p.svc AS parent, c.svc AS child, count(*) AS call_count,
+  CAST(sum(CASE WHEN c.err THEN 1 ELSE 0 END) AS BIGINT) AS error_count
+FROM x c JOIN p ON c.trace_id_high = p.trace_id_high AND c.trace_id = p.trace_id AND c.parent_id = p.id
+GROUP BY 1, 2""",
+)
+def dependency_links_q(spark, sf_dir):
+    """Service dependency links (parent service -> child service)."""
+    return R.dependency_links(_spans(spark, sf_dir))

@@ -151,3 +151,26 @@ TRACE_KEY_SQL = (
     "(CASE WHEN trace_id_high <> 0 THEN lower(lpad(hex(trace_id_high), 16, '0')) ELSE '' END"
     " || lower(lpad(hex(trace_id), 16, '0')))"
 )
+
+
+SVC_SQL = (
+    "coalesce(list_min(list_transform(annotations, lambda a: a.endpoint.service_name)),"
+    " list_min(list_transform(binary_annotations, lambda t: t.endpoint.service_name)))"
+)
+ERR_SQL = "(len(list_filter(binary_annotations, lambda t: t.key = 'error')) > 0)"
+
+
+def endpoint_map_select(rel: str, fn) -> str:
+    """Rewrite every endpoint service name of ``rel`` with SQL ``fn(x)``."""
+    ep = lambda v: (
+        f"CASE WHEN {v}.endpoint IS NULL THEN NULL ELSE {{'service_name': {fn(v + '.endpoint.service_name')},"
+        f" 'ipv4': {v}.endpoint.ipv4, 'port': {v}.endpoint.port}} END"
+    )
+    return f"""
+SELECT trace_id_high, trace_id, id, parent_id, name, timestamp, duration,
+  list_transform(annotations, lambda a: {{'timestamp': a.timestamp, 'value': a.value, 'endpoint': {ep('a')}}})
+    AS annotations,
+  list_transform(binary_annotations, lambda t: {{'key': t.key, 'value': t.value,
+    'endpoint': {ep('t')}}}) AS binary_annotations
+FROM {rel}
+"""
