@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from tracewright.functions.ids import trace_key
 from tracewright.functions.spans import has_error_tag, span_service
 from tracewright.operators import adjust as A
+from tracewright.operators import decode as D
 from tracewright.operators import report as R
 from tracewright.operators import trace as T
 from tracewright.operators.flat import flat_spans
 from tracewright.plans import oracle as O
 from tracewright.sources.events import spans_table
+from tracewright.sources.messages import messages_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -350,3 +352,49 @@ GROUP BY 1, 2""",
 def dependency_links_q(spark, sf_dir):
     """Service dependency links (parent service -> child service)."""
     return R.dependency_links(_spans(spark, sf_dir))
+
+
+# ------------------------------------------------------------- decode -------
+def _decoded(spark, sf_dir, formats=None):
+    msgs = messages_table(spark, sf_dir)
+    return D.decode_messages(msgs) if formats is None else D.decode_messages(msgs, formats)
+
+
+@query(
+    "message_format_counts",
+    O.with_spans(O.MESSAGE_CTE)
+    + """SELECT CASE WHEN rule = 1 THEN 'empty' WHEN rule IN (2, 4) THEN 'thrift' WHEN rule = 3 THEN 'thrift_list'
+  ELSE 'json' END AS format, count(*) AS n_messages FROM msgs GROUP BY 1""",
+)
+def message_format_counts(spark, sf_dir):
+    """K1 + K2: messages per detected format (empty payloads included)."""
+    return D.format_counts(messages_table(spark, sf_dir))
+
+
+@query("decode_json", O.with_spans() + O.flat_select("(SELECT * FROM spans WHERE (_user_id + _day) % 20 >= 5)"))
+def decode_json(spark, sf_dir):
+    """K3: spans decoded from JSON list messages (cut messages dropped whole)."""
+    return flat_spans(_decoded(spark, sf_dir, (D.FMT_JSON,)).spans)
+
+
+@query("decode_thrift", O.with_spans() + O.flat_select("(SELECT * FROM spans WHERE (_user_id + _day) % 20 IN (3, 4))"))
+def decode_thrift(spark, sf_dir):
+    """K4 + K5: spans decoded from thrift lists and single thrift spans."""
+    return flat_spans(_decoded(spark, sf_dir, (D.FMT_THRIFT_LIST, D.FMT_THRIFT)).spans)
+
+
+@query(
+    "decode_dead_letter",
+    O.with_spans(O.MESSAGE_CTE)
+    + """SELECT CASE WHEN rule = 0 THEN 'bad_json' ELSE 'bad_thrift' END AS reason, count(*) AS n_messages
+FROM msgs WHERE rule IN (0, 2) GROUP BY 1""",
+)
+def decode_dead_letter(spark, sf_dir):
+    """K6: malformed messages kept whole in a dead-letter table, by reason."""
+    return _decoded(spark, sf_dir).dead_letters.groupBy("reason").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+@query("decode_spans", O.with_spans() + O.flat_select("(SELECT * FROM spans WHERE (_user_id + _day) % 20 NOT IN (0, 1, 2))"))
+def decode_spans(spark, sf_dir):
+    """S1 + K1-K6: the whole decode job over every message format."""
+    return flat_spans(_decoded(spark, sf_dir).spans)

@@ -174,3 +174,12 @@ SELECT trace_id_high, trace_id, id, parent_id, name, timestamp, duration,
     'endpoint': {ep('t')}}}) AS binary_annotations
 FROM {rel}
 """
+
+
+# Fixture messages (sources/messages.py): one row per message with its rule.
+MESSAGE_CTE = """msgs AS (
+  SELECT DISTINCT _user_id, _day, id // 64 AS chunk, (_user_id + _day) % 20 AS rule
+  FROM spans WHERE (_user_id + _day) % 20 <> 4
+  UNION ALL
+  SELECT _user_id, _day, id AS chunk, 4 AS rule FROM spans WHERE (_user_id + _day) % 20 = 4
+)"""
