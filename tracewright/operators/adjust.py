@@ -262,3 +262,35 @@ def adjusters_from_settings(settings: Mapping[str, object]) -> list[Adjuster]:
         if flag("finagle.adjust-issue343", False):
             out.append(issue343_adjuster())
     return out
+
+
+# --- A2/A11 with arbitrary Python: Arrow batches, guarded -------------------
+def python_adjuster(fn: Callable, name: str | None = None) -> Adjuster:
+    """A span-level adjuster written in Python over Arrow record batches.
+
+    ``fn(batch: pyarrow.RecordBatch) -> pyarrow.RecordBatch`` must keep the
+    span schema. It runs in ``mapInArrow`` (vectorised transfer, one batch at
+    a time, never a whole trace). A11: if ``fn`` raises for a batch, the batch
+    passes through unchanged and the failure is logged on the executor.
+    """
+    label = name or getattr(fn, "__name__", "python_adjuster")
+
+    def guarded_batches(batches):
+        import logging as _logging
+
+        _log = _logging.getLogger("tracewright.adjust")
+        for batch in batches:
+            try:
+                out = fn(batch)
+                if out.schema != batch.schema:
+                    raise TypeError("adjuster changed the span schema")
+                yield out
+            except Exception as exc:  # noqa: BLE001 - isolation is the point
+                _log.warning("unable to adjust spans with %s: %s", label, exc)
+                yield batch
+
+    def run(df: DataFrame) -> DataFrame:
+        return df.mapInArrow(guarded_batches, df.schema)
+
+    run.__name__ = label
+    return run

@@ -20,7 +20,12 @@ from tracewright.operators import trace as T
 from tracewright.operators.flat import flat_spans
 from tracewright.plans import oracle as O
 from tracewright.sources.events import spans_table
+from tracewright.schema import SPAN_COLUMNS
+from tracewright.session import scratch_path
+from tracewright.sources.files import message_stream, read_spans
 from tracewright.sources.messages import messages_table
+from tracewright.streaming.job import JobConfig, run_to_completion
+from tracewright.streaming.sinks import SinkConfig, check_sink, read_sink, write_spans
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -398,3 +403,54 @@ def decode_dead_letter(spark, sf_dir):
 def decode_spans(spark, sf_dir):
     """S1 + K1-K6: the whole decode job over every message format."""
     return flat_spans(_decoded(spark, sf_dir).spans)
+
+
+# --------------------------------------------------- sinks and the job ------
+@query("sink_roundtrip", O.with_spans() + O.flat_select("spans"))
+def sink_roundtrip(spark, sf_dir):
+    """C2 + C6 + S5: spans written to a parquet sink and read back."""
+    sink = SinkConfig("parquet", scratch_path(spark, "sink"))
+    check_sink(spark, sink)
+    write_spans(_spans(spark, sf_dir), sink)
+    return flat_spans(read_spans(spark, sink.path))
+
+
+_CHAIN_SQL = (
+    "a1 AS (" + O.backfill_select("(SELECT * FROM spans WHERE (_user_id + _day) % 20 NOT IN (0, 1, 2))", O.FINAGLE_PRED)
+    + ")",
+    "a2 AS (" + O.issue343_select("a1") + ")",
+)
+
+
+@query("stream_equals_batch", O.with_spans(*_CHAIN_SQL) + O.flat_select("a2"))
+def stream_equals_batch(spark, sf_dir):
+    """S4 + C1 + G2 + J1-J3: message files streamed one file per trigger
+    through decode -> Finagle -> Issue 343 -> parquet sink; the sink then holds
+    exactly what the batch job gives."""
+    root = scratch_path(spark, "stream")
+    messages_table(spark, sf_dir).repartition(4).write.mode("overwrite").parquet(f"{root}/in")
+    sink = SinkConfig("parquet", f"{root}/out")
+    cfg = JobConfig(
+        source=lambda s: message_stream(s, f"{root}/in", max_files_per_trigger=1),
+        sink=sink,
+        adjusters=[A.finagle_adjuster(), A.issue343_adjuster()],
+        dead_letter_sink=SinkConfig("parquet", f"{root}/dead"),
+        checkpoint_location=f"{root}/checkpoint",
+    )
+    run_to_completion(spark, cfg)
+    return flat_spans(read_sink(spark, sink).select(*SPAN_COLUMNS))
+
+
+def _failing_adjuster(batch):
+    raise RuntimeError("adjuster failure (test)")
+
+
+@query(
+    "adjuster_failure",
+    O.with_spans("a1 AS (" + O.backfill_select("spans", O.FINAGLE_PRED) + ")", "a2 AS (" + O.issue343_select("a1") + ")")
+    + O.flat_select("a2"),
+)
+def adjuster_failure(spark, sf_dir):
+    """A Python adjuster that raises is skipped; the chain goes on."""
+    chain = A.chain([A.finagle_adjuster(), A.python_adjuster(_failing_adjuster), A.issue343_adjuster()])
+    return flat_spans(chain(_spans(spark, sf_dir)))
