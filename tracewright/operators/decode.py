@@ -129,15 +129,23 @@ def _span_typed(s: Column) -> Column:
     )
 
 
-def _decode_json(json_msgs: DataFrame) -> DataFrame:
+def _decode_json(json_msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(per-message result, dead letters) for JSON messages.
+
+    Spans are ``null`` for a bad message, so the span side needs no filter:
+    ``explode`` of null yields no rows. A filter on a column derived from
+    ``from_json`` would be pushed below the projection and parse twice.
+    """
     text = F.expr("make_valid_utf8(cast(value as string))")
     parsed = json_msgs.select("value", F.from_json(text, JSON_SCHEMA).alias("_p"))
     ok = F.coalesce(F.col("_p").isNotNull() & F.forall("_p", _span_ok), F.lit(False))
-    return parsed.select(
+    per_message = parsed.select(
         "value",
         F.when(ok, F.transform("_p", _span_typed)).alias("spans"),
         F.when(~ok, F.lit(BAD_JSON)).alias("reason"),
     )
+    dead = parsed.filter(~ok).select("value", F.lit(BAD_JSON).alias("reason"))
+    return per_message, dead
 
 
 # -------------------------------------------------------------- thrift ------
@@ -182,34 +190,60 @@ def _thrift_batches(batches):
         )
 
 
-def _decode_thrift(thrift_msgs: DataFrame) -> DataFrame:
-    return thrift_msgs.select("value").mapInArrow(_thrift_batches, _OUT_SCHEMA)
+def _decode_thrift(thrift_msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    per_message = thrift_msgs.select("value").mapInArrow(_thrift_batches, _OUT_SCHEMA)
+    dead = per_message.filter(F.col("reason").isNotNull()).select("value", "reason")
+    return per_message, dead
 
 
 # ------------------------------------------------------------- the job ------
+def _union(dfs: list[DataFrame]) -> DataFrame:
+    out = dfs[0]
+    for d in dfs[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+def _explode_spans(per_message: DataFrame) -> DataFrame:
+    return per_message.select(F.explode("spans").alias("s")).select(*[F.col(f"s.{c}").alias(c) for c in SPAN_COLUMNS])
+
+
 @dataclass(frozen=True)
 class Decoded:
-    """Lazy results of one decode: ``per_message`` is the shared plan."""
+    """Lazy results of one decode.
 
-    per_message: DataFrame
+    ``parts`` holds, per format branch, ``(per_message, dead_letters)``;
+    ``per_message`` rows are ``(value, spans, reason)``. Use
+    :meth:`from_per_message` on a persisted per-message table (the streaming
+    job does) so both outputs read the cache instead of decoding again.
+    """
+
+    parts: tuple[tuple[DataFrame, DataFrame], ...]
+
+    @classmethod
+    def from_per_message(cls, per_message: DataFrame) -> "Decoded":
+        dead = per_message.filter(F.col("reason").isNotNull()).select("value", "reason")
+        return cls(((per_message, dead),))
+
+    @property
+    def per_message(self) -> DataFrame:
+        return _union([p for p, _ in self.parts])
 
     @property
     def spans(self) -> DataFrame:
-        good = self.per_message.filter(F.col("reason").isNull())
-        return good.select(F.explode("spans").alias("s")).select(
-            *[F.col(f"s.{c}").alias(c) for c in SPAN_COLUMNS]
-        )
+        return _union([_explode_spans(p) for p, _ in self.parts])
 
     @property
     def dead_letters(self) -> DataFrame:
-        return self.per_message.filter(F.col("reason").isNotNull()).select("value", "reason")
+        return _union([d for _, d in self.parts])
 
 
 def decode_messages(messages: DataFrame, formats: tuple[str, ...] = (FMT_JSON, FMT_THRIFT_LIST, FMT_THRIFT)) -> Decoded:
     """Split a message table by format and decode each part.
 
     Empty payloads yield no spans and no dead letter (K2). ``formats``
-    restricts which formats are decoded (others are ignored).
+    restricts which formats are decoded (others are ignored). JSON rows never
+    leave the JVM; only thrift rows cross to Python (Arrow batches).
     """
     m = messages.select("value").withColumn("_fmt", message_format())
     parts = []
@@ -218,7 +252,4 @@ def decode_messages(messages: DataFrame, formats: tuple[str, ...] = (FMT_JSON, F
     thrift_fmts = [f for f in (FMT_THRIFT_LIST, FMT_THRIFT) if f in formats]
     if thrift_fmts:
         parts.append(_decode_thrift(m.filter(F.col("_fmt").isin(*thrift_fmts))))
-    per_message = parts[0]
-    for p in parts[1:]:
-        per_message = per_message.unionByName(p)
-    return Decoded(per_message)
+    return Decoded(tuple(parts))

@@ -19,11 +19,10 @@ from tracewright.operators import report as R
 from tracewright.operators import trace as T
 from tracewright.operators.flat import flat_spans
 from tracewright.plans import oracle as O
-from tracewright.sources.events import spans_table
 from tracewright.schema import SPAN_COLUMNS
 from tracewright.session import scratch_path
 from tracewright.sources.files import message_stream, read_spans
-from tracewright.sources.messages import messages_table
+from tracewright.sources.fixtures import stored_messages, stored_spans
 from tracewright.streaming.job import JobConfig, run_to_completion
 from tracewright.streaming.sinks import SinkConfig, check_sink, read_sink, write_spans
 
@@ -44,7 +43,8 @@ def query(name: str, sql: str | None = None):
 
 
 def _spans(spark: SparkSession, sf_dir: str, split_halves: bool = False) -> DataFrame:
-    return spans_table(spark, sf_dir, split_halves=split_halves)
+    """The span table derived from ``events`` (written once per session)."""
+    return stored_spans(spark, sf_dir, split_halves=split_halves)
 
 
 # ---------------------------------------------------------------- S5 / F ----
@@ -361,7 +361,7 @@ def dependency_links_q(spark, sf_dir):
 
 # ------------------------------------------------------------- decode -------
 def _decoded(spark, sf_dir, formats=None):
-    msgs = messages_table(spark, sf_dir)
+    msgs = stored_messages(spark, sf_dir)
     return D.decode_messages(msgs) if formats is None else D.decode_messages(msgs, formats)
 
 
@@ -373,7 +373,7 @@ def _decoded(spark, sf_dir, formats=None):
 )
 def message_format_counts(spark, sf_dir):
     """K1 + K2: messages per detected format (empty payloads included)."""
-    return D.format_counts(messages_table(spark, sf_dir))
+    return D.format_counts(stored_messages(spark, sf_dir))
 
 
 @query("decode_json", O.with_spans() + O.flat_select("(SELECT * FROM spans WHERE (_user_id + _day) % 20 >= 5)"))
@@ -428,7 +428,7 @@ def stream_equals_batch(spark, sf_dir):
     through decode -> Finagle -> Issue 343 -> parquet sink; the sink then holds
     exactly what the batch job gives."""
     root = scratch_path(spark, "stream")
-    messages_table(spark, sf_dir).repartition(4).write.mode("overwrite").parquet(f"{root}/in")
+    stored_messages(spark, sf_dir).select("value").repartition(4).write.mode("overwrite").parquet(f"{root}/in")
     sink = SinkConfig("parquet", f"{root}/out")
     cfg = JobConfig(
         source=lambda s: message_stream(s, f"{root}/in", max_files_per_trigger=1),

@@ -55,10 +55,11 @@ def process_batch(
     span_filter: Callable[[], Column] | None = None,
 ) -> int:
     """One micro-batch (C1): decode, filter, adjust, write. Returns spans written."""
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read the source once
     decoded = decode_messages(batch)
     per_message = decoded.per_message.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        d = Decoded(per_message)
+        d = Decoded.from_per_message(per_message)
         spans = d.spans
         if span_filter is not None:
             spans = spans.filter(span_filter())
@@ -71,6 +72,7 @@ def process_batch(
         return n
     finally:
         per_message.unpersist()
+        batch.unpersist()
 
 
 def run_job(spark: SparkSession, config: JobConfig) -> StreamingQuery:
