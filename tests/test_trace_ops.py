@@ -131,3 +131,24 @@ def test_fixture_sanity_values(spark):
     assert df.select("trace_id_high", "trace_id").distinct().count() == 4_006
     assert df.filter("parent_id IS NULL").count() == 4_006
     assert df.filter(is_finagle()).count() == 3_334
+
+
+def test_trace_context_lets_span_adjusters_see_the_trace(spark):
+    from tracewright.operators.adjust import conditional, prune
+
+    df = df_of(
+        spark,
+        [
+            span(trace_id=1, id=1, timestamp=10, duration=5),
+            span(trace_id=1, id=2, parent_id=1, timestamp=12, duration=1, tags=[tag("error", "x")]),
+            span(trace_id=2, id=1, timestamp=20, duration=1, tags=[tag("user.email", "a@b.c")]),
+        ],
+    )
+    ctx = T.with_trace_context(df)
+    got = {(r["trace_id"], r["id"]): (r["trace_span_count"], r["trace_has_error"], r["trace_root_id"], r["trace_end"])
+           for r in ctx.collect()}
+    assert got == {(1, 1): (2, True, 1, 15), (1, 2): (2, True, 1, 15), (2, 1): (1, False, 1, 21)}
+    # e.g. keep tags only in failed traces
+    out = conditional(~F.col("trace_has_error"), lambda: {"binary_annotations": F.array()})(ctx)
+    assert {r["trace_id"]: len(r["binary_annotations"]) for r in out.filter("id = 1").collect()} == {1: 0, 2: 0}
+    assert prune(tag_keys=["x"])(df).count() == 3

@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewright.functions.ids import parse_hex_id, split_trace_hex
 from tracewright.operators.thrift import ThriftError, read_spans
 from tracewright.schema import SPAN_COLUMNS, SPAN_SCHEMA
 
@@ -55,7 +54,7 @@ JSON_SCHEMA = (
 
 
 def _is_long(c: Column) -> Column:
-    return c.rlike(r"^-?[0-9]{1,19}$") & c.try_cast("bigint").isNotNull()
+    return c.try_cast("bigint").isNotNull()
 
 
 def _opt_long(c: Column) -> Column:
@@ -99,13 +98,22 @@ def _ep_typed(ep: Column) -> Column:
     )
 
 
+def _hex_long(c: Column) -> Column:
+    """Already-validated lower hex (1-16 digits) -> signed BIGINT."""
+    return F.conv(c, 16, -10).cast("bigint")
+
+
 def _span_typed(s: Column) -> Column:
-    high, low = split_trace_hex(s["traceId"])
+    """Typed span from a validated JSON span (patterns were checked already)."""
+    tid = s["traceId"]
+    n = F.length(tid)
+    high = F.when(n > 16, _hex_long(tid.substr(F.lit(1), n - 16))).otherwise(F.lit(0).cast("bigint"))
+    low = F.when(n > 16, _hex_long(F.substring(tid, -16, 16))).otherwise(_hex_long(tid))
     return F.struct(
         high.alias("trace_id_high"),
         low.alias("trace_id"),
-        parse_hex_id(s["id"]).alias("id"),
-        parse_hex_id(s["parentId"]).alias("parent_id"),
+        _hex_long(s["id"]).alias("id"),
+        _hex_long(s["parentId"]).alias("parent_id"),
         F.coalesce(s["name"], F.lit("")).alias("name"),
         s["timestamp"].try_cast("bigint").alias("timestamp"),
         s["duration"].try_cast("bigint").alias("duration"),

@@ -135,3 +135,23 @@ def trace_sessions_stream(df: DataFrame, gap: str, watermark: str) -> DataFrame:
         F.unix_micros(F.col("session.end")).alias("session_end"),
         "n_spans",
     )
+
+
+def with_trace_context(df: DataFrame) -> DataFrame:
+    """A4 without a grouped map: per-trace facts joined onto every span.
+
+    Adds ``trace_span_count``, ``trace_start``, ``trace_end``,
+    ``trace_has_error`` and ``trace_root_id`` (smallest id of a span without a
+    parent). Any span-level adjuster can then act on the whole trace's state,
+    e.g. ``conditional(F.col("trace_has_error"), ...)``. The facts come from a
+    partially aggregated group-by; the join side has one row per trace (AQE
+    broadcasts it only when measured small, else sort-merge with skew-split).
+    """
+    ctx = df.groupBy(*TRACE_COLS).agg(
+        F.count(F.lit(1)).alias("trace_span_count"),
+        F.min("timestamp").alias("trace_start"),
+        F.max(F.col("timestamp") + F.col("duration")).alias("trace_end"),
+        F.max(has_error_tag()).alias("trace_has_error"),
+        F.min(F.when(F.col("parent_id").isNull(), F.col("id"))).alias("trace_root_id"),
+    )
+    return df.join(ctx, list(TRACE_COLS), "left")

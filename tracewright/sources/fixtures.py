@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tracewright.schema import MESSAGE_SCHEMA, SPAN_SCHEMA
 from tracewright.session import scratch_path
 from tracewright.sources.events import spans_table
-from tracewright.sources.messages import messages_table
+from tracewright.sources.messages import fixture_messages_from_spans
 
-_lock = threading.Lock()
+_lock = threading.RLock()
 _written: dict[tuple, str] = {}
 
 
@@ -56,4 +56,6 @@ def stored_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import types as T
 
     schema = T.StructType([T.StructField("key", T.BinaryType(), True), *MESSAGE_SCHEMA.fields])
-    return materialize(spark, sf_dir, "messages", lambda: messages_table(spark, sf_dir), schema)
+    return materialize(
+        spark, sf_dir, "messages", lambda: fixture_messages_from_spans(stored_spans(spark, sf_dir)), schema
+    )

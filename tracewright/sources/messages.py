@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.ids import hex16, trace_key
-from tracewright.sources.events import MESSAGE_CHUNK, spans_from_events
+from tracewright.sources.events import MESSAGE_CHUNK, TRACE_ID_STRIDE, spans_from_events
 
 # --- fixed values: thrift TBinaryProtocol type codes ------------------------
 T_STOP, T_BOOL, T_I16, T_I32, T_I64, T_STRING, T_STRUCT, T_LIST = 0, 2, 6, 8, 10, 11, 12, 15
@@ -154,7 +154,15 @@ RULE_CUT, RULE_EMPTY, RULE_TEXT, RULE_THRIFT_LIST, RULE_THRIFT_SINGLE = 0, 1, 2,
 
 def fixture_messages(events: DataFrame) -> DataFrame:
     """The message table (``key``, ``value`` BINARY) derived from ``events``."""
-    spans = spans_from_events(events, keep_fixture_cols=True)
+    return fixture_messages_from_spans(spans_from_events(events))
+
+
+def fixture_messages_from_spans(spans: DataFrame) -> DataFrame:
+    """Message table from the fixture span table (user and day are recovered
+    from ``trace_id = user_id * 100000 + day``)."""
+    spans = spans.withColumns(
+        {"_user_id": F.expr(f"trace_id div {TRACE_ID_STRIDE}"), "_day": F.col("trace_id") % TRACE_ID_STRIDE}
+    )
     rule = (F.col("_user_id") + F.col("_day")) % 20
     staged = spans.select(
         rule.alias("_rule"),
