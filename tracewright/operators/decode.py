@@ -213,7 +213,15 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
 
 
 def _explode_spans(per_message: DataFrame) -> DataFrame:
-    return per_message.select(F.explode("spans").alias("s")).select(*[F.col(f"s.{c}").alias(c) for c in SPAN_COLUMNS])
+    """One row per span. ``explode`` would make Catalyst infer a
+    ``size(spans) > 0`` filter and push it below the projection, evaluating
+    the whole parse/validate/type expression twice; ``explode_outer`` plus a
+    null check above the generator keeps it to one evaluation."""
+    return (
+        per_message.select(F.explode_outer("spans").alias("s"))
+        .filter(F.col("s").isNotNull())
+        .select(*[F.col(f"s.{c}").alias(c) for c in SPAN_COLUMNS])
+    )
 
 
 @dataclass(frozen=True)
