@@ -63,7 +63,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = jdir.get() if jdir.isDefined() else None
     if not root:
         root = tempfile.mkdtemp(prefix="tracewright-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
+            pass
     spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tracewright.schema import MESSAGE_SCHEMA, SPAN_SCHEMA
 from tracewright.session import scratch_path
-from tracewright.sources.events import spans_table
+from tracewright.sources.events import spans_table, spread_small_input
 from tracewright.sources.messages import fixture_messages_from_spans
 
 _lock = threading.RLock()
@@ -31,18 +31,13 @@ def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
     return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), mtime, name)
 
 
-def _spread(df: DataFrame, spark: SparkSession) -> DataFrame:
-    target = spark.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def materialize(spark: SparkSession, sf_dir: str, name: str, build, schema) -> DataFrame:
     key = _key(spark, sf_dir, name)
     with _lock:
         path = _written.get(key)
         if path is None:
             path = scratch_path(spark, f"fixture-{name}")
-            _spread(build(), spark).write.mode("overwrite").parquet(path)
+            spread_small_input(build()).write.mode("overwrite").parquet(path)
             _written[key] = path
     return spark.read.schema(schema).parquet(path)
 
