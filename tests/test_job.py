@@ -127,3 +127,29 @@ def test_session_window_stream_variant(spark, tmp_dir):
     q.stop()
     got = [tuple(r) for r in spark.sql("SELECT session_start, n_spans FROM tw_sessions").collect()]
     assert got == [(0, 2)]  # the last session stays open behind the watermark
+
+
+def test_console_sink(spark, capsys):
+    assert write_spans(_three(spark), SinkConfig("console")) == 3
+
+
+def test_processing_time_trigger(spark, tmp_dir):
+    from tracewright.streaming.job import run_job
+
+    df_of(spark, []).select(F.lit(b"[]").alias("value")).limit(0).write.parquet(f"{tmp_dir}/in")
+    sink = SinkConfig("parquet", f"{tmp_dir}/out")
+    q = run_job(
+        spark,
+        JobConfig(
+            source=lambda s: message_stream(s, f"{tmp_dir}/in"),
+            sink=sink,
+            batch_interval_ms=200,
+            checkpoint_location=f"{tmp_dir}/ckpt",
+        ),
+    )
+    try:
+        q.processAllAvailable()
+        assert q.isActive and q.lastProgress is not None
+        assert q.lastProgress["sink"] is not None
+    finally:
+        q.stop()
