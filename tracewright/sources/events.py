@@ -157,7 +157,11 @@ def _fixture_cols(keep: bool) -> list[Column]:
 def spread_small_input(df: DataFrame) -> DataFrame:
     """Round-robin a scan that has fewer partitions than the cluster has
     cores (a single small file); a large input keeps its scan partitioning,
-    so at scale this adds no shuffle."""
+    so at scale this adds no shuffle.
+
+    Call it on a bare file scan only: there the partition count comes from
+    the file listing. On a plan with exchanges, ``rdd`` would make adaptive
+    execution run the shuffle stages just to count partitions."""
     target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 

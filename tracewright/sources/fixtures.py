@@ -4,9 +4,9 @@ In production spans and messages sit in storage and every operator reads
 them; the fixture mirrors that. The span table and the message table are
 derived from ``events`` by Spark, written to the shared folder named by
 ``spark.checkpoint.dir`` (a lineage cut that survives executor loss, unlike
-``localCheckpoint``) and read back by each query. Small inputs are spread to
-the cluster's default parallelism before the write; large ones keep their
-scan partitioning.
+``localCheckpoint``) and read back by each query. The derivation spreads a
+single-file ``events`` scan over the cluster's cores (see
+``spread_small_input``), so the written table has that many files.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tracewright.schema import MESSAGE_SCHEMA, SPAN_SCHEMA
 from tracewright.session import scratch_path
-from tracewright.sources.events import spans_table, spread_small_input
+from tracewright.sources.events import spans_table
 from tracewright.sources.messages import fixture_messages_from_spans
 
 _lock = threading.RLock()
@@ -37,7 +37,7 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build, schema) -> D
         path = _written.get(key)
         if path is None:
             path = scratch_path(spark, f"fixture-{name}")
-            spread_small_input(build()).write.mode("overwrite").parquet(path)
+            build().write.mode("overwrite").parquet(path)
             _written[key] = path
     return spark.read.schema(schema).parquet(path)
 

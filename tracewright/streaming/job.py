@@ -17,11 +17,13 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tracewright.operators.adjust import Adjuster, chain
 from tracewright.operators.decode import Decoded, decode_messages
 from tracewright.session import scratch_path
+from tracewright.sources.events import spread_small_input
 from tracewright.streaming.sinks import SinkConfig, check_sink, write_dead_letters, write_spans
 
 log = logging.getLogger(__name__)
@@ -55,20 +57,29 @@ def process_batch(
     span_filter: Callable[[], Column] | None = None,
 ) -> int:
     """One micro-batch (C1): decode, filter, adjust, write. Returns spans written."""
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read the source once
+    # A batch narrower than the cluster (one file per trigger, a topic with
+    # few partitions) is spread over the cores once; then it is read once.
+    batch = spread_small_input(batch).persist(StorageLevel.MEMORY_AND_DISK)
     decoded = decode_messages(batch)
     per_message = decoded.per_message.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # one job fills the cache and counts both outputs (C3: skip empty writes)
+        counts = per_message.agg(
+            F.coalesce(F.sum(F.size(F.coalesce("spans", F.array()))), F.lit(0)).alias("spans"),
+            F.count("reason").alias("dead"),
+        ).first()
         d = Decoded.from_per_message(per_message)
-        spans = d.spans
-        if span_filter is not None:
-            spans = spans.filter(span_filter())
-        spans = chain(list(adjusters))(spans)
-        n = write_spans(spans, sink, batch_id=batch_id, dead_letters=dead_letter_sink)
-        if dead_letter_sink is not None:
-            dl = d.dead_letters
-            if not dl.isEmpty():
-                write_dead_letters(dl, dead_letter_sink, batch_id)
+        n = 0
+        if counts["spans"] > 0:
+            spans = d.spans
+            if span_filter is not None:
+                spans = spans.filter(span_filter())
+            spans = chain(list(adjusters))(spans)
+            n = write_spans(
+                spans, sink, batch_id=batch_id, dead_letters=dead_letter_sink, known_non_empty=span_filter is None
+            )
+        if dead_letter_sink is not None and counts["dead"] > 0:
+            write_dead_letters(d.dead_letters, dead_letter_sink, batch_id)
         return n
     finally:
         per_message.unpersist()

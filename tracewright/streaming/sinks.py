@@ -89,6 +89,7 @@ def write_spans(
     sink: SinkConfig,
     batch_id: int | None = None,
     dead_letters: SinkConfig | None = None,
+    known_non_empty: bool = False,
 ) -> int:
     """Write ``df``; return the number of rows written.
 
@@ -96,10 +97,12 @@ def write_spans(
     * file sinks with a ``batch_id`` write to ``<path>/batch_id=<n>`` in
       overwrite mode, so a replayed micro-batch replaces its own output
       (idempotent restart);
+    * ``known_non_empty`` skips the emptiness probe when the caller already
+      counted the input;
     * on failure: up to ``max_attempts`` tries, then the rows go to
       ``dead_letters`` as JSON with the error as reason (C4).
     """
-    if df.isEmpty():
+    if not known_non_empty and df.isEmpty():
         log.debug("Input was empty")
         return 0
     obs = Observation(f"written_{batch_id if batch_id is not None else 'batch'}_{time.monotonic_ns()}")
