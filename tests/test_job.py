@@ -153,3 +153,22 @@ def test_processing_time_trigger(spark, tmp_dir):
         assert q.lastProgress["sink"] is not None
     finally:
         q.stop()
+
+
+def test_streaming_job_start_is_idempotent_and_close_stops(spark, tmp_dir):
+    from tracewright.streaming.job import StreamingJob
+
+    spark.createDataFrame([(b"[]",)], "value binary").write.parquet(f"{tmp_dir}/in")
+    cfg = JobConfig(
+        source=lambda s: message_stream(s, f"{tmp_dir}/in"),
+        sink=SinkConfig("parquet", f"{tmp_dir}/out"),
+        checkpoint_location=f"{tmp_dir}/ckpt",
+    )
+    job = StreamingJob(spark, cfg)
+    assert job.await_termination(0.1) is None  # not started: returns at once
+    with job.start() as j:
+        first = j.query
+        assert j.start().query is first
+        first.processAllAvailable()
+        assert first.isActive
+    assert not first.isActive

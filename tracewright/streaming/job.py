@@ -118,3 +118,34 @@ def run_to_completion(spark: SparkSession, config: JobConfig, timeout_s: int = 6
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q
+
+
+class StreamingJob:
+    """``start`` is idempotent (a second call returns the running job),
+    ``await_termination`` blocks while started, ``close`` stops the query.
+    Usable as a context manager."""
+
+    def __init__(self, spark: SparkSession, config: JobConfig):
+        self.spark = spark
+        self.config = config
+        self.query: StreamingQuery | None = None
+
+    def start(self) -> "StreamingJob":
+        if self.query is None:
+            self.query = run_job(self.spark, self.config)
+        return self
+
+    def await_termination(self, timeout_s: float | None = None) -> bool | None:
+        if self.query is None:
+            return None
+        return self.query.awaitTermination(timeout_s) if timeout_s is not None else self.query.awaitTermination()
+
+    def close(self) -> None:
+        if self.query is not None and self.query.isActive:
+            self.query.stop()
+
+    def __enter__(self) -> "StreamingJob":
+        return self.start()
+
+    def __exit__(self, *exc) -> None:
+        self.close()
