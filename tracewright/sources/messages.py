@@ -21,15 +21,17 @@ ANNOTATION_TYPE_STRING = 6
 
 
 # ---------------------------------------------------------------- JSON ------
-def _endpoint_json(ep: Column) -> Column:
-    return F.when(
-        ep.isNotNull(),
-        F.struct(ep["service_name"].alias("serviceName"), ep["ipv4"].alias("ipv4"), ep["port"].alias("port")),
-    )
+_JSON_EP = "struct<serviceName:string,ipv4:string,port:int>"
+_JSON_ANNOTATIONS = f"array<struct<timestamp:bigint,value:string,endpoint:{_JSON_EP}>>"
+_JSON_TAGS = f"array<struct<key:string,value:string,type:string,endpoint:{_JSON_EP}>>"
 
 
 def span_json_struct() -> Column:
-    """Span in the v1 JSON layout (hex ids; null fields are omitted)."""
+    """Span in the v1 JSON layout (hex ids; null fields are omitted).
+
+    Nested fields are renamed by a positional cast (generated code) rather
+    than a per-element lambda.
+    """
     return F.struct(
         trace_key().alias("traceId"),
         hex16("id").alias("id"),
@@ -37,20 +39,8 @@ def span_json_struct() -> Column:
         F.col("name").alias("name"),
         F.col("timestamp").alias("timestamp"),
         F.col("duration").alias("duration"),
-        F.transform(
-            "annotations",
-            lambda a: F.struct(
-                a["timestamp"].alias("timestamp"), a["value"].alias("value"), _endpoint_json(a["endpoint"]).alias("endpoint")
-            ),
-        ).alias("annotations"),
-        F.transform(
-            "binary_annotations",
-            lambda b: F.struct(
-                b["key"].alias("key"),
-                b["value"].cast("string").alias("value"),
-                _endpoint_json(b["endpoint"]).alias("endpoint"),
-            ),
-        ).alias("binaryAnnotations"),
+        F.col("annotations").cast(_JSON_ANNOTATIONS).alias("annotations"),
+        F.col("binary_annotations").cast(_JSON_TAGS).alias("binaryAnnotations"),
     )
 
 
