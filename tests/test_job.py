@@ -69,10 +69,10 @@ def test_kafka_settings():
         KafkaSettings().options()
     opts = KafkaSettings(bootstrap_servers=["a:9092", " b:9092 "]).options()
     assert opts["kafka.bootstrap.servers"] == "a:9092,b:9092"
-    assert opts["subscribe"] == "zipkin" and opts["kafka.group.id"] == "zipkin"
+    assert opts["subscribe"] == "spans" and opts["kafka.group.id"] == "spans"
     calls = []
     assert resolve_servers(lambda: calls.append(1) or "k:1") == "k:1" and calls == [1]
-    assert KafkaSettings(bootstrap_servers="k:1", topic="", group_id="").options()["subscribe"] == "zipkin"
+    assert KafkaSettings(bootstrap_servers="k:1", topic="", group_id="").options()["subscribe"] == "spans"
 
 
 def test_process_batch_decodes_adjusts_and_writes(spark, tmp_dir):
@@ -172,3 +172,35 @@ def test_streaming_job_start_is_idempotent_and_close_stops(spark, tmp_dir):
         first.processAllAvailable()
         assert first.isActive
     assert not first.isActive
+
+
+def test_cli_properties_to_config():
+    from tracewright.streaming.cli import config_from_properties, parse_properties
+
+    props = parse_properties([
+        "--source=files", "--files.path=/x", "--sink=parquet", "--sink.path=/out", "--sink.option.compression=zstd",
+        "--conf.spark.sql.shuffle.partitions=64", "--finagle.enabled=true", "--finagle.adjust-issue343",
+        "--batch-duration=2500", "--kafka.topic=", "--available-now",
+    ])
+    assert "kafka.topic" not in props  # empty means unset
+    conf, cfg = config_from_properties(props)
+    assert conf == {"spark.sql.shuffle.partitions": "64"}
+    assert cfg.sink.options == {"compression": "zstd"} and cfg.batch_interval_ms == 2500
+    assert len(cfg.adjusters) == 2 and cfg.available_now
+    with pytest.raises(ValueError):
+        config_from_properties(parse_properties(["--source=kafka"]))  # servers required
+    with pytest.raises(ValueError):
+        config_from_properties(parse_properties(["--source=files", "--files.path=/x", "--sink=mongodb"]))
+
+
+def test_cli_runs_a_files_job(spark, tmp_dir):
+    from tracewright.sources.messages import messages_table
+    from tracewright.streaming.cli import main
+
+    messages_table(spark, "/root/testdata/sf0.001").select("value").write.parquet(f"{tmp_dir}/in")
+    assert main([
+        f"--files.path={tmp_dir}/in", "--source=files", f"--sink.path={tmp_dir}/out", f"--checkpoint={tmp_dir}/ck",
+        f"--dead-letter.path={tmp_dir}/dead", "--available-now=true", "--finagle.enabled=true",
+    ]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/out").count() > 0
+    assert spark.read.parquet(f"{tmp_dir}/dead").count() > 0

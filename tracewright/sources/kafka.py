@@ -11,8 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULT_TOPIC = "zipkin"
-DEFAULT_GROUP_ID = "zipkin"
+DEFAULT_TOPIC = "spans"
+DEFAULT_GROUP_ID = "spans"
 
 Servers = str | Sequence[str] | Callable[[], str | Sequence[str]]
 
