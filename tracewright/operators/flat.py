@@ -2,6 +2,8 @@
 
 Nested arrays are rendered as sorted, comma-joined strings so that a value
 hash does not depend on array order or on how another engine prints structs.
+``sort_array`` (generated code) is used rather than ``array_sort``, which
+Spark rewrites into an interpreted comparator lambda.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ def _port(ep: Column) -> Column:
 def annotation_text() -> Column:
     """``value@timestamp@service:port`` per annotation, sorted, joined by ','."""
     return F.array_join(
-        F.array_sort(
+        F.sort_array(
             F.transform(
                 "annotations",
                 lambda a: F.concat_ws(
@@ -35,7 +37,7 @@ def annotation_text() -> Column:
 def tag_text() -> Column:
     """``key=value@service:port`` per tag, sorted, joined by ','."""
     return F.array_join(
-        F.array_sort(
+        F.sort_array(
             F.transform(
                 "binary_annotations",
                 lambda b: F.concat(

@@ -67,8 +67,8 @@ def merge_by_id(df: DataFrame) -> DataFrame:
         "name",
         "timestamp",
         "duration",
-        F.array_sort(F.array_distinct(F.flatten("_a"))).alias("annotations"),
-        F.array_sort(F.array_distinct(F.flatten("_b"))).alias("binary_annotations"),
+        F.sort_array(F.array_distinct(F.flatten("_a"))).alias("annotations"),
+        F.sort_array(F.array_distinct(F.flatten("_b"))).alias("binary_annotations"),
     ).select(*SPAN_COLUMNS)
 
 

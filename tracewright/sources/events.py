@@ -127,7 +127,7 @@ def spans_from_events(events: DataFrame, split_halves: bool = False, keep_fixtur
         "duration": F.when(no_times, F.lit(None)).otherwise(dur).cast("bigint"),
     }
     if not split_halves:
-        cols["annotations"] = F.array_sort(F.concat(client_anns, server_anns))
+        cols["annotations"] = F.sort_array(F.concat(client_anns, server_anns))
         cols["binary_annotations"] = tags
         out = e.select(*[v.alias(k) for k, v in cols.items()], *_fixture_cols(keep_fixture_cols))
         return out
@@ -141,7 +141,7 @@ def spans_from_events(events: DataFrame, split_halves: bool = False, keep_fixtur
     split_cols["name"] = F.when(r == "client", F.lit("")).otherwise(F.col("event_type"))
     split_cols["timestamp"] = F.when(r == "server", F.lit(None)).otherwise(cols["timestamp"]).cast("bigint")
     split_cols["duration"] = F.when(r == "server", F.lit(None)).otherwise(cols["duration"]).cast("bigint")
-    split_cols["annotations"] = F.array_sort(
+    split_cols["annotations"] = F.sort_array(
         F.when(r == "client", F.col("_c")).when(r == "server", F.col("_s")).otherwise(F.concat("_c", "_s"))
     )
     split_cols["binary_annotations"] = F.col("_t")

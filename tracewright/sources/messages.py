@@ -170,7 +170,7 @@ def fixture_messages_from_spans(spans: DataFrame) -> DataFrame:
     grouped = (
         staged.filter(F.col("_rule") != RULE_THRIFT_SINGLE)
         .groupBy("_user_id", "_day", "_chunk", "_rule", "_key")
-        .agg(F.array_sort(F.collect_list(F.struct("id", "_json", "_thrift"))).alias("_s"))
+        .agg(F.sort_array(F.collect_list(F.struct("id", "_json", "_thrift"))).alias("_s"))
     )
     json_text = F.concat(F.lit("["), F.array_join(F.transform("_s", lambda x: x["_json"]), ","), F.lit("]"))
     r = F.col("_rule")
