@@ -331,6 +331,9 @@ def python_adjuster(fn: Callable, name: str | None = None) -> Adjuster:
                 yield batch
 
     def run(df: DataFrame) -> DataFrame:
+        from tracewright.session import ship_package
+
+        ship_package(df.sparkSession)
         return df.mapInArrow(guarded_batches, df.schema)
 
     run.__name__ = label

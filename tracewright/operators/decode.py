@@ -5,11 +5,13 @@
   with patterns / ``try_cast`` by a ``forall`` over the message's array, so a
   single bad field drops the *whole message* (K6), as the reference does.
   No shuffle: a message is decoded within its row.
-* K4/K5 thrift: one ``mapInArrow`` step over the thrift-tagged rows only,
-  Arrow batches in and out; failures become dead letters, never exceptions.
+* K4/K5 thrift: an Arrow UDF in the same projection; only thrift rows send
+  their bytes (other rows send null). Failures become dead letters, never
+  exceptions.
 
-Both paths yield ``(value, spans ARRAY<span>, reason)`` per message; good
-messages are exploded into spans, bad ones become ``(value, reason)``.
+The message table is scanned once. Each message yields ``(value, spans
+ARRAY<span>, reason)``; good messages are exploded into spans, bad ones
+become ``(value, reason)``.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import types as T
 
 from tracewright.operators.thrift import ThriftError, read_spans
 from tracewright.schema import SPAN_COLUMNS, SPAN_SCHEMA
+from tracewright.session import ship_package
 
 FMT_EMPTY, FMT_JSON, FMT_THRIFT_LIST, FMT_THRIFT = "empty", "json", "thrift_list", "thrift"
 BAD_JSON, BAD_THRIFT = "bad_json", "bad_thrift"
@@ -137,33 +140,10 @@ def _span_typed(s: Column) -> Column:
     )
 
 
-def _decode_json(json_msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(per-message result, dead letters) for JSON messages.
-
-    Spans are ``null`` for a bad message, so the span side needs no filter:
-    ``explode`` of null yields no rows. A filter on a column derived from
-    ``from_json`` would be pushed below the projection and parse twice.
-    """
-    text = F.expr("make_valid_utf8(cast(value as string))")
-    parsed = json_msgs.select("value", F.from_json(text, JSON_SCHEMA).alias("_p"))
-    ok = F.coalesce(F.col("_p").isNotNull() & F.forall("_p", _span_ok), F.lit(False))
-    per_message = parsed.select(
-        "value",
-        F.when(ok, F.transform("_p", _span_typed)).alias("spans"),
-        F.when(~ok, F.lit(BAD_JSON)).alias("reason"),
-    )
-    dead = parsed.filter(~ok).select("value", F.lit(BAD_JSON).alias("reason"))
-    return per_message, dead
-
-
 # -------------------------------------------------------------- thrift ------
 _SPANS_TYPE = T.ArrayType(SPAN_SCHEMA, True)
-_OUT_SCHEMA = T.StructType(
-    [
-        T.StructField("value", T.BinaryType(), True),
-        T.StructField("spans", _SPANS_TYPE, True),
-        T.StructField("reason", T.StringType(), True),
-    ]
+_THRIFT_RESULT = T.StructType(
+    [T.StructField("spans", _SPANS_TYPE, True), T.StructField("reason", T.StringType(), True)]
 )
 
 
@@ -180,38 +160,30 @@ def _arrow_type(dt: T.DataType) -> pa.DataType:
     }[type(dt)]
 
 
-def _thrift_batches(batches):
-    spans_type = _arrow_type(_SPANS_TYPE)
-    for batch in batches:
-        values = batch.column(0).to_pylist()
-        spans, reasons = [], []
-        for v in values:
-            try:
-                spans.append(read_spans(v or b""))
-                reasons.append(None)
-            except ThriftError:
-                spans.append(None)
-                reasons.append(BAD_THRIFT)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(spans, type=spans_type), pa.array(reasons, type=pa.string())],
-            names=["value", "spans", "reason"],
-        )
+def _decode_thrift_array(values: pa.Array) -> pa.Array:
+    """Arrow batch of payloads (null = not a thrift row) -> struct(spans, reason)."""
+    spans, reasons = [], []
+    for v in values.to_pylist():
+        if v is None:
+            spans.append(None)
+            reasons.append(None)
+            continue
+        try:
+            spans.append(read_spans(v))
+            reasons.append(None)
+        except ThriftError:
+            spans.append(None)
+            reasons.append(BAD_THRIFT)
+    return pa.StructArray.from_arrays(
+        [pa.array(spans, type=_arrow_type(_SPANS_TYPE)), pa.array(reasons, type=pa.string())],
+        names=["spans", "reason"],
+    )
 
 
-def _decode_thrift(thrift_msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    per_message = thrift_msgs.select("value").mapInArrow(_thrift_batches, _OUT_SCHEMA)
-    dead = per_message.filter(F.col("reason").isNotNull()).select("value", "reason")
-    return per_message, dead
+_thrift_udf = F.arrow_udf(_decode_thrift_array, _THRIFT_RESULT)
 
 
 # ------------------------------------------------------------- the job ------
-def _union(dfs: list[DataFrame]) -> DataFrame:
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d)
-    return out
-
-
 def _explode_spans(per_message: DataFrame) -> DataFrame:
     """One row per span. ``explode`` would make Catalyst infer a
     ``size(spans) > 0`` filter and push it below the projection, evaluating
@@ -224,48 +196,58 @@ def _explode_spans(per_message: DataFrame) -> DataFrame:
     )
 
 
+def _dead_of(per_message: DataFrame) -> DataFrame:
+    """Rows with a reason. A filter on ``reason`` would be pushed below the
+    projection and inline the parse; a generator output cannot be."""
+    return per_message.select(
+        "value", F.explode_outer(F.when(F.col("reason").isNotNull(), F.array("reason"))).alias("reason")
+    ).filter(F.col("reason").isNotNull())
+
+
 @dataclass(frozen=True)
 class Decoded:
-    """Lazy results of one decode.
-
-    ``parts`` holds, per format branch, ``(per_message, dead_letters)``;
-    ``per_message`` rows are ``(value, spans, reason)``. Use
-    :meth:`from_per_message` on a persisted per-message table (the streaming
-    job does) so both outputs read the cache instead of decoding again.
-    """
+    """Lazy results of one decode: ``per_message`` rows are ``(value, spans
+    ARRAY<span>, reason)``. Persist it (the streaming job does) when both
+    outputs are written, so the decode runs once."""
 
-    parts: tuple[tuple[DataFrame, DataFrame], ...]
+    per_message: DataFrame
 
     @classmethod
     def from_per_message(cls, per_message: DataFrame) -> "Decoded":
-        dead = per_message.filter(F.col("reason").isNotNull()).select("value", "reason")
-        return cls(((per_message, dead),))
-
-    @property
-    def per_message(self) -> DataFrame:
-        return _union([p for p, _ in self.parts])
+        return cls(per_message)
 
     @property
     def spans(self) -> DataFrame:
-        return _union([_explode_spans(p) for p, _ in self.parts])
+        return _explode_spans(self.per_message)
 
     @property
     def dead_letters(self) -> DataFrame:
-        return _union([d for _, d in self.parts])
+        return _dead_of(self.per_message)
 
 
 def decode_messages(messages: DataFrame, formats: tuple[str, ...] = (FMT_JSON, FMT_THRIFT_LIST, FMT_THRIFT)) -> Decoded:
-    """Split a message table by format and decode each part.
-
-    Empty payloads yield no spans and no dead letter (K2). ``formats``
-    restricts which formats are decoded (others are ignored). JSON rows never
-    leave the JVM; only thrift rows cross to Python (Arrow batches).
-    """
-    m = messages.select("value").withColumn("_fmt", message_format())
-    parts = []
-    if FMT_JSON in formats:
-        parts.append(_decode_json(m.filter(F.col("_fmt") == FMT_JSON)))
+    """One pass over the message table: every row gets its format, JSON rows
+    are parsed in the JVM, and only thrift rows' bytes reach the Arrow UDF
+    (other rows send null). Empty payloads yield no spans and no dead letter
+    (K2). ``formats`` restricts which formats are decoded (others vanish)."""
+    fmt = F.col("_fmt")
+    is_json = fmt == FMT_JSON if FMT_JSON in formats else F.lit(False)
     thrift_fmts = [f for f in (FMT_THRIFT_LIST, FMT_THRIFT) if f in formats]
+    is_thrift = fmt.isin(*thrift_fmts) if thrift_fmts else F.lit(False)
+
+    if thrift_fmts:
+        ship_package(messages.sparkSession)
+    text = F.expr("make_valid_utf8(cast(value as string))")
+    cols = [F.col("value"), fmt, F.when(is_json, F.from_json(text, JSON_SCHEMA)).alias("_p")]
+    if thrift_fmts:
+        cols.append(_thrift_udf(F.when(is_thrift, F.col("value"))).alias("_t"))
+    parsed = messages.select("value").withColumn("_fmt", message_format()).select(*cols)
+
+    ok = F.coalesce(F.col("_p").isNotNull() & F.forall("_p", _span_ok), F.lit(False))
+    spans = F.when(is_json & ok, F.transform("_p", _span_typed))
+    reason = F.when(is_json & ~ok, F.lit(BAD_JSON))
     if thrift_fmts:
-        parts.append(_decode_thrift(m.filter(F.col("_fmt").isin(*thrift_fmts))))
-    return Decoded(tuple(parts))
+        spans = spans.when(is_thrift, F.col("_t.spans"))
+        reason = reason.when(is_thrift, F.col("_t.reason"))
+    per_message = parsed.select("value", spans.alias("spans"), reason.alias("reason"))
+    return Decoded(per_message)

@@ -48,6 +48,7 @@ def build_session(
     for k, v in merged.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    ship_package(spark)
     return spark
 
 
@@ -78,3 +79,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tracewright`` importable on executors (once per application).
+
+    Functions used by Arrow UDFs and ``mapInArrow`` are pickled by module
+    reference, so Python workers must be able to import the package wherever
+    the driver was started. The package is zipped on the driver and shipped
+    with ``addPyFile`` -- Spark's own code-distribution mechanism.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _shipped:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    target = os.path.join(tempfile.mkdtemp(prefix="tracewright-pyfiles-"), "tracewright.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    _shipped.add(app)
