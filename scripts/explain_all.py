@@ -30,8 +30,9 @@ def main() -> None:
         out += ["", f"## {name}", "", f"shuffle exchanges: {n_ex}", "", "```"]
         out += [line[:400] for line in plan.strip().split("\n")]
         out += ["```"]
-    os.makedirs("docs", exist_ok=True)
-    with open("docs/PLANS.md", "w") as f:
+    docs = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs")
+    os.makedirs(docs, exist_ok=True)
+    with open(os.path.join(docs, "PLANS.md"), "w") as f:
         f.write("\n".join(out) + "\n")
     spark.stop()
 
