@@ -106,3 +106,35 @@ def test_dependency_links_with_hot_parent(spark):
     hot = kids.unionByName(base.filter(F.col("id") == r["id"]))
     links = R.dependency_links(hot)
     assert links.agg(F.sum("call_count")).first()[0] == kids.count()
+
+
+def test_spread_small_input_only_touches_narrow_scans(spark, tmp_dir):
+    from tracewright.sources.events import spread_small_input
+
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.read.parquet(f"{SF}/events.parquet")
+    assert narrow.rdd.getNumPartitions() < cores
+    assert spread_small_input(narrow).rdd.getNumPartitions() == cores
+    spark.range(0, 1000, numPartitions=cores * 2).write.parquet(f"{tmp_dir}/wide")
+    wide = spark.read.parquet(f"{tmp_dir}/wide")
+    assert spread_small_input(wide) is wide
+
+
+def test_package_is_shipped_once_with_every_module(spark):
+    import os
+    import zipfile
+
+    from tracewright import session
+
+    app = spark.sparkContext.applicationId
+    assert app in session._shipped  # build_session shipped it
+    session.ship_package(spark)  # idempotent
+    shipped = [f for f in spark.sparkContext._jsc.sc().listFiles().toList().mkString(",").split(",")
+               if f.endswith("tracewright.zip")]
+    assert len(shipped) == 1
+    pkg = os.path.dirname(session.__file__)
+    local = [os.path.join(dp, f) for dp, _, fs in os.walk(pkg) if "__pycache__" not in dp for f in fs if f.endswith(".py")]
+    zpath = shipped[0].replace("file:", "")
+    if os.path.exists(zpath):
+        names = set(zipfile.ZipFile(zpath).namelist())
+        assert {os.path.relpath(p, os.path.dirname(pkg)) for p in local} <= names
