@@ -204,3 +204,31 @@ def test_cli_runs_a_files_job(spark, tmp_dir):
     ]) == 0
     assert spark.read.parquet(f"{tmp_dir}/out").count() > 0
     assert spark.read.parquet(f"{tmp_dir}/dead").count() > 0
+
+
+def test_file_sources_and_trace_key(spark, tmp_dir):
+    from tracewright.operators.trace import with_trace_key
+    from tracewright.sources.files import read_messages, span_stream
+    from tracewright.sources.messages import messages_table
+
+    msgs = messages_table(spark, "/root/testdata/sf0.001").select("value")
+    msgs.write.parquet(f"{tmp_dir}/msgs")
+    assert read_messages(spark, f"{tmp_dir}/msgs").count() == msgs.count()
+    os.makedirs(f"{tmp_dir}/raw")
+    with open(f"{tmp_dir}/raw/one.bin", "wb") as f:
+        f.write(b'[{"traceId":"000000000000000a","id":"000000000000000b","name":"get"}]')
+    raw = read_messages(spark, f"{tmp_dir}/raw", fmt="binaryFile")
+    from tracewright.operators.decode import decode_messages
+
+    got = rows(decode_messages(raw).spans)
+    assert [(r["trace_id"], r["id"], r["name"]) for r in got] == [(10, 11, "get")]
+
+    _three(spark).write.parquet(f"{tmp_dir}/spans")
+    q = (
+        span_stream(spark, f"{tmp_dir}/spans").transform(with_trace_key)
+        .writeStream.format("memory").queryName("tw_span_stream").option("checkpointLocation", f"{tmp_dir}/ck").start()
+    )
+    q.processAllAvailable()
+    q.stop()
+    keys = {r[0] for r in spark.sql("SELECT trace_key FROM tw_span_stream").collect()}
+    assert keys == {"0000000000000001"}

@@ -31,15 +31,3 @@ def parse_hex_id(c: str | Column) -> Column:
     """
     s = F.lower(_col(c))
     return F.when(s.rlike("^[0-9a-f]{1,16}$"), F.conv(s, 16, -10).cast("bigint"))
-
-
-def split_trace_hex(c: str | Column) -> tuple[Column, Column]:
-    """A 1..32 digit trace id -> (high, low) BIGINT columns (null if invalid)."""
-    s = F.lower(_col(c))
-    ok = s.rlike("^[0-9a-f]{1,32}$")
-    n = F.length(s)
-    low_hex = F.when(n > 16, F.substring(s, -16, 16)).otherwise(s)
-    high_hex = F.when(n > 16, s.substr(F.lit(1), n - 16))
-    high = F.when(ok, F.coalesce(F.conv(high_hex, 16, -10).cast("bigint"), F.lit(0).cast("bigint")))
-    low = F.when(ok, F.conv(low_hex, 16, -10).cast("bigint"))
-    return high, low

@@ -17,8 +17,3 @@ def epoch_micros(c: str, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(F.col(c))
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{c}`)")
-
-
-def micros_to_timestamp(c: str | Column) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.timestamp_micros(col)
