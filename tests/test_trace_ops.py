@@ -152,3 +152,18 @@ def test_trace_context_lets_span_adjusters_see_the_trace(spark):
     out = conditional(~F.col("trace_has_error"), lambda: {"binary_annotations": F.array()})(ctx)
     assert {r["trace_id"]: len(r["binary_annotations"]) for r in out.filter("id = 1").collect()} == {1: 0, 2: 0}
     assert prune(tag_keys=["x"])(df).count() == 3
+
+
+def test_half_spans_from_spans_equals_derivation_from_events(spark):
+    from tracewright.sources.events import half_spans_from_spans, spans_table
+
+    direct = flat_spans_of(spans_table(spark, "/root/testdata/sf0.01", split_halves=True))
+    derived = flat_spans_of(half_spans_from_spans(spans_table(spark, "/root/testdata/sf0.01")))
+    assert direct.count() == derived.count() == 12_000
+    assert direct.exceptAll(derived).count() == 0 and derived.exceptAll(direct).count() == 0
+
+
+def flat_spans_of(df):
+    from tracewright.operators.flat import flat_spans
+
+    return flat_spans(df)

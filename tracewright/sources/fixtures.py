@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tracewright.schema import MESSAGE_SCHEMA, SPAN_SCHEMA
 from tracewright.session import scratch_path
-from tracewright.sources.events import spans_table
+from tracewright.sources.events import half_spans_from_spans, spans_table
 from tracewright.sources.messages import fixture_messages_from_spans
 
 _lock = threading.RLock()
@@ -43,8 +43,11 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build, schema) -> D
 
 
 def stored_spans(spark: SparkSession, sf_dir: str, split_halves: bool = False) -> DataFrame:
-    name = "half_spans" if split_halves else "spans"
-    return materialize(spark, sf_dir, name, lambda: spans_table(spark, sf_dir, split_halves), SPAN_SCHEMA)
+    if split_halves:
+        return materialize(
+            spark, sf_dir, "half_spans", lambda: half_spans_from_spans(stored_spans(spark, sf_dir)), SPAN_SCHEMA
+        )
+    return materialize(spark, sf_dir, "spans", lambda: spans_table(spark, sf_dir), SPAN_SCHEMA)
 
 
 def stored_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
