@@ -175,3 +175,29 @@ def test_span_local_chain_has_no_exchange(spark):
     count_exchanges = lambda d: d._jdf.queryExecution().executedPlan().toString().count("Exchange")
     # only the fixture's own root aggregate may shuffle; the adjusters add none
     assert count_exchanges(chained) == count_exchanges(plain)
+
+
+def test_alias_table_size_is_bounded():
+    import pytest
+
+    with pytest.raises(ValueError):
+        A.normalize_services({f"s{i}": "x" for i in range(A.MAX_ALIAS_ENTRIES + 1)})
+
+
+def test_rekey_keeps_every_parent_link(spark):
+    from tracewright.sources.events import spans_table
+
+    df = spans_table(spark, "/root/testdata/sf0.001")
+    rk = A.rekey(0x5DEECE66D)(df)
+    keys = ["trace_id_high", "trace_id"]
+    links = lambda d: d.alias("c").join(
+        d.alias("p"), [F.col(f"c.{k}") == F.col(f"p.{k}") for k in keys] + [F.col("c.parent_id") == F.col("p.id")]
+    ).count()
+    assert links(rk) == links(df) == df.filter("parent_id IS NOT NULL").count()
+    assert rk.select("id").distinct().count() == df.select("id").distinct().count()
+
+
+def test_finagle_settings_flag_off_is_identity(spark):
+    df = df_of(spark, [finagle_server_span()])
+    adj = A.adjusters_from_settings({"finagle.enabled": "true", "finagle.apply-timestamp-and-duration": "false"})
+    assert len(adj) == 1 and rows(adj[0](df)) == rows(df)
