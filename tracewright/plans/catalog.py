@@ -454,3 +454,24 @@ def adjuster_failure(spark, sf_dir):
     """A Python adjuster that raises is skipped; the chain goes on."""
     chain = A.chain([A.finagle_adjuster(), A.python_adjuster(_failing_adjuster), A.issue343_adjuster()])
     return flat_spans(chain(_spans(spark, sf_dir)))
+
+
+@query(
+    "trace_context",
+    O.with_spans(
+        f"""ctx AS (SELECT trace_id_high, trace_id, count(*) AS trace_span_count, min(timestamp) AS trace_start,
+    max(timestamp + duration) AS trace_end, bool_or({O.ERR_SQL}) AS trace_has_error,
+    min(CASE WHEN parent_id IS NULL THEN id END) AS trace_root_id
+  FROM spans GROUP BY trace_id_high, trace_id)"""
+    )
+    + """SELECT s.trace_id_high, s.trace_id, s.id, c.trace_span_count, c.trace_start, c.trace_end, c.trace_has_error,
+  c.trace_root_id
+FROM spans s JOIN ctx c ON s.trace_id_high = c.trace_id_high AND s.trace_id = c.trace_id""",
+)
+def trace_context_q(spark, sf_dir):
+    """A4: per-trace facts joined onto every span (whole-trace context without
+    materialising a trace)."""
+    return T.with_trace_context(_spans(spark, sf_dir)).select(
+        "trace_id_high", "trace_id", "id", "trace_span_count", "trace_start", "trace_end", "trace_has_error",
+        "trace_root_id",
+    )
