@@ -55,14 +55,17 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Sets a
-    local one only when none is configured, which happens in tests only.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Where none
+    is configured, a session within one JVM (tests, the bench) gets a local one
+    and a cluster is refused: its executors would not see each other's files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tracewright-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", root)
