@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import sharding, simhash
+from tracewright.llm import langid, quality, sharding, simhash, simple8b, warc
+from tracewright.llm.common import fold, text_rows
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,52 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by subword embeddings, learned from labels outside the held-out fold."""
+    model = quality_model(spark, sf_dir)
+    docs = text_rows(table(spark, sf_dir, "documents"))
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    score = quality.scored(F.col("text"), model)
+    found = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= QUALITY_FLOOR).cast("int"))
+
+
+#: Score from which a document counts as good.
+QUALITY_FLOOR = 0.7
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    docs = text_rows(table(spark, sf_dir, "documents"))
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long"), F.col("quality").alias("label"))
+    return quality.fit(docs, labels.where(fold("doc_id", 4) != 2))
+
+
+def language_profiles(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return langid.learn_profiles(docs.where(fold("doc_id", 3) != 1))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents by rank-order profiles, learned from texts outside the held-out fold."""
+    docs = text_rows(table(spark, sf_dir, "documents"))
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    found = langid.predicted(F.col("text"), language_profiles(spark, sf_dir))
+    rows = docs.select("doc_id", held_out.alias("held_out"), found.alias("found"))
+    return rows.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents written to Simple-8b files in id order and read back."""
+    found = simple8b.round_trip(table(spark, sf_dir, "documents"), end_id=1)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, repeated payloads as revisits, and read back."""
+    found = warc.round_trip(table(spark, sf_dir, "pages"), min_revisit_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jump consistent hashing of all documents into 16 shards, with their place after one more shard."""
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=16)
@@ -31,6 +78,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op4_simhash": op4_simhash,
+    "op5_quality": op5_quality,
+    "op6_language": op6_language,
+    "op7_token_ids": op7_token_ids,
+    "op8_warc": op8_warc,
     "op9_sharding": op9_sharding,
 }
 
