@@ -1,21 +1,25 @@
 """Token ids of whole texts by a public tokenizer file, with a bounded table of words.
 
-The tokenizer's pre-tokens never cross white space and its normalizer never
-joins characters across it, so a text's ids are its words' ids in a row. Each
-worker keeps the ids of the words it has met and asks the tokenizers library for
-new ones only. Marker strings of special tokens inside a text are ordinary text.
+Where a tokenizer drops white space, its pre-tokens never cross it and its
+normalizer never joins characters across it, so a text's ids are its words' ids
+in a row. Each worker keeps the ids of the words it has met and asks the
+tokenizers library for new ones only: words of letters go to its model directly,
+all others through its whole chain. Other tokenizers encode whole texts. Marker
+strings of special tokens inside a text are ordinary text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import os
+import re
+from array import array
 
 import numpy as np
 
-from tracewright.llm.common import WordTable
-
 #: Tokenizers of this worker, by file.
 _LOADED: dict[str, "TextTokenizer"] = {}
+#: White space to Python but not to the tokenizer; texts with it are encoded whole.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -31,52 +35,89 @@ def tokenizer(path: str) -> "TextTokenizer":
     return _LOADED[path]
 
 
-class TextTokenizer:
-    """Encodes texts with a tokenizers file whose pre-tokenizer splits at white space."""
+def byte_letters() -> dict[int, str]:
+    """The character that byte-level models use for each byte: printable ones themselves, the others from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(0x100) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + i) for i, b in enumerate(others)}
 
-    def __init__(self, path: str, words: int = 400_000):
-        import os
 
+class TextTokenizer:
+    """Encodes texts with a tokenizers file; ``words`` bounds the table."""
+
+    def __init__(self, path: str, words: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.table = WordTable(self._learn, words)
-        self.cores = WordTable(self._encode_words, words)
-
-    def _encode_words(self, words: list[str]) -> list[np.ndarray]:
-        found = self.library.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, dtype=np.uint32) for e in found]
-
-    def _learn(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of new words. A closing full stop or comma is a token of its own after a letter, so it is split off first."""
-        cores, tails = [], []
+        self.model = self.library.model
+        self.letters = byte_letters()
+        self.limit = words
+        plain = lambda t: self.library.encode(t, add_special_tokens=False).ids
+        self.by_word = plain("ab \n cd") == plain("ab") + plain("cd")
+        self.direct = self.by_word and all(plain(w) == self._by_model(w.lower()) for w in ("Abc", "éa", "straße", "ñ"))
+        self._clear()
+
+    def _clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.start, self.size, self.pool = array("q"), array("q"), array("I")
+
+    def _by_model(self, word: str) -> list[int]:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(word)]
+
+    def _add(self, ids: list[int]) -> int:
+        self.start.append(len(self.pool))
+        self.size.append(len(ids))
+        self.pool.extend(ids)
+        return len(self.size) - 1
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words. A closing full stop or comma after a letter is a token of its own, so it is split off."""
+        place, slow = self.place, []
         for w in words:
-            if len(w) > 1 and w[-1] in ".," and w[-2].isalpha():
-                cores.append(_lower(w[:-1]))
-                tails.append(w[-1])
-            else:
-                cores.append(_lower(w))
-                tails.append("")
-        ends = {t: self._encode_words([t])[0] for t in set(tails) if t}
-        at = self.cores.lookup(cores)
-        values = self.cores.values
-        return [np.concatenate([values[i], ends[t]]) if t else values[i] for i, t in zip(at, tails)]
+            core, tail = (w[:-1], w[-1]) if len(w) > 1 and w[-1] in ".," else (w, "")
+            if not (self.direct and core.isalpha() and max(core) < "ƀ" and "İ" not in core):
+                slow.append(w)
+                continue
+            core = core.lower()
+            at = place.get(core)
+            if at is None:
+                at = place[core] = self._add(self._by_model(core))
+            if tail:
+                a = self.start[at]
+                end = place.get(tail)
+                if end is None:
+                    end = place[tail] = self._add(self._encode([tail])[0])
+                b = self.start[end]
+                at = self._add(self.pool[a : a + self.size[at]] + self.pool[b : b + self.size[end]])
+            place[w] = at
+        for w, ids in zip(slow, self._encode(slow) if slow else ()):
+            place[w] = self._add(ids)
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of one whole text as unsigned 32-bit integers (null or blank: none)."""
-        words = text.split() if text else []
+        if not text:
+            return np.empty(0, dtype=np.uint32)
+        if not self.by_word or _SEPARATORS.search(text):
+            return np.array(self._encode([text])[0], dtype=np.uint32)
+        words = text.split()
         if not words:
             return np.empty(0, dtype=np.uint32)
-        at = self.table.lookup(words)
-        values = self.table.values
-        return np.concatenate([values[i] for i in at])
-
-    def batch(self, texts: Iterable[str | None]) -> list[np.ndarray]:
-        return [self.ids(t) for t in texts]
-
-
-def _lower(word: str) -> str:
-    """Lower case where Python and the tokenizer agree for sure, so that fewer words are distinct."""
-    return word.lower() if word.isascii() else word
+        at = list(map(self.place.get, words))
+        if None in at:
+            new = dict.fromkeys(w for w, i in zip(words, at) if i is None)
+            if len(self.place) + len(new) > self.limit:
+                self._clear()
+                new = dict.fromkeys(words)
+            self._learn(list(new))
+            at = list(map(self.place.__getitem__, words))
+        at = np.array(at)
+        size = np.frombuffer(self.size, dtype=np.int64)[at]
+        first = np.frombuffer(self.start, dtype=np.int64)[at] - (np.cumsum(size) - size)
+        return np.frombuffer(self.pool, dtype=np.uint32)[np.repeat(first, size) + np.arange(size.sum())]
