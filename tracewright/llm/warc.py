@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull
 
+from tracewright.llm.common import stored
 from tracewright.llm.shared_files import Appender, listed, open_random
 from tracewright.session import scratch_path
 
@@ -89,10 +90,10 @@ def write_archives(
 ) -> None:
     """Writes one record per page under ``path``; repeated payloads of at least ``min_revisit_bytes`` become revisits.
 
-    The first id of each repeated payload is an aggregate over (digest, id);
-    only pages of repeated payloads meet it, by digest, so page bytes move at
-    most once and a payload that a third of the pages share is an ordinary
-    skewed join.
+    The first id of each repeated payload is an aggregate over (digest, id),
+    written out before pages meet it by digest: its size is then known, so
+    Spark sends it to all tasks if it is small, and else moves page bytes once
+    in a join whose skewed keys it splits.
     """
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
@@ -106,7 +107,7 @@ def write_archives(
         .where("n > 1")
         .select("digest", "first")
     )
-    marked = rows.join(firsts, "digest", "left").select("page_id", "url", "payload", "digest", "first")
+    marked = rows.join(stored(firsts, "warc-firsts"), "digest", "left").select("page_id", "url", "payload", "digest", "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
