@@ -35,7 +35,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from tracewright.llm.common import ranked, shuffle_width
 from tracewright.llm.tokens import tokenizer, tokenizer_path
@@ -71,20 +70,24 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(model)
-        end = np.array([end_id], dtype=np.uint32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                out: list[tuple] = []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = np.concatenate([encoder.ids(text), end])
-                    for k, a in enumerate(range(0, len(ids), capacity)):
-                        cut = ids[a : a + capacity]
-                        out.append((key, k, a, len(cut), cut.astype("<u4").tobytes()))
-                columns = zip(*out)
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
+                ids, lengths = encoder.batch(some.column(1).to_pylist(), end_id)
+                cuts = -(-lengths // capacity)  # pieces of each document
+                of = np.repeat(np.arange(len(lengths)), cuts)
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+                length = np.minimum(capacity, lengths[of] - piece * capacity)
+                edges = np.concatenate([[0], np.cumsum(length)]) * 4
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=t) for c, t in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids"]
+                    [
+                        some.column(0).take(pa.array(of)),
+                        pa.array(piece.astype(np.int32)),
+                        pa.array(piece * capacity),
+                        pa.array(length),
+                        pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(ids.astype("<u4"))]),
+                    ],
+                    names=["doc_id", "piece", "start", "length", "ids"],
                 )
 
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
@@ -308,9 +311,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, settings: Settings = Settings(
 
 
 def packed_sequences(placed: DataFrame) -> DataFrame:
-    """``sequence_id, ids`` of the packed sequences of :func:`pack` over :func:`token_pieces`; a sequence is at most ``capacity`` ids."""
-    parts = F.sort_array(F.collect_list(F.struct("offset", "ids")))
-    return placed.groupBy("sequence_id").agg(F.expr("array_join(transform(sort_array(collect_list(struct(offset, hex(ids)))), x -> x.col2), '')").alias("h"), F.max(F.lit(1)).alias("one")).select("sequence_id", F.unhex("h").alias("ids")) if parts is not None else placed
-
-
-__all__ = ["Settings", "W", "best_fit", "crossover", "evolve", "mutate", "pack", "packed_sequences", "search", "token_pieces"]
+    """``sequence_id, ids`` of :func:`pack` over :func:`token_pieces`; a sequence holds at most ``capacity`` ids."""
+    parts = F.sort_array(F.collect_list(F.struct("offset", F.hex("ids").alias("h"))))
+    joined = F.unhex(F.array_join(F.transform(parts, lambda p: p["h"]), ""))
+    return placed.groupBy("sequence_id").agg(joined.alias("ids"))

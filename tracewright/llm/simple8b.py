@@ -53,7 +53,6 @@ _MAGIC = b"S8B1\x01\x00\x00\x00"
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``words, block offsets`` of the ids. Each step fills one word of every unfinished block."""
-    ids = np.ascontiguousarray(ids, dtype=np.uint64)
     n = len(ids)
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
@@ -61,18 +60,14 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     counts = np.array([c for c, _ in SELECTORS] + [1])
     at = np.arange(0, n, BLOCK)
     stop = np.minimum(at + BLOCK, n)
-    steps: list[tuple[np.ndarray, np.ndarray]] = []
-    live = np.arange(len(at))
-    cursor = at.copy()
-    while live.size:
-        here = cursor[live]
-        steps.append((live, here))
-        cursor[live] = here + counts[choice[here]]
-        live = live[cursor[live] < stop[live]]
-    block = np.concatenate([b for b, _ in steps])
-    first = np.concatenate([p for _, p in steps])
-    order = np.lexsort((first, block))
-    block, first = block[order], first[order]
+    begins = np.zeros(n, dtype=bool)
+    cursor, stop_live = at.copy(), stop
+    while cursor.size:
+        begins[cursor] = True
+        cursor = cursor + counts[choice[cursor]]
+        live = cursor < stop_live
+        cursor, stop_live = cursor[live], stop_live[live]
+    first = np.flatnonzero(begins)
     kind = choice[first]
     words = np.zeros(len(first), dtype=np.uint64)
     for s, (count, bits) in enumerate(SELECTORS):
@@ -82,7 +77,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         word = np.full(len(rows), np.uint64(s) << np.uint64(60))
         if bits:
             for k in range(count):
-                word |= ids[first[rows] + k] << np.uint64(k * bits)
+                word |= ids[first[rows] + k].astype(np.uint64) << np.uint64(k * bits)
         words[rows] = word
     escaped = kind == 16
     width = 1 + escaped.astype(np.int64)
@@ -90,22 +85,29 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     out = np.zeros(int(width.sum()), dtype=np.uint64)
     out[place] = np.where(escaped, _ESCAPE, words)
     out[place[escaped] + 1] = ids[first[escaped]]
-    return out, place[np.searchsorted(block, np.arange(len(at)))].astype(np.uint64)
+    return out, place[np.searchsorted(first, at)].astype(np.uint64)
 
 
 def _choices(ids: np.ndarray) -> np.ndarray:
     """For each position the selector whose word may start there: the most ids that fit and stay in the block (16: escape)."""
     n = len(ids)
-    left = np.minimum(BLOCK - np.arange(n) % BLOCK, n - np.arange(n))
+    left = np.tile(np.arange(BLOCK, 0, -1, dtype=np.int16), -(-n // BLOCK))[:n]  # ids left in the block
+    rest = n - (n - 1) // BLOCK * BLOCK
+    left[n - rest :] = np.arange(rest, 0, -1)
     best = np.full(n, 16, dtype=np.int8)
+    largest = int(ids.max())
     for s in range(len(SELECTORS) - 1, -1, -1):
         count, bits = SELECTORS[s]
-        limit = np.uint64((1 << bits) - 1) if bits < 60 else np.uint64((1 << 60) - 2)
-        wide = np.concatenate([[0], np.cumsum(ids > limit)])
-        fits = left >= count
-        rows = np.flatnonzero(fits)
-        rows = rows[wide[rows + count] == wide[rows]]
-        best[rows] = s
+        limit = (1 << bits) - 1 if bits < 60 else (1 << 60) - 2
+        if largest <= limit:
+            best[left >= count] = s
+            continue
+        small = np.flatnonzero(ids <= ids.dtype.type(limit))
+        if len(small) < count:
+            break  # fewer fit for narrower words
+        run = small[: len(small) - count + 1]
+        run = run[small[count - 1 :] - run == count - 1]
+        best[run[left[run] >= count]] = s
     return best
 
 
@@ -205,27 +207,26 @@ def write_token_files(
         encoder = tokenizer(model)
         keys: list[int] = []
         held: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         size, number = 0, 0
-        end = np.array([end_id], dtype=np.uint32)
+        columns = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
         def flush() -> pa.RecordBatch:
-            lengths = np.array([len(h) for h in held], dtype=np.int64)
             name = f"{path}/part-{part:06d}-{number:06d}.s8b"
-            write_atomically(name, pack_file(np.array(keys, dtype=np.int64), lengths, np.concatenate(held)), attempt)
-            return pa.RecordBatch.from_pydict(
-                {"part": [part], "number": [number], "file": [name], "n_docs": [len(keys)], "n_ids": [int(lengths.sum())]},
-                schema=pa.schema([("part", pa.int32()), ("number", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]),
-            )
+            write_atomically(name, pack_file(np.array(keys, dtype=np.int64), np.concatenate(sizes), np.concatenate(held)), attempt)
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((part, number, name, len(keys), size), columns.types)], schema=columns)
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.concatenate([encoder.ids(text), end])
-                keys.append(NULL_KEY if key is None else key)
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
+                ids, lengths = encoder.batch(some.column(1).to_pylist(), end_id)
+                keys += [NULL_KEY if k is None else k for k in some.column(0).to_pylist()]
                 held.append(ids)
+                sizes.append(lengths)
                 size += len(ids)
                 if size >= ids_per_file:
                     yield flush()
-                    keys, held, size, number = [], [], 0, number + 1
+                    keys, held, sizes, size, number = [], [], [], 0, number + 1
         if keys:
             yield flush()
 

@@ -13,11 +13,15 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import accumulate, chain
 
 import numpy as np
 
 #: Tokenizers of this worker, by file.
 _LOADED: dict[str, "TextTokenizer"] = {}
+#: Letters whose lower case is the same to Python and to the tokenizer, and which stay as they are under NFC, then
+#: a run of punctuation (but no apostrophe, which the tokenizer may keep with letters).
+_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:-@\\[-`{-~]*)")
 #: White space to Python but not to the tokenizer; texts with it are encoded whole.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -45,7 +49,7 @@ def byte_letters() -> dict[int, str]:
 class TextTokenizer:
     """Encodes texts with a tokenizers file; ``words`` bounds the table."""
 
-    def __init__(self, path: str, words: int = 600_000):
+    def __init__(self, path: str, words: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
@@ -68,56 +72,79 @@ class TextTokenizer:
             word = word.encode().decode("latin-1").translate(self.letters)
         return [t.id for t in self.model.tokenize(word)]
 
-    def _add(self, ids: list[int]) -> int:
-        self.start.append(len(self.pool))
-        self.size.append(len(ids))
-        self.pool.extend(ids)
-        return len(self.size) - 1
-
     def _encode(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)] if words else []
+
+    def _add(self, keys: list[str], rows: list[list[int]]) -> None:
+        """Puts the ids of keys into the table."""
+        at = len(self.size)
+        sizes = list(map(len, rows))
+        self.start.extend(accumulate(sizes[:-1], initial=len(self.pool)) if sizes else ())
+        self.size.extend(sizes)
+        self.pool.extend(chain.from_iterable(rows))
+        self.place.update(zip(keys, range(at, at + len(keys))))
 
     def _learn(self, words: list[str]) -> None:
-        """Ids of new words. A closing full stop or comma after a letter is a token of its own, so it is split off."""
-        place, slow = self.place, []
+        """Ids of new words. A run of punctuation after letters is a pre-token of its own, so it is split off."""
+        place = self.place
+        slow, open_words, open_cores, closed, closed_cores, tails = [], [], [], [], [], []
         for w in words:
-            core, tail = (w[:-1], w[-1]) if len(w) > 1 and w[-1] in ".," else (w, "")
-            if not (self.direct and core.isalpha() and max(core) < "ƀ" and "İ" not in core):
+            if self.direct and w.isascii() and w.isalpha():
+                open_words.append(w)
+                open_cores.append(w.lower())
+            elif self.direct and (m := _SIMPLE.fullmatch(w)):
+                if m[2]:
+                    closed.append(w)
+                    closed_cores.append(m[1].lower())
+                    tails.append(m[2])
+                else:
+                    open_words.append(w)
+                    open_cores.append(w.lower())
+            else:
                 slow.append(w)
-                continue
-            core = core.lower()
-            at = place.get(core)
-            if at is None:
-                at = place[core] = self._add(self._by_model(core))
-            if tail:
-                a = self.start[at]
-                end = place.get(tail)
-                if end is None:
-                    end = place[tail] = self._add(self._encode([tail])[0])
-                b = self.start[end]
-                at = self._add(self.pool[a : a + self.size[at]] + self.pool[b : b + self.size[end]])
-            place[w] = at
-        for w, ids in zip(slow, self._encode(slow) if slow else ()):
-            place[w] = self._add(ids)
+        self._add(slow, self._encode(slow))
+        new = [c for c in dict.fromkeys(chain(open_cores, closed_cores)) if c not in place]
+        self._add(new, list(map(self._by_model, new)))
+        place.update(zip(open_words, map(place.__getitem__, open_cores)))
+        if closed:
+            kinds = list(dict.fromkeys(tails))
+            ends = dict(zip(kinds, self._encode(kinds)))
+            start, size, pool = self.start, self.size, self.pool
+            at = [place[c] for c in closed_cores]
+            self._add(closed, [[*pool[start[i] : start[i] + size[i]], *ends[t]] for i, t in zip(at, tails)])
+
+    def batch(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """``ids, lengths``: the ids of some whole texts in a row, each followed by ``end_id`` if there is one."""
+        if not self.by_word or any(t and _SEPARATORS.search(t) for t in texts):
+            rows = [np.array(r, dtype=np.uint32) for r in self._encode([t or "" for t in texts])]
+            flat = np.concatenate([np.empty(0, np.uint32), *rows])
+            lengths = np.array([len(r) for r in rows], dtype=np.int64)
+        else:
+            split = [t.split() if t else [] for t in texts]
+            words = list(chain.from_iterable(split))
+            at = list(map(self.place.get, words))
+            if None in at:
+                new = dict.fromkeys(w for w, i in zip(words, at) if i is None)
+                if len(self.place) + len(new) > self.limit:
+                    self._clear()
+                    new = dict.fromkeys(words)
+                self._learn(list(new))
+                at = list(map(self.place.__getitem__, words))
+            at = np.array(at, dtype=np.int64)
+            if len(at):
+                size = np.frombuffer(self.size, dtype=np.int64)[at]
+                to = np.cumsum(size)
+                first = np.frombuffer(self.start, dtype=np.int64)[at] - (to - size)
+                flat = np.frombuffer(self.pool, dtype=np.uint32)[np.repeat(first, size) + np.arange(to[-1])]
+            else:
+                to, flat = np.empty(0, np.int64), np.empty(0, np.uint32)
+            ends = np.concatenate([[0], to])[np.cumsum([len(s) for s in split], dtype=np.int64)] if split else np.empty(0, np.int64)
+            lengths = np.diff(ends, prepend=0)
+        if end_id is not None:
+            flat = np.insert(flat, np.cumsum(lengths), np.uint32(end_id))
+            lengths = lengths + 1
+        return flat, lengths
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of one whole text as unsigned 32-bit integers (null or blank: none)."""
-        if not text:
-            return np.empty(0, dtype=np.uint32)
-        if not self.by_word or _SEPARATORS.search(text):
-            return np.array(self._encode([text])[0], dtype=np.uint32)
-        words = text.split()
-        if not words:
-            return np.empty(0, dtype=np.uint32)
-        at = list(map(self.place.get, words))
-        if None in at:
-            new = dict.fromkeys(w for w, i in zip(words, at) if i is None)
-            if len(self.place) + len(new) > self.limit:
-                self._clear()
-                new = dict.fromkeys(words)
-            self._learn(list(new))
-            at = list(map(self.place.__getitem__, words))
-        at = np.array(at)
-        size = np.frombuffer(self.size, dtype=np.int64)[at]
-        first = np.frombuffer(self.start, dtype=np.int64)[at] - (np.cumsum(size) - size)
-        return np.frombuffer(self.pool, dtype=np.uint32)[np.repeat(first, size) + np.arange(size.sum())]
+        return self.batch([text])[0]
