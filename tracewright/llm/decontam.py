@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -258,6 +259,32 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
     return found
 
 
+def without_matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` without the rows whose text holds a benchmark item; all columns as they were.
+
+    The test is a function of the text, so rows need no id and none is joined.
+    """
+    s = settings
+    kept = docs
+    for block in item_blocks(benchmark, s):
+        sent = docs.sparkSession.sparkContext.broadcast(block)  # at most ``block_chars`` characters
+
+        def clean(parts, sent=sent):
+            index = Index(sent.value, s)
+            for texts in parts:
+                flags = np.ones(len(texts), dtype=bool)
+                sizes = np.array([len(t) if t else 0 for t in texts]).cumsum() // s.batch_chars
+                for k in np.unique(sizes):
+                    rows = np.flatnonzero(sizes == k)
+                    for t, *_ in index.search([plain(texts.iloc[r]) for r in rows]):
+                        flags[rows[t]] = False
+                yield pd.Series(flags)
+
+        test = F.pandas_udf(clean, "boolean", functionType=F.PandasUDFType.SCALAR_ITER)
+        kept = kept.where(test(F.col("text").cast("string")))
+    return kept
+
+
 def _report(index: Index, held: list[tuple[int, str, str]]) -> Iterator[tuple]:
     for t, i, edits, start, stop in index.search([h[2] for h in held]):
         key, text, _ = held[t]

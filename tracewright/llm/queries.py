@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import langid, quality, sharding, simhash, simple8b, warc
-from tracewright.llm.common import fold, text_rows
+from tracewright.llm import decontam, langid, packing, quality, sharding, simhash, simple8b, spotsigs, transcripts, warc
+from tracewright.llm.common import fold, stored, text_rows
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SpotSigs fingerprints of all documents and of their edited texts, with their likenesses."""
+    return spotsigs.neighbour_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def packing_digest(docs: DataFrame) -> DataFrame:
+    """Places of all pieces in sequences of 2048 ids, with a checksum of each piece's ids."""
+    pieces = packing.token_pieces(docs, capacity=2048, end_id=0)
+    digests = stored(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "packing-pieces")
+    placed = packing.pack(digests, capacity=2048)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids packed into as few sequences of 2048 as the genetic search finds."""
+    return packing_digest(table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where benchmark items occur in documents within their edit budgets, a row for each document and item (window)."""
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components over four-word shingles, linked at 4 or fewer differing bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -76,13 +99,38 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles and turns of all conversations, written as raw transcripts, recovered and rendered line by line.
+
+    The model is learned from the conversations whose crc32(conv_id as text) mod 4 is not 2.
+    """
+    lines = stored(transcripts.raw_lines(table(spark, sf_dir, "conversations")), "transcript-lines")
+    model = transcripts.fit(lines.where(fold("conv", 4) != 2))
+    found = transcripts.rendered(transcripts.decode(lines, model))
+    held_out = F.coalesce(fold("conv", 4) == 2, F.lit(False))
+    turn = F.floor(F.col("line") / transcripts.LINES_A_TURN)
+    return found.select(
+        F.col("conv").cast("long").alias("conv_id"),
+        turn.alias("turn"),
+        F.pmod("line", F.lit(transcripts.LINES_A_TURN)).alias("line"),
+        held_out.alias("held_out"),
+        F.col("role").alias("role_pred"),
+        F.col("first").alias("begins_turn"),
+        "piece",
+    )
+
+
 QUERIES: dict[str, QueryFn] = {
+    "op1_spotsigs": op1_spotsigs,
+    "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
     "op7_token_ids": op7_token_ids,
     "op8_warc": op8_warc,
     "op9_sharding": op9_sharding,
+    "op10_chat": op10_chat,
 }
 
 ORACLE: dict[str, str] = {}
