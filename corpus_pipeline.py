@@ -6,20 +6,47 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracewright.llm import simhash
+from tracewright.llm import decontam, langid, quality, queries, simhash
 from tracewright.llm.common import stored
 
 StageFn = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no learned language is found (no letter at all) go; profiles are those of the language query."""
+    found = langid.predicted(F.col("text"), queries.language_profiles(spark, sf_dir))
+    return docs.where(found["lang_pred"] != langid.UNKNOWN)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a quality score below 0.7 go; the model is that of the quality query."""
+    return docs.where(quality.scored(F.col("text"), queries.quality_model(spark, sf_dir)) >= queries.QUALITY_FLOOR)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: one document of each component stays, the one with the smallest id."""
     return simhash.keep_one(docs, shingle=4, max_bits=4)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within its edit budget go."""
+    benchmark = spark.read.parquet(os.path.join(sf_dir, "benchmark.parquet"))
+    return decontam.without_matches(docs, benchmark)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The remaining documents' ids packed into sequences; a row for each piece."""
+    return queries.packing_digest(docs)
+
+
 STAGES: list[tuple[str, StageFn]] = [
-    ("near_duplicates", near_duplicates),
+    ("language_id", language),
+    ("quality_classifier", good_quality),
+    ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontaminated),
+    ("best_fit_packing", packed),
 ]
 
 #: SQL cannot express the stages; tests compare them with brute force.
