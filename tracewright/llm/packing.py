@@ -234,6 +234,16 @@ def _to_plan(patterns, counts) -> Plan:
     return {tuple(int(x) for x in p): int(c) for p, c in zip(patterns, counts)}
 
 
+def _island_era(era: int, demand: Counter, capacity: int, s: Settings):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        island = int(group["island"].iloc[0])
+        start = [_to_plan(p, c) for p, c in zip(group["patterns"], group["counts"])]
+        best = evolve(start, demand, capacity, s, s.seed + 1000 * era + island)[0]
+        return pd.DataFrame([_to_row(island, best)])
+
+    return run
+
+
 def search(spark, demand: Counter, capacity: int, s: Settings = Settings()) -> Plan:
     """The best plan of all islands after all eras.
 
@@ -252,13 +262,7 @@ def search(spark, demand: Counter, capacity: int, s: Settings = Settings()) -> P
         rows = [_to_row(i, p) for i, group in elites.items() for p in group]
         people = spark.createDataFrame([(r["island"], r["patterns"], r["counts"]) for r in rows], schema)
 
-        def island_era(group: pd.DataFrame, era: int = era) -> pd.DataFrame:
-            island = int(group["island"].iloc[0])
-            start = [_to_plan(p, c) for p, c in zip(group["patterns"], group["counts"])]
-            best = evolve(start, demand, capacity, s, s.seed + 1000 * era + island)[0]
-            return pd.DataFrame([_to_row(island, best)])
-
-        found = people.groupBy("island").applyInPandas(island_era, schema).collect()  # a plan for each island
+        found = people.groupBy("island").applyInPandas(_island_era(era, demand, capacity, s), schema).collect()  # a plan for each island
         best = {r.island: _to_plan(r.patterns, r.counts) for r in found}
         elites = {i: [best[i], best[(i - 1) % s.islands]] for i in best}  # the neighbour's elite migrates here
     people = [p for group in elites.values() for p in group] + [first]
