@@ -28,7 +28,7 @@ _PROBES = (
     "It's A1b2 don't, x_y!'s", "Éa ½² straße\tñ «q»", "a \n\r b", "__ ~{|} 's'll", "we've'restart'mm'd'dd ''t !'re 'v 'l", "'",
 )
 #: Characters of texts worked on at once.
-_BATCH = 1 << 20
+_BATCH = 1 << 19
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -171,7 +171,7 @@ class _Table:
 class TextTokenizer:
     """Encodes texts with a tokenizers file; ``words`` bounds the table."""
 
-    def __init__(self, path: str, words: int = 2_000_000):
+    def __init__(self, path: str, words: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
