@@ -30,7 +30,7 @@ UNKNOWN = "und"
 #: characters is one number: 21 bits hold any code point.
 PROFILE, LONGEST, _BITS = 400, 3, 21
 #: Distinct (language, word) counts that a task holds before it passes their n-grams on.
-HELD_WORDS = 200_000
+HELD_WORDS = 50_000
 #: Border of a word.
 _BORDER = ord("_")
 
@@ -108,7 +108,7 @@ class Identifier:
         self.places = np.full((len(self.codes), len(self.langs)), -1, dtype=np.int64)
         for i, lang in enumerate(self.langs):
             self.places[np.searchsorted(self.codes, profiles[lang]), i] = np.arange(len(profiles[lang]))
-        self.table = WordTable(lambda words: [grams_of(w) for w in words], limit=200_000)
+        self.table = WordTable(lambda words: [grams_of(w) for w in words], limit=120_000)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """``language, score``: the share by which its distance is below the largest possible."""

@@ -161,7 +161,7 @@ class Scorer:
     def __init__(self, parts: np.ndarray, bias: float, settings: Settings):
         self.parts, self.bias, self.settings = parts, bias, settings
         self.again = float(parts[again(settings)])
-        self.table = WordTable(self._learn)
+        self.table = WordTable(self._learn, limit=200_000)
 
     def _learn(self, words: list[str]) -> list[tuple[float, int]]:
         ids = [features(w, self.settings) for w in words]
