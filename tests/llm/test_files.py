@@ -67,8 +67,8 @@ def test_simple8b_selectors_and_damage():
 
 def test_token_files_round_trip(spark, tmp_dir):
     rng = random.Random(2)
-    rows = [(i, " ".join(rng.choice(["cat", "Dog,", "sun.", "12"]) for _ in range(rng.randint(0, 50)))) for i in range(90)]
-    rows += [(200, None), (201, ""), (5, rows[5][1]), (None, "first of all")]
+    rows = [(i, " ".join(rng.choice(["cat", "Dog,", "sun.", "12"]) for _ in range(rng.randint(0, 50)))) for i in range(1500)]
+    rows += [(2000, None), (2001, ""), (5, rows[5][1]), (None, "first of all")]
     df = spark.createDataFrame(rows, DOCS).repartition(6).withColumns({"start": F.lit("a"), "part": F.lit(1)})
     manifest = simple8b.write_token_files(df, f"file://{tmp_dir}/ids", ids_per_file=200)
     assert manifest.count() > 8 and len(listed(f"file://{tmp_dir}/ids", ".s8b")) == manifest.count()
