@@ -177,11 +177,47 @@ def test_span_local_chain_has_no_exchange(spark):
     assert count_exchanges(chained) == count_exchanges(plain)
 
 
-def test_alias_table_size_is_bounded():
-    import pytest
+def test_alias_table_of_any_size(spark):
+    df = df_of(spark, [finagle_server_span()])
+    name = rows(df)[0]["annotations"][0]["endpoint"]["service_name"]
+    aliases = {f"s{i}": f"t{i}" for i in range(50_000)} | {name.lower(): "found"}
+    out = A.normalize_services(aliases)(df).selectExpr("annotations.endpoint.service_name AS s").first()["s"]
+    assert set(out) == {"found"}
+
+
+def test_extreme_times_do_not_stop_a_batch(spark):
+    from tracewright.operators import report as R
+    from tracewright.operators import trace as T
+
+    df = df_of(spark, [finagle_server_span()])
+    big = df.withColumns({"timestamp": F.lit(2**63 - 1), "duration": F.lit(2**63 - 1)})
+    small = df.withColumns({"timestamp": F.lit(-(2**63)), "duration": F.lit(None).cast("bigint")})
+    ann = "transform(annotations, a -> named_struct('timestamp', if(a.value = 'sr', -9000000000000000000L, 9000000000000000000L), 'value', a.value, 'endpoint', a.endpoint))"
+    wide = df.withColumn("annotations", F.expr(ann))
+    spans = big.union(big).union(small).union(wide)
+    assert A.backfill_timestamp_duration(spans).count() == 4
+    assert A.backfill_timestamp_duration(wide).first()["duration"] is None
+    for report in (T.group_traces, R.spans_per_window, R.service_latency, lambda d: T.trace_sessions(d, 10**6), T.with_trace_context):
+        assert len(report(spans).collect()) > 0
+
+
+def test_failing_spans_do_not_depend_on_partitions(spark):
+    from tracewright.plans.catalog import _fails_on_some
+    from tracewright.sources.events import spans_table
+
+    df = spans_table(spark, "/root/testdata/sf0.001")
+    want = {r.id: (r.name if r.id % 50 == 0 else r.name.upper()) for r in df.select("id", "name").collect()}
+    for parts in (1, 4, 64):
+        got = A.python_adjuster(_fails_on_some)(df.repartition(parts)).select("id", "name").collect()
+        assert {r.id: r.name for r in got} == want
 
-    with pytest.raises(ValueError):
-        A.normalize_services({f"s{i}": "x" for i in range(A.MAX_ALIAS_ENTRIES + 1)})
+
+def test_scrub_leaves_other_kinds_alone(spark):
+    df = df_of(spark, [finagle_server_span()]).withColumn(
+        "binary_annotations",
+        F.expr("array(named_struct('key', 'k', 'value', X'ff406180', 'type', 'BYTES', 'endpoint', binary_annotations[0].endpoint))"),
+    )
+    assert bytes(A.scrub()(df).first()["binary_annotations"][0]["value"]) == b"\xff@a\x80"
 
 
 def test_rekey_keeps_every_parent_link(spark):

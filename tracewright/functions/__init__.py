@@ -1,12 +1 @@
-"""Column-expression helpers (JVM-side, codegen-friendly; no Python UDFs)."""
-
-from tracewright.functions.ids import hex16, parse_hex_id, trace_key  # noqa: F401
-from tracewright.functions.spans import (  # noqa: F401
-    annotation_time,
-    has_annotation,
-    has_error_tag,
-    has_tag_key_containing,
-    has_tag_value_in,
-    span_service,
-)
-from tracewright.functions.time import epoch_micros  # noqa: F401
+"""Column helpers."""

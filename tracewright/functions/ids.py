@@ -22,12 +22,3 @@ def trace_key(high: str | Column = "trace_id_high", low: str | Column = "trace_i
     """
     h = _col(high)
     return F.concat(F.when(h != 0, hex16(h)).otherwise(F.lit("")), hex16(low))
-
-
-def parse_hex_id(c: str | Column) -> Column:
-    """Up to 16 hex digits -> signed BIGINT; anything else -> null.
-
-    ``conv`` returns 0 for garbage, so the pattern is checked first.
-    """
-    s = F.lower(_col(c))
-    return F.when(s.rlike("^[0-9a-f]{1,16}$"), F.conv(s, 16, -10).cast("bigint"))

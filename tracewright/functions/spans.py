@@ -1,4 +1,7 @@
-"""Predicates and accessors over the span arrays (higher-order functions).
+"""Predicates and accessors over the span arrays.
+
+They read single fields of the arrays' structs (``annotations.value`` is an
+array of values), so scans are pruned to those fields.
 
 ``exists`` over an array holding nulls, or over a null array, can be null, so
 every predicate is wrapped in ``coalesce(..., false)``: a null predicate counts
@@ -20,33 +23,35 @@ def _bool(c: Column) -> Column:
 
 
 def has_annotation(value: str) -> Column:
-    return _bool(F.exists("annotations", lambda a: a["value"] == F.lit(value)))
+    """Reads the values only, by a function of the leaf array."""
+    return _bool(F.array_contains(F.col("annotations.value"), value))
 
 
 def has_tag_key_containing(part: str) -> Column:
     """Any tag key containing ``part`` (case-sensitive substring)."""
-    return _bool(F.exists("binary_annotations", lambda b: F.instr(b["key"], part) > 0))
+    return _bool(F.exists(F.col("binary_annotations.key"), lambda k: F.instr(k, part) > 0))
 
 
 def has_tag_value_in(values: Iterable[str]) -> Column:
     """Any tag whose value, read as UTF-8, equals one of ``values`` (key ignored)."""
     vals = [F.lit(v) for v in values]
-    return _bool(F.exists("binary_annotations", lambda b: b["value"].cast("string").isin(*vals)))
+    return _bool(F.exists(F.col("binary_annotations.value"), lambda v: v.cast("string").isin(*vals)))
 
 
 def has_error_tag() -> Column:
-    return _bool(F.exists("binary_annotations", lambda b: b["key"] == F.lit(ERROR_KEY)))
-
-
-def annotation_time(value: str, agg: str = "min") -> Column:
-    """Earliest (``min``) or latest (``max``) timestamp of annotations named ``value``."""
-    times = F.transform(F.filter("annotations", lambda a: a["value"] == F.lit(value)), lambda a: a["timestamp"])
-    return F.array_min(times) if agg == "min" else F.array_max(times)
+    return _bool(F.array_contains(F.col("binary_annotations.key"), ERROR_KEY))
 
 
 def span_service() -> Column:
     """Contract: the smallest non-null service name among annotation endpoints,
     else among tag endpoints, else null."""
-    ann = F.array_min(F.transform("annotations", lambda a: a["endpoint"]["service_name"]))
-    tag = F.array_min(F.transform("binary_annotations", lambda b: b["endpoint"]["service_name"]))
+    ann = F.array_min(F.col("annotations.endpoint.service_name"))
+    tag = F.array_min(F.col("binary_annotations.endpoint.service_name"))
     return F.coalesce(ann, tag)
+
+
+def of_services(services: Iterable[str]) -> Column:
+    """any annotation or tag endpoint has one of the service names."""
+    names = F.array(*[F.lit(s) for s in services])
+    met = F.arrays_overlap(F.col("annotations.endpoint.service_name"), names)
+    return _bool(met) | _bool(F.arrays_overlap(F.col("binary_annotations.endpoint.service_name"), names))

@@ -2,14 +2,19 @@
 
 Span-local adjusters are projections. A conditional adjuster rewrites each
 column it touches as ``when(pred, new).otherwise(old)``; all rewrites read the
-*input* row (one ``withColumns``), so Catalyst collapses a chain of them into a
-single projection inside one whole-stage-codegen span, with no exchange.
+*input* row (one ``withColumns``), so a chain of them is a run of projections
+with no exchange. Rewrites of array elements are lambdas, which Spark evaluates
+outside generated code. Arithmetic is ``try_*``: no value of a span can stop a
+batch.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import logging
+import math
+import zlib
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -65,7 +70,7 @@ def guarded(adjuster: Adjuster) -> Adjuster:
             out.schema  # force analysis now, inside the guard
             return out
         except Exception as exc:  # noqa: BLE001 - isolation is the point
-            log.warning("unable to adjust spans with %r: %s", adjuster, exc)
+            log.warning("adjuster %r was left out, its plan cannot be built: %s", adjuster, exc)
             return df
 
     run.__name__ = getattr(adjuster, "__name__", "adjuster")
@@ -85,10 +90,10 @@ def conditional(
 
     ``predicate`` null counts as false. The predicate is evaluated once per
     row into a staging column, and ``prepare(pred)`` may stage shared
-    intermediate columns the updates read (e.g. annotation times), so each
-    array is walked once: lambda expressions never compare equal, so Spark
-    cannot de-duplicate repeated higher-order functions by itself. Staging
-    columns of non-trivial expressions are not collapsed back by Catalyst.
+    intermediate columns the updates read (e.g. annotation times): lambda
+    expressions never compare equal, so Spark cannot de-duplicate repeated
+    higher-order functions by itself. A later filter on a rewritten column may
+    still repeat a staged expression in the filter.
     """
 
     def run(df: DataFrame) -> DataFrame:
@@ -135,7 +140,8 @@ def _stage_times(pred: Column | None = None) -> dict[str, Column]:
 def backfill_updates() -> dict[str, Column]:
     """Contract: fill only null fields from the client pair (cs, cr) when cs is
     present, else from the server pair (sr, ss). Earliest start, latest end;
-    duration only when both ends exist and end > start. Reads the staged
+    duration only when both ends exist, end > start and it fits into 64 bits.
+    Reads the staged
     annotation times (see ``annotation_times``)."""
     t = F.col(_TIMES)
     has_cs = t["cs"].isNotNull()
@@ -143,7 +149,7 @@ def backfill_updates() -> dict[str, Column]:
     end = F.when(has_cs, t["cr"]).otherwise(t["ss"])
     return {
         "timestamp": F.coalesce(F.col("timestamp"), start),
-        "duration": F.coalesce(F.col("duration"), F.when(end > start, end - start)),
+        "duration": F.coalesce(F.col("duration"), F.when(end > start, F.try_subtract(end, start))),
     }
 
 
@@ -229,25 +235,38 @@ def rekey(salt: int) -> Adjuster:
 
 
 # --- A14: normalize service names -------------------------------------------
-MAX_ALIAS_ENTRIES = 10_000
+def _alias_lookup(aliases: Mapping[str, str]) -> Callable[[Column], Column]:
+    """Alias of a name, or null, from one folded constant: a map of maps by the name's hash.
+
+    A map is searched from its start, so ``n`` aliases in about ``sqrt(n)`` maps
+    cost ``2 * sqrt(n)`` steps, and any number of them is one literal.
+    """
+    parts = max(1, math.isqrt(len(aliases)))
+    table: dict[str, dict[str, str]] = {}
+    for k, v in sorted(aliases.items()):
+        table.setdefault(str(zlib.crc32(k.encode()) % parts), {})[k] = v
+    maps = F.from_json(F.lit(json.dumps(table)), "map<string,map<string,string>>")
+
+    def find(name: Column) -> Column:
+        part = F.pmod(F.crc32(name.cast("binary")), F.lit(parts)).cast("string")
+        return F.try_element_at(F.try_element_at(maps, part), name)
+
+    return find
 
 
 def normalize_services(aliases: Mapping[str, str] | None = None, missing: str = "unknown") -> Adjuster:
     """Lower-case and trim every endpoint service name, map aliases, and
     fill missing (null or empty) names with ``missing``.
 
-    The alias table is configuration with a checked size bound; it is inlined
-    as a map literal, so the plan has no join and no broadcast at all.
+    The alias table is configuration of any size; it is one constant of the
+    plan, so there is no join and no broadcast.
     """
-    aliases = dict(aliases or {})
-    if len(aliases) > MAX_ALIAS_ENTRIES:
-        raise ValueError(f"alias table has {len(aliases)} entries; the limit is {MAX_ALIAS_ENTRIES}")
-    alias_map = F.create_map(*[F.lit(x) for kv in sorted(aliases.items()) for x in kv]) if aliases else None
+    find = _alias_lookup(aliases) if aliases else None
 
     def norm(name: Column) -> Column:
         n = F.lower(F.trim(name))
         n = F.when(n.isNull() | (n == ""), F.lit(missing)).otherwise(n)
-        return F.coalesce(F.element_at(alias_map, n), n) if alias_map is not None else n
+        return F.coalesce(find(n), n) if find is not None else n
 
     def fix_ep(ep: Column) -> Column:
         return F.when(ep.isNull(), ep).otherwise(ep.withField("service_name", norm(ep["service_name"])))
@@ -271,16 +290,19 @@ EMAIL_LOCAL_PART = r"[A-Za-z0-9._%+-]+@"
 
 
 def scrub(pattern: str = EMAIL_LOCAL_PART, replacement: str = "***@", hash_keys: Iterable[str] = ()) -> Adjuster:
-    """Mask matches of ``pattern`` in every tag value; tags whose key is in
-    ``hash_keys`` get the SHA-256 hex of their value instead."""
+    """Mask matches of ``pattern`` in the value of every string tag; tags
+    whose key is in ``hash_keys`` get the SHA-256 hex of their value instead, as
+    a string. Values of other kinds stay byte for byte."""
     hk = [F.lit(k) for k in hash_keys]
 
     def clean(b: Column) -> Column:
-        text = b["value"].cast("string")
-        masked = F.regexp_replace(text, pattern, replacement)
-        if hk:
-            masked = F.when(b["key"].isin(*hk), F.sha2(b["value"], 256)).otherwise(masked)
-        return b.withField("value", masked.cast("binary"))
+        masked = F.regexp_replace(b["value"].cast("string"), pattern, replacement).cast("binary")
+        value = F.when(F.coalesce(b["type"], F.lit("STRING")) == "STRING", masked).otherwise(b["value"])
+        if not hk:
+            return b.withField("value", value)
+        hashed = F.coalesce(b["key"].isin(*hk), F.lit(False))
+        value = F.when(hashed, F.sha2(b["value"], 256).cast("binary")).otherwise(value)
+        return b.withField("value", value).withField("type", F.when(hashed, F.lit("STRING")).otherwise(b["type"]))
 
     def run(df: DataFrame) -> DataFrame:
         return df.withColumn("binary_annotations", F.transform("binary_annotations", clean))
@@ -310,25 +332,39 @@ def python_adjuster(fn: Callable, name: str | None = None) -> Adjuster:
     """A span-level adjuster written in Python over Arrow record batches.
 
     ``fn(batch: pyarrow.RecordBatch) -> pyarrow.RecordBatch`` must keep the
-    span schema. It runs in ``mapInArrow`` (vectorised transfer, one batch at
-    a time, never a whole trace). A11: if ``fn`` raises for a batch, the batch
-    passes through unchanged and the failure is logged on the executor.
+    span schema and the rows. It runs in ``mapInArrow`` (vectorised transfer,
+    one batch at a time, never a whole trace). A11: if ``fn`` raises for a
+    batch, the batch is halved until the failing spans stand alone; only they
+    pass through unchanged, so the result does not depend on how spans are
+    batched or partitioned. A task logs the number of its failures once.
     """
     label = name or getattr(fn, "__name__", "python_adjuster")
 
+    def adjusted(batch, failures: list):
+        try:
+            out = fn(batch)
+            if out.schema != batch.schema or out.num_rows != batch.num_rows:
+                raise TypeError("adjuster changed the span schema or the number of spans")
+            yield out
+        except Exception as exc:  # noqa: BLE001 - isolation is the point
+            if batch.num_rows <= 1:
+                failures.append(exc)
+                yield batch
+                return
+            half = batch.num_rows // 2
+            yield from adjusted(batch.slice(0, half), failures)
+            yield from adjusted(batch.slice(half), failures)
+
     def guarded_batches(batches):
         import logging as _logging
 
-        _log = _logging.getLogger("tracewright.adjust")
+        count, last = 0, None
         for batch in batches:
-            try:
-                out = fn(batch)
-                if out.schema != batch.schema:
-                    raise TypeError("adjuster changed the span schema")
-                yield out
-            except Exception as exc:  # noqa: BLE001 - isolation is the point
-                _log.warning("unable to adjust spans with %s: %s", label, exc)
-                yield batch
+            failures: list = []
+            yield from adjusted(batch, failures)
+            count, last = count + len(failures), failures[-1] if failures else last
+        if count:
+            _logging.getLogger("tracewright.adjust").warning("%s left %d spans as they were; last error: %s", label, count, last)
 
     def run(df: DataFrame) -> DataFrame:
         from tracewright.session import ship_package

@@ -1,85 +1,146 @@
 """Reports over spans: time windows, service latency, dependency links.
 
-Every report is an aggregation with map-side combine before its exchange.
+Every report is an aggregation with map-side combine before its exchange. Spans
+without a time have a bucket of their own (null), and sums that do not fit into
+64 bits are null instead of stopping the report.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.spans import has_error_tag, span_service
 from tracewright.schema import TRACE_COLS
 
 
+def floor_div(value: Column, width: Column) -> Column:
+    """Bucket number of ``value``: integer division rounded down, which no value of 64 bits overflows."""
+    whole = F.call_function("div", value, width)
+    return whole - F.when((value < 0) & (value % width != 0), F.lit(1)).otherwise(F.lit(0))
+
+
 def spans_per_window(df: DataFrame, width: str = "1 hour") -> DataFrame:
     """Span counts per (tumbling event-time window, service).
 
-    ``window`` aligns to the epoch, so the result does not depend on the
-    session time zone; the start is returned as epoch micros.
+    Windows align to the epoch; the start is epoch micros. Spans without a
+    timestamp are counted in the window null.
     """
-    x = df.filter(F.col("timestamp").isNotNull()).select(
-        F.timestamp_micros("timestamp").alias("_ts"),
+    micros = F.expr(f"unix_micros(timestamp_micros(0L) + interval {width})")
+    x = df.select(
+        F.try_multiply(floor_div(F.col("timestamp"), micros), micros).alias("window_start"),
         span_service().alias("service"),
         has_error_tag().cast("bigint").alias("_err"),
         F.col("duration"),
     )
-    return x.groupBy(F.window("_ts", width).alias("w"), "service").agg(
+    return x.groupBy("window_start", "service").agg(
         F.count(F.lit(1)).alias("n_spans"),
         F.sum("_err").alias("n_errors"),
-        F.sum("duration").alias("sum_duration"),
-    ).select(F.unix_micros(F.col("w.start")).alias("window_start"), "service", "n_spans", "n_errors", "sum_duration")
+        F.try_sum("duration").alias("sum_duration"),
+    )
 
 
-LATENCY_ACCURACY = 10_000
+#: Percentiles of the latency report, in hundredths.
+LATENCY_PERCENTILES = {"p50_duration": 50, "p95_duration": 95}
 
 
-def service_latency(df: DataFrame, bucket_micros: int = 86_400_000_000, accuracy: int = LATENCY_ACCURACY) -> DataFrame:
-    """Per service and time bucket: count, sum/min/max duration, p50, p95.
+def _coarse(value: Column) -> Column:
+    """A rising step function of 64-bit numbers with at most 64 steps for each power of two."""
+    size = F.when(value < 0, F.bitwise_not(value)).otherwise(value)
+    shift = F.greatest(F.length(F.bin(size)) - 7, F.lit(0))
+    step = F.call_function("shiftright", size, shift.cast("int")) + shift.cast("bigint") * 128
+    return F.when(value < 0, F.bitwise_not(step)).otherwise(step)
 
-    Percentiles use ``percentile_approx`` (a bounded Greenwald-Khanna summary
-    per group, partially aggregated). It returns an actual element and is
-    exact while a group has fewer rows than ``accuracy``; beyond that its rank
-    error is at most n / accuracy. An exact percentile would keep every
-    distinct duration of a hot service in one buffer.
+
+def service_latency(df: DataFrame, bucket_micros: int = 86_400_000_000) -> DataFrame:
+    """Per service and time bucket: count, sum/min/max duration, exact p50 and p95.
+
+    A percentile is the smallest duration with at least that share of the
+    bucket's spans at or below it. Durations are counted by value; counts by
+    coarse step (a few thousand a group at most) tell which step holds each
+    rank, and values are put in order within those steps only, so no task
+    orders a whole group. Spans without timestamp or duration are counted in
+    ``n_untimed`` of their bucket (null without timestamp).
     """
-    ts = F.col("timestamp")
-    x = df.filter(ts.isNotNull() & F.col("duration").isNotNull()).select(
+    group = ["service", "bucket"]
+    x = df.select(
         span_service().alias("service"),
-        F.expr(f"(timestamp - pmod(timestamp, {bucket_micros}L)) div {bucket_micros}L").alias("bucket"),
-        "duration",
+        floor_div(F.col("timestamp"), F.lit(bucket_micros).cast("bigint")).alias("bucket"),
+        F.when(F.col("timestamp").isNotNull(), F.col("duration")).alias("duration"),
     )
-    agg = x.groupBy("service", "bucket").agg(
-        F.count(F.lit(1)).alias("n_spans"),
-        F.sum("duration").alias("sum_duration"),
-        F.min("duration").alias("min_duration"),
-        F.max("duration").alias("max_duration"),
-        F.percentile_approx("duration", [0.5, 0.95], accuracy).alias("_p"),  # one sketch, two ranks
+    values = x.groupBy(*group, "duration").agg(F.count(F.lit(1)).alias("n")).withColumn("step", _coarse(F.col("duration")))
+    timed = F.col("duration").isNotNull()
+    steps = values.groupBy(*group, "step").agg(
+        F.sum("n").alias("n"),
+        F.try_sum(F.col("duration").cast("decimal(38,0)") * F.col("n")).alias("sum"),
+        F.min("duration").alias("min"),
+        F.max("duration").alias("max"),
     )
-    return agg.select(
-        "service", "bucket", "n_spans", "sum_duration", "min_duration", "max_duration",
-        F.col("_p")[0].alias("p50_duration"), F.col("_p")[1].alias("p95_duration"),
+    known = F.col("step").isNotNull()
+    total = steps.groupBy(*group).agg(
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("n_spans"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("n_untimed"),
+        F.expr("try_cast(sum(sum) as bigint)").alias("sum_duration"),
+        F.min("min").alias("min_duration"),
+        F.max("max").alias("max_duration"),
+    )
+    same = lambda a, b, cols: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols]
+    # Rank of each percentile, and the step that holds it (rows: steps of a group, bounded).
+    upto = Window.partitionBy(*group).orderBy("step")
+    whole = Window.partitionBy(*group)
+    ranked = steps.where(known).select(
+        *group,
+        "step",
+        F.col("n"),
+        F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("last"),
+        F.sum("n").over(whole).alias("all"),
+    )
+    ranks = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.expr(f"(all * {p} + 99) div 100").alias("rank")) for k, p in LATENCY_PERCENTILES.items()]))
+    sought = (
+        ranked.select("*", ranks.alias("p"))
+        .where((F.col("p.rank") <= F.col("last")) & (F.col("p.rank") > F.col("last") - F.col("n")))
+        .select(*group, "step", "p.name", (F.col("p.rank") - (F.col("last") - F.col("n"))).alias("rank"))
+    )
+    inside = values.where(timed).alias("v").join(sought.select(*group, "step").distinct().alias("s"), same("v", "s", [*group, "step"]), "left_semi")
+    order = Window.partitionBy(*group, "step").orderBy("duration").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = inside.withColumn("last", F.sum("n").over(order))
+    found = (
+        placed.alias("v")
+        .join(sought.alias("s"), [*same("v", "s", [*group, "step"]), F.col("s.rank") <= F.col("v.last"), F.col("s.rank") > F.col("v.last") - F.col("v.n")])
+        .select("s.service", "s.bucket", "s.name", "v.duration")
+        .groupBy(*group)
+        .agg(*[F.max(F.when(F.col("name") == k, F.col("duration"))).alias(k) for k in LATENCY_PERCENTILES])
+    )
+    return (
+        total.alias("t")
+        .join(found.alias("f"), same("t", "f", group), "left")
+        .select("t.*", *[f"f.{k}" for k in LATENCY_PERCENTILES])
     )
 
 
 def dependency_links(df: DataFrame) -> DataFrame:
     """Parent service -> child service call and error counts.
 
-    Children are first reduced to one row per (trace, parent id, child
-    service) -- a parent with a million children becomes a handful of rows --
-    and parents to one row per (trace, id); only then are they joined.
+    One scan: every span is a parent row under its own id and, if it has a
+    parent, a child row under its parent's id. Rows are first reduced to one per
+    (trace, id, child service), so a parent with a million children becomes a
+    handful of rows; then each id's parent service meets its child rows.
     """
     s = df.select(
-        *TRACE_COLS, "id", "parent_id", span_service().alias("_svc"), has_error_tag().cast("bigint").alias("_err")
+        *TRACE_COLS, "id", "parent_id", span_service().alias("svc"), has_error_tag().cast("bigint").alias("err")
     )
-    children = (
-        s.filter(F.col("parent_id").isNotNull())
-        .groupBy(*TRACE_COLS, "parent_id", F.col("_svc").alias("child"))
-        .agg(F.count(F.lit(1)).alias("_calls"), F.sum("_err").alias("_errs"))
+    none = F.lit(None).cast("bigint")
+    own = F.struct(F.col("id").alias("key"), F.lit(True).alias("own"), F.col("svc").alias("svc"), none.alias("calls"), none.alias("errs"))
+    called = F.struct(F.col("parent_id").alias("key"), F.lit(False).alias("own"), F.col("svc").alias("svc"), F.lit(1).cast("bigint").alias("calls"), F.col("err").alias("errs"))
+    sides = F.when(F.col("parent_id").isNull(), F.array(own)).otherwise(F.array(own, called))
+    rows = s.select(*TRACE_COLS, F.explode(sides).alias("e")).select(*TRACE_COLS, "e.*")
+    reduced = rows.groupBy(*TRACE_COLS, "key", "own", "svc").agg(F.sum("calls").alias("calls"), F.sum("errs").alias("errs"))
+    within = Window.partitionBy(*TRACE_COLS, "key")  # a few rows: the services under one span id
+    met = reduced.withColumns(
+        {"parent": F.min(F.when(F.col("own"), F.col("svc"))).over(within), "known": F.max("own").over(within)}
     )
-    parents = s.groupBy(*TRACE_COLS, F.col("id").alias("parent_id")).agg(F.min("_svc").alias("parent"))
     return (
-        children.join(parents, [*TRACE_COLS, "parent_id"], "inner")
-        .groupBy("parent", "child")
-        .agg(F.sum("_calls").alias("call_count"), F.sum("_errs").alias("error_count"))
+        met.where(~F.col("own") & F.col("known"))
+        .groupBy("parent", F.col("svc").alias("child"))
+        .agg(F.sum("calls").alias("call_count"), F.sum("errs").alias("error_count"))
     )

@@ -25,9 +25,10 @@ def group_traces(df: DataFrame) -> DataFrame:
     numeric key is dropped for output, only the hex key remains).
 
     All aggregates are algebraic (count/min/max/sum) or a distinct count, so
-    Spark combines map-side before the single exchange on the trace key.
+    Spark combines map-side; the distinct count adds an exchange on (trace key,
+    service) before the one on the trace key.
     """
-    end = F.col("timestamp") + F.col("duration")
+    end = F.try_add("timestamp", "duration")
     return (
         df.select(*TRACE_COLS, "parent_id", "timestamp", "duration", span_service().alias("_svc"),
                   has_error_tag().cast("bigint").alias("_err"), end.alias("_end"))
@@ -48,28 +49,30 @@ def group_traces(df: DataFrame) -> DataFrame:
 def merge_by_id(df: DataFrame) -> DataFrame:
     """A10: halves / copies of one span id become one span (contract 2.10.2).
 
-    One aggregate on ``(trace_id_high, trace_id, id)``: scalars are min/max;
-    the arrays go through ``collect_set`` of whole arrays, which de-duplicates
-    identical copies map-side (a span stored a million times keeps one array
-    in the buffer), then are flattened, de-duplicated and sorted.
+    Scalars are min/max on ``(trace_id_high, trace_id, id)``. Array elements are
+    de-duplicated as rows of their own, on (span, element), before they are
+    gathered, so a span id with very many copies is spread over tasks and only
+    what the merged span itself holds comes together.
     """
-    merged = df.groupBy(*SPAN_KEY_COLS).agg(
+    scalars = df.groupBy(*SPAN_KEY_COLS).agg(
         F.coalesce(F.max(F.when(F.col("name") != "", F.col("name"))), F.lit("")).alias("name"),
         F.max("parent_id").alias("parent_id"),
         F.min("timestamp").alias("timestamp"),
         F.max("duration").alias("duration"),
-        F.collect_set("annotations").alias("_a"),
-        F.collect_set("binary_annotations").alias("_b"),
     )
-    return merged.select(
-        *SPAN_KEY_COLS,
-        "parent_id",
-        "name",
-        "timestamp",
-        "duration",
-        F.sort_array(F.array_distinct(F.flatten("_a"))).alias("annotations"),
-        F.sort_array(F.array_distinct(F.flatten("_b"))).alias("binary_annotations"),
-    ).select(*SPAN_COLUMNS)
+    keys = [F.col(k) for k in SPAN_KEY_COLS]
+    none = {c: F.lit(None).cast(df.schema[c].dataType.elementType) for c in ("annotations", "binary_annotations")}
+    sides = [
+        df.select(*keys, F.explode("annotations").alias("_a"), none["binary_annotations"].alias("_b")),
+        df.select(*keys, none["annotations"].alias("_a"), F.explode("binary_annotations").alias("_b")),
+    ]
+    elements = sides[0].union(sides[1]).distinct()
+    arrays = elements.groupBy(*SPAN_KEY_COLS).agg(
+        F.sort_array(F.collect_list("_a")).alias("annotations"),
+        F.sort_array(F.collect_list("_b")).alias("binary_annotations"),
+    )
+    empty = {c: F.coalesce(F.col(c), F.array().cast(df.schema[c].dataType)) for c in none}
+    return scalars.join(arrays, list(SPAN_KEY_COLS), "left").withColumns(empty).select(*SPAN_COLUMNS)
 
 
 def sample_traces(df: DataFrame, min_duration: int, keep_errors: bool = True) -> DataFrame:
@@ -78,9 +81,9 @@ def sample_traces(df: DataFrame, min_duration: int, keep_errors: bool = True) ->
 
     Decision per trace by partial aggregation; spans are then kept by a left
     semi join on the numeric key (no row of a kept trace is dropped, none
-    sampled). The decision side has one row per trace; AQE broadcasts it only
-    when its materialised size is under the threshold and splits skewed
-    partitions of the span side otherwise.
+    sampled). The decision side has one row per trace; Spark broadcasts it if
+    its estimated or measured size is under the threshold, and else splits
+    skewed partitions of the span side.
     """
     slow = F.max("duration") >= F.lit(min_duration)
     cond = F.coalesce(slow, F.lit(False))
@@ -99,24 +102,30 @@ def trace_sessions(df: DataFrame, gap_micros: int) -> DataFrame:
     width ``gap`` per trace -- spans in one bucket are < gap apart, so they
     always share a session; (2) a window over the *buckets* of a trace, whose
     count is bounded by the trace's time range / gap, not by its span count.
+    Spans without a timestamp are one row a trace with null start and end.
     """
     g = F.lit(gap_micros).cast("bigint")
     ts = F.col("timestamp")
     buckets = (
         df.filter(ts.isNotNull())
-        .select(*TRACE_COLS, ts.alias("ts"), F.expr(f"(timestamp - pmod(timestamp, {gap_micros}L)) div {gap_micros}L").alias("_bucket"))
+        .select(*TRACE_COLS, ts.alias("ts"), F.expr(f"timestamp div {gap_micros}L - if(timestamp < 0 and timestamp % {gap_micros}L <> 0, 1, 0)").alias("_bucket"))
         .groupBy(*TRACE_COLS, "_bucket")
         .agg(F.min("ts").alias("_min"), F.max("ts").alias("_max"), F.count(F.lit(1)).alias("_n"))
     )
     w = Window.partitionBy(*TRACE_COLS).orderBy("_bucket")
     prev = F.lag("_max").over(w)
-    starts = buckets.withColumn("_new", F.when(prev.isNull() | (F.col("_min") - prev >= g), 1).otherwise(0))
+    starts = buckets.withColumn("_new", F.when(F.coalesce(F.try_subtract("_min", prev) >= g, F.lit(True)), 1).otherwise(0))
     sid = starts.withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return sid.groupBy(*TRACE_COLS, "_sid").agg(
+    timed = sid.groupBy(*TRACE_COLS, "_sid").agg(
         F.min("_min").alias("session_start"),
-        (F.max("_max") + g).alias("session_end"),
+        F.try_add(F.max("_max"), g).alias("session_end"),
         F.sum("_n").alias("n_spans"),
-    ).select(trace_key().alias("trace_key"), "session_start", "session_end", "n_spans")
+    )
+    never = F.lit(None).cast("bigint")
+    untimed = df.filter(ts.isNull()).groupBy(*TRACE_COLS).agg(
+        never.alias("session_start"), never.alias("session_end"), F.count(F.lit(1)).alias("n_spans")
+    )
+    return timed.drop("_sid").unionByName(untimed).select(trace_key().alias("trace_key"), "session_start", "session_end", "n_spans")
 
 
 def trace_sessions_stream(df: DataFrame, gap: str, watermark: str) -> DataFrame:
@@ -144,13 +153,13 @@ def with_trace_context(df: DataFrame) -> DataFrame:
     ``trace_has_error`` and ``trace_root_id`` (smallest id of a span without a
     parent). Any span-level adjuster can then act on the whole trace's state,
     e.g. ``conditional(F.col("trace_has_error"), ...)``. The facts come from a
-    partially aggregated group-by; the join side has one row per trace (AQE
-    broadcasts it only when measured small, else sort-merge with skew-split).
+    partially aggregated group-by; the join side has one row per trace (Spark
+    broadcasts it if its estimated or measured size is under the threshold).
     """
     ctx = df.groupBy(*TRACE_COLS).agg(
         F.count(F.lit(1)).alias("trace_span_count"),
         F.min("timestamp").alias("trace_start"),
-        F.max(F.col("timestamp") + F.col("duration")).alias("trace_end"),
+        F.max(F.try_add("timestamp", "duration")).alias("trace_end"),
         F.max(has_error_tag()).alias("trace_has_error"),
         F.min(F.when(F.col("parent_id").isNull(), F.col("id"))).alias("trace_root_id"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions.ids import trace_key
-from tracewright.functions.spans import has_error_tag, span_service
+from tracewright.functions.spans import has_error_tag, of_services, span_service
 from tracewright.operators import adjust as A
 from tracewright.operators import decode as D
 from tracewright.operators import report as R
@@ -79,15 +79,6 @@ def filter_spans(spark, sf_dir):
 SERVICES = ("svc-1", "svc-4")
 
 
-def service_filter(services) -> "F.Column":
-    vals = [F.lit(s) for s in services]
-    return F.coalesce(
-        F.exists("annotations", lambda a: a["endpoint"]["service_name"].isin(*vals))
-        | F.exists("binary_annotations", lambda b: b["endpoint"]["service_name"].isin(*vals)),
-        F.lit(False),
-    )
-
-
 @query(
     "filter_service",
     O.with_spans()
@@ -98,7 +89,7 @@ def service_filter(services) -> "F.Column":
 )
 def filter_service(spark, sf_dir):
     """spans of the given services (any annotation or tag endpoint)."""
-    return flat_spans(_spans(spark, sf_dir).filter(service_filter(SERVICES)))
+    return flat_spans(_spans(spark, sf_dir).filter(of_services(SERVICES)))
 
 
 # ------------------------------------------------------------- adjusters ----
@@ -320,7 +311,7 @@ HOUR = 3_600_000_000
     + f"""SELECT timestamp - (timestamp % {HOUR}) AS window_start, {O.SVC_SQL} AS service,
   count(*) AS n_spans, CAST(sum(CASE WHEN {O.ERR_SQL} THEN 1 ELSE 0 END) AS BIGINT) AS n_errors,
   CAST(sum(duration) AS BIGINT) AS sum_duration
-FROM bf WHERE timestamp IS NOT NULL GROUP BY 1, 2""",
+FROM bf GROUP BY 1, 2""",
 )
 def spans_per_window_q(spark, sf_dir):
     """Spans per hour and service."""
@@ -333,16 +324,50 @@ DAY = 86_400_000_000
 @query(
     "service_latency",
     O.with_spans("bf AS (" + O.backfill_select("spans") + ")")
-    + f"""SELECT {O.SVC_SQL} AS service, timestamp // {DAY} AS bucket, count(*) AS n_spans,
+    + f"""SELECT {O.SVC_SQL} AS service, timestamp // {DAY} AS bucket,
+  count(*) FILTER (WHERE timestamp IS NOT NULL AND duration IS NOT NULL) AS n_spans,
+  count(*) FILTER (WHERE timestamp IS NULL OR duration IS NULL) AS n_untimed,
   CAST(sum(duration) AS BIGINT) AS sum_duration, min(duration) AS min_duration, max(duration) AS max_duration,
   quantile_disc(duration, 0.5) AS p50_duration, quantile_disc(duration, 0.95) AS p95_duration
-FROM bf WHERE timestamp IS NOT NULL AND duration IS NOT NULL GROUP BY 1, 2""",
+FROM bf GROUP BY 1, 2""",
 )
 def service_latency_q(spark, sf_dir):
     """Latency report per service and day."""
     return R.service_latency(A.backfill_timestamp_duration(_spans(spark, sf_dir)), DAY)
 
 
+#: A bucket longer than the data, so that a group holds very many spans.
+EVER = 100 * 366 * DAY
+
+
+@query(
+    "latency_overall",
+    O.with_spans()
+    + f"""SELECT {O.SVC_SQL} AS service, timestamp // {EVER} AS bucket,
+  count(*) FILTER (WHERE timestamp IS NOT NULL AND duration IS NOT NULL) AS n_spans,
+  count(*) FILTER (WHERE timestamp IS NULL OR duration IS NULL) AS n_untimed,
+  CAST(sum(duration) AS BIGINT) AS sum_duration, min(duration) AS min_duration, max(duration) AS max_duration,
+  quantile_disc(duration, 0.5) AS p50_duration, quantile_disc(duration, 0.95) AS p95_duration
+FROM spans GROUP BY 1, 2""",
+)
+def latency_overall(spark, sf_dir):
+    """Exact percentiles of large groups, and spans without a time in a bucket of their own."""
+    return R.service_latency(_spans(spark, sf_dir), EVER)
+
+
+@query(
+    "untimed_windows",
+    O.with_spans()
+    + f"""SELECT timestamp - (timestamp % {HOUR}) AS window_start, {O.SVC_SQL} AS service,
+  count(*) AS n_spans, CAST(sum(CASE WHEN {O.ERR_SQL} THEN 1 ELSE 0 END) AS BIGINT) AS n_errors,
+  CAST(sum(duration) AS BIGINT) AS sum_duration
+FROM spans GROUP BY 1, 2""",
+)
+def untimed_windows(spark, sf_dir):
+    """Spans per hour and service before backfill; a third of them have no time."""
+    return R.spans_per_window(_spans(spark, sf_dir), "1 hour")
+
+
 @query(
     "dependency_links",
     O.with_spans(
@@ -428,7 +453,7 @@ def stream_equals_batch(spark, sf_dir):
     through decode -> Finagle -> Issue 343 -> parquet sink; the sink then holds
     exactly what the batch job gives."""
     root = scratch_path(spark, "stream")
-    stored_messages(spark, sf_dir).select("value").repartition(4).write.mode("overwrite").parquet(f"{root}/in")
+    stored_messages(spark, sf_dir).select("value").write.mode("overwrite").parquet(f"{root}/in")
     sink = SinkConfig("parquet", f"{root}/out")
     cfg = JobConfig(
         source=lambda s: message_stream(s, f"{root}/in", max_files_per_trigger=1),
@@ -441,18 +466,32 @@ def stream_equals_batch(spark, sf_dir):
     return flat_spans(read_sink(spark, sink).select(*SPAN_COLUMNS))
 
 
-def _failing_adjuster(batch):
-    raise RuntimeError("adjuster failure (test)")
+def _fails_on_some(batch):
+    """Renames spans to upper case, and raises if a span's id is divisible by 50."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    ids = batch.column("id").to_pylist()
+    if any(i % 50 == 0 for i in ids):
+        raise RuntimeError("adjuster failure (test)")
+    at = batch.schema.get_field_index("name")
+    columns = list(batch.columns)
+    columns[at] = pc.utf8_upper(columns[at])
+    return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
 
 @query(
     "adjuster_failure",
-    O.with_spans("a1 AS (" + O.backfill_select("spans", O.FINAGLE_PRED) + ")", "a2 AS (" + O.issue343_select("a1") + ")")
-    + O.flat_select("a2"),
+    O.with_spans(
+        "a1 AS (" + O.backfill_select("spans", O.FINAGLE_PRED) + ")",
+        "a2 AS (SELECT * REPLACE (CASE WHEN id % 50 = 0 THEN name ELSE upper(name) END AS name) FROM a1)",
+        "a3 AS (" + O.issue343_select("a2") + ")",
+    )
+    + O.flat_select("a3"),
 )
 def adjuster_failure(spark, sf_dir):
-    """A Python adjuster that raises is skipped; the chain goes on."""
-    chain = A.chain([A.finagle_adjuster(), A.python_adjuster(_failing_adjuster), A.issue343_adjuster()])
+    """A Python adjuster that raises for some spans leaves just those as they were; the chain goes on."""
+    chain = A.chain([A.finagle_adjuster(), A.python_adjuster(_fails_on_some), A.issue343_adjuster()])
     return flat_spans(chain(_spans(spark, sf_dir)))
 
 

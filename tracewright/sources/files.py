@@ -17,10 +17,16 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return spark.read.format(fmt).schema(MESSAGE_SCHEMA).load(path)
 
 
-def message_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int = 1) -> DataFrame:
+def _stream_reader(spark: SparkSession, max_files_per_trigger: int | None):
+    reader = spark.readStream
+    return reader if max_files_per_trigger is None else reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+
+def message_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     """A directory of message files as a stream; with one file per trigger
-    each file is one micro-batch (the queue-of-batches test source)."""
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    each file is one micro-batch (the queue-of-batches test source), and
+    without a limit a micro-batch is all that is there."""
+    reader = _stream_reader(spark, max_files_per_trigger)
     if fmt == "binaryFile":
         return reader.format("binaryFile").load(path).selectExpr("content AS value")
     return reader.format(fmt).schema(MESSAGE_SCHEMA).load(path)
@@ -31,9 +37,9 @@ def read_spans(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).schema(SPAN_SCHEMA).load(path).select(*SPAN_COLUMNS)
 
 
-def span_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int = 1) -> DataFrame:
+def span_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     return (
-        spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+        _stream_reader(spark, max_files_per_trigger)
         .format(fmt)
         .schema(SPAN_SCHEMA)
         .load(path)

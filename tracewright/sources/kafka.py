@@ -51,7 +51,6 @@ class KafkaSettings:
             "subscribe": (self.topic or DEFAULT_TOPIC).strip(),
             "kafka.group.id": (self.group_id or DEFAULT_GROUP_ID).strip(),
             "startingOffsets": self.starting_offsets,
-            "failOnDataLoss": "false",
         }
         opts.update(dict(self.extra))
         return opts

@@ -16,7 +16,7 @@ Properties (``--key=value``; empty values mean unset):
     kafka.group-id          consumer group (default ``spans``)
     files.path              directory of message files (parquet with a ``value`` column)
     files.format            parquet | orc | binaryFile (default parquet)
-    files.max-per-trigger   files per micro-batch (default 1)
+    files.max-per-trigger   files per micro-batch (default: all there are)
     sink                    parquet | orc | json | jdbc | console | elasticsearch | cassandra
     sink.path               output path for file sinks
     sink.option.<key>       options handed to the sink format
@@ -80,7 +80,7 @@ def config_from_properties(props: dict[str, str]) -> tuple[dict[str, str], JobCo
         if not path:
             raise ValueError("files.path is required for the files source")
         fmt = props.get("files.format", "parquet")
-        per_trigger = int(props.get("files.max-per-trigger", "1"))
+        per_trigger = int(props["files.max-per-trigger"]) if props.get("files.max-per-trigger") else None
 
         def src(spark):
             return message_stream(spark, path, fmt, per_trigger)

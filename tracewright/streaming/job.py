@@ -24,7 +24,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tracewright.operators.adjust import Adjuster, chain
 from tracewright.operators.decode import Decoded, decode_messages
 from tracewright.session import scratch_path
-from tracewright.sources.events import spread_small_input
 from tracewright.streaming.sinks import SinkConfig, check_sink, write_dead_letters, write_spans
 
 log = logging.getLogger(__name__)
@@ -58,12 +57,11 @@ def process_batch(
     span_filter: Callable[[], Column] | None = None,
 ) -> int:
     """One micro-batch (C1): decode, filter, adjust, write. Returns spans written."""
-    # A batch narrower than the cluster (one file per trigger, a topic with
-    # few partitions) is spread over the cores. Decoding is one pass, and its
-    # per-message result is persisted: both writes read that cache.
-    batch = spread_small_input(batch)
+    # Decoding is one pass; both writes read its persisted result, which keeps
+    # the payload of malformed messages only.
     decoded = decode_messages(batch)
-    per_message = decoded.per_message.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = decoded.per_message.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+    per_message = kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # one job fills the cache and counts both outputs (C3: skip empty writes)
         counts = per_message.agg(
@@ -76,12 +74,15 @@ def process_batch(
             spans = d.spans
             if span_filter is not None:
                 spans = spans.filter(span_filter())
-            spans = chain(list(adjusters))(spans)
+            adjusted = chain(list(adjusters))(spans)
             n = write_spans(
-                spans, sink, batch_id=batch_id, dead_letters=dead_letter_sink, known_non_empty=span_filter is None
+                adjusted, sink, batch_id=batch_id, dead_letters=dead_letter_sink, known_non_empty=True, rows_for_dead_letters=spans
             )
-        if dead_letter_sink is not None and counts["dead"] > 0:
-            write_dead_letters(d.dead_letters, dead_letter_sink, batch_id)
+        if counts["dead"] > 0:
+            if dead_letter_sink is not None:
+                write_dead_letters(d.dead_letters, dead_letter_sink, batch_id)
+            else:
+                log.warning("batch %d: %d malformed messages dropped, no dead-letter sink is set", batch_id, counts["dead"])
         return n
     finally:
         per_message.unpersist()
@@ -94,6 +95,8 @@ def run_job(spark: SparkSession, config: JobConfig) -> StreamingQuery:
         spark.conf.set(k, v)
     if config.fail_fast:
         check_sink(spark, config.sink)
+        if config.dead_letter_sink is not None:
+            check_sink(spark, config.dead_letter_sink)
     ckpt = config.checkpoint_location or scratch_path(spark, "job-checkpoint")
     adjusters = list(config.adjusters)
 
@@ -108,14 +111,11 @@ def run_job(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     return writer.start()
 
 
-def run_to_completion(spark: SparkSession, config: JobConfig, timeout_s: int = 600) -> StreamingQuery:
-    """Start with ``availableNow`` and block until the backlog is drained."""
+def run_to_completion(spark: SparkSession, config: JobConfig) -> StreamingQuery:
+    """Start with ``availableNow`` and block until the backlog, whatever its size, is drained."""
     config.available_now = True
     q = run_job(spark, config)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("streaming job did not finish in time")
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q

@@ -5,6 +5,10 @@ a bulk, partition-parallel DataFrame write. Failed writes are retried a
 bounded number of times and then go to a dead-letter table -- never dropped
 silently. Row counts come from ``DataFrame.observe`` during the write itself,
 not from an extra pass.
+
+File sinks are idempotent per micro-batch. Other backends append: a retry or a
+replayed batch may write rows twice unless the backend's own options make
+writes by key (``es.mapping.id``, a primary key).
 """
 
 from __future__ import annotations
@@ -74,8 +78,11 @@ def check_sink(spark: SparkSession, sink: SinkConfig) -> None:
     """
     try:
         if sink.kind in FILE_BACKENDS:
-            empty = spark.createDataFrame([], SPAN_SCHEMA)
-            _writer(empty, sink, "overwrite").save(f"{sink.path.rstrip('/')}/_sink_check")
+            empty = spark.createDataFrame([], SPAN_SCHEMA).drop(*sink.partition_by)
+            probe = f"{sink.path.rstrip('/')}/_sink_check"
+            empty.write.format(sink.format).mode("overwrite").options(**sink.options).save(probe)
+            path = spark._jvm.org.apache.hadoop.fs.Path(probe)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
         elif sink.kind == "jdbc":
             spark.read.format("jdbc").options(**sink.options).option("query", "SELECT 1").load().schema
         elif sink.kind != "console":
@@ -90,6 +97,7 @@ def write_spans(
     batch_id: int | None = None,
     dead_letters: SinkConfig | None = None,
     known_non_empty: bool = False,
+    rows_for_dead_letters: DataFrame | None = None,
 ) -> int:
     """Write ``df``; return the number of rows written.
 
@@ -100,23 +108,24 @@ def write_spans(
     * ``known_non_empty`` skips the emptiness probe when the caller already
       counted the input;
     * on failure: up to ``max_attempts`` tries, then the rows go to
-      ``dead_letters`` as JSON with the error as reason (C4).
+      ``dead_letters`` as JSON with the error as reason (C4); ``rows_for_dead_letters``
+      are diverted instead where ``df``'s own plan may be what fails.
     """
     if not known_non_empty and df.isEmpty():
-        log.debug("Input was empty")
+        log.debug("nothing to write")
         return 0
-    obs = Observation(f"written_{batch_id if batch_id is not None else 'batch'}_{time.monotonic_ns()}")
-    counted = df.observe(obs, F.count(F.lit(1)).alias("n"))
     path, mode = sink.path, sink.mode
     if sink.kind in FILE_BACKENDS and batch_id is not None:
         path, mode = f"{sink.path.rstrip('/')}/batch_id={batch_id}", "overwrite"
     last: Exception | None = None
     for attempt in range(1, sink.max_attempts + 1):
+        # an observation keeps the first result it gets, so each attempt has its own
+        obs = Observation(f"written_{batch_id if batch_id is not None else 'batch'}_{attempt}_{time.monotonic_ns()}")
         try:
-            w = _writer(counted, sink, mode)
+            w = _writer(df.observe(obs, F.count(F.lit(1)).alias("n")), sink, mode)
             w.save(path) if path else w.save()
             n = obs.get["n"]
-            log.debug("Wrote %d spans", n)
+            log.debug("%d rows are in the sink", n)
             return n
         except Exception as exc:  # noqa: BLE001
             last = exc
@@ -124,22 +133,23 @@ def write_spans(
             time.sleep(sink.retry_wait_s * attempt)
     if dead_letters is None:
         raise RuntimeError(f"write failed and no dead-letter sink is configured: {last}") from last
-    reason = f"write_failed: {str(last)[:200]}"
-    dl = df.select(F.to_json(F.struct(*df.columns)).cast("binary").alias("value"), F.lit(reason).alias("reason"))
-    write_dead_letters(dl, dead_letters, batch_id)
-    log.warning("Dropped spans to dead letters: %s", reason)
+    reason = f"write_failed: {last}"
+    lost = df if rows_for_dead_letters is None else rows_for_dead_letters
+    dl = lost.select(F.to_json(F.struct(*lost.columns)).cast("binary").alias("value"), F.lit(reason).alias("reason"))
+    write_dead_letters(dl, dead_letters, batch_id, kind="write_failed")
+    log.warning("batch %s went to the dead letters: %s", batch_id, reason)
     return 0
 
 
-def write_dead_letters(dl: DataFrame, sink: SinkConfig, batch_id: int | None = None) -> None:
+def write_dead_letters(dl: DataFrame, sink: SinkConfig, batch_id: int | None = None, kind: str = "malformed") -> None:
+    """Each kind of a batch has a folder of its own, so one never replaces the other."""
     path, mode = sink.path, "append"
     if sink.kind in FILE_BACKENDS and batch_id is not None:
-        path, mode = f"{sink.path.rstrip('/')}/batch_id={batch_id}", "overwrite"
+        path, mode = f"{sink.path.rstrip('/')}/batch_id={batch_id}/kind={kind}", "overwrite"
     w = _writer(dl, sink, mode)
     w.save(path) if path else w.save()
 
 
 def read_sink(spark: SparkSession, sink: SinkConfig) -> DataFrame:
-    """Read back what a file sink holds (partition column ``batch_id`` dropped)."""
-    df = spark.read.format(sink.format).options(**sink.options).load(sink.path)
-    return df.drop("batch_id") if "batch_id" in df.columns else df
+    """Read back what a file sink holds (partition columns of the batches dropped)."""
+    return spark.read.format(sink.format).options(**sink.options).load(sink.path).drop("batch_id", "kind")
