@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -103,6 +104,7 @@ def in_arrow(df: DataFrame, schema: str | T.StructType, work: Callable[[Iterable
                 out = []
         if out:
             yield to_batch(out, arrow)
+        give_back()
 
     return df.mapInArrow(run, target)
 
@@ -118,6 +120,14 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
+def give_back() -> None:
+    """Returns a worker's free memory to the machine; workers live on after their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 class WordTable:
     """Numbers for words, kept between batches and tasks of a Python worker, with bounded memory.
 

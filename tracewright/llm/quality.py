@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import WordTable
+from tracewright.llm.common import WordTable, give_back
 
 
 @dataclass(frozen=True)
@@ -96,14 +97,15 @@ def train(texts: list[str], labels: list[int], s: Settings) -> Model:
             ids += known[w]
         ids += [again(s)] * repeats(words)
         buckets, counts = np.unique(np.array(ids, dtype=np.int32), return_counts=True)
-        docs.append((buckets, (counts / max(1, len(ids))).astype(np.float32)))
+        docs.append((buckets.astype(np.min_scalar_type(s.buckets - 1)), counts.astype(np.min_scalar_type(len(ids)))))
     known.clear()
     total, step = s.epochs * len(docs), 0
     for _ in range(s.epochs):
         for i in rng.permutation(len(docs)):
             rate = s.rate * (1 - step / total)
             step += 1
-            buckets, weight = docs[i]
+            buckets, counts = docs[i]
+            weight = (counts / max(1, int(counts.sum()))).astype(np.float32)
             hidden = weight @ model.vectors[buckets]
             out = hidden @ model.layer + model.bias
             p = np.exp(out - out.max())
@@ -141,6 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
             return
         rows = rows.sort_values("doc_id")
         m = train(rows.text.tolist(), rows.label.tolist(), s)
+        give_back()
         yield pd.DataFrame({"vectors": [m.vectors.tobytes()], "layer": [m.layer.tobytes()], "bias": [m.bias.tobytes()]})
 
     got = sample.select("doc_id", "label", "text").repartition(1).mapInPandas(run, "vectors binary, layer binary, bias binary").collect()
@@ -155,19 +158,21 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     )
 
 
+def word_shares(parts: np.ndarray, s: Settings, words: list[str]) -> list[tuple[float, int]]:
+    """Sum and number of the shares of each word's features."""
+    ids = [features(w, s) for w in words]
+    counts = np.array([len(i) for i in ids])
+    sums = np.add.reduceat(parts[np.concatenate([np.array(i) for i in ids])], np.cumsum(counts) - counts)
+    return list(zip(sums.tolist(), counts.tolist()))
+
+
 class Scorer:
     """Scores whole texts with a model's shares of buckets, one share per distinct word."""
 
     def __init__(self, parts: np.ndarray, bias: float, settings: Settings):
-        self.parts, self.bias, self.settings = parts, bias, settings
-        self.again = float(parts[again(settings)])
-        self.table = WordTable(self._learn, limit=200_000)
-
-    def _learn(self, words: list[str]) -> list[tuple[float, int]]:
-        ids = [features(w, self.settings) for w in words]
-        counts = np.array([len(i) for i in ids])
-        sums = np.add.reduceat(self.parts[np.concatenate([np.array(i) for i in ids])], np.cumsum(counts) - counts)
-        return list(zip(sums.tolist(), counts.tolist()))
+        self.bias, self.again = bias, float(parts[again(settings)])
+        # The table must not refer to this object: in a cycle it would outlive its task.
+        self.table = WordTable(partial(word_shares, parts, settings), limit=200_000)
 
     def score(self, text: str | None) -> float:
         words = text.split() if text else []
