@@ -104,3 +104,21 @@ def test_json_round_trip_of_fixture(spark):
     back = D.decode_messages(msgs).spans
     assert flat_spans(back).exceptAll(flat_spans(spans)).count() == 0
     assert flat_spans(spans).exceptAll(flat_spans(back)).count() == 0
+
+
+def test_text_behind_a_list_is_refused(spark):
+    good = json.dumps([GOOD]).encode()
+    tails = [b"garbage", b"}", b"]", b"}]", b"]}", b",", b",1", b',"b":1', b",[]", b'}{"a":[]', b"][", b" x"]
+    spans, dead = _decode(spark, [good + t for t in tails])
+    assert spans == [] and dead == ["bad_json"] * len(tails)
+    spans, dead = _decode(spark, [good + b" \n", b" ".join([good, b""])])
+    assert len(spans) == 2 and dead == []
+
+
+def test_deeply_nested_unknown_fields_are_skipped():
+    from tracewright.operators.thrift import T_STRUCT, _Reader
+
+    depth = 20_000
+    reader = _Reader(b"\x0c\x00\x01" * depth + b"\x00" * (depth + 1) + b"tail")
+    reader.skip(T_STRUCT)
+    assert reader.take(4) == b"tail"

@@ -238,7 +238,11 @@ def decode_messages(messages: DataFrame, formats: tuple[str, ...] = (FMT_JSON, F
     if thrift_fmts:
         ship_package(messages.sparkSession)
     text = F.expr("make_valid_utf8(cast(value as string))")
-    cols = [F.col("value"), fmt, F.when(is_json, F.from_json(text, JSON_SCHEMA)).alias("_p")]
+    # The parser stops after the first value. A text that is one value both as a field and as the only element of a
+    # list has nothing behind that value: whatever would end one of them early is an error in the other.
+    field = F.from_json(F.concat(F.lit('{"a":'), text, F.lit("}")), f"struct<a:{JSON_SCHEMA}>")["a"]
+    alone = F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")) == 1
+    cols = [F.col("value"), fmt, F.when(is_json & alone, field).alias("_p")]
     if thrift_fmts:
         cols.append(_thrift_udf(F.when(is_thrift, F.col("value"))).alias("_t"))
     parsed = messages.select("value").withColumn("_fmt", message_format()).select(*cols)
