@@ -26,9 +26,8 @@ from pyspark.sql.window import Window as W
 from tracewright.llm.common import WordTable, in_arrow
 
 UNKNOWN = "und"
-#: N-grams of a profile, and their longest length. An n-gram of up to three
-#: characters is one number: 21 bits hold any code point.
-PROFILE, LONGEST, _BITS = 400, 3, 21
+#: N-grams of a profile. An n-gram of up to three characters is one number: 21 bits hold any code point.
+PROFILE, _BITS = 400, 21
 #: Distinct (language, word) counts that a task holds before it passes their n-grams on.
 HELD_WORDS = 200_000
 #: Border of a word.
@@ -42,14 +41,34 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def grams_of(word: str) -> np.ndarray:
-    """All n-grams of a word between its borders as numbers; the border alone is none."""
-    points = np.array([_BORDER, *map(ord, word), _BORDER], dtype=np.int64)
-    found, code = [points[1:-1]], points
-    for n in range(2, LONGEST + 1):
-        code = (code[:-1] << _BITS) | points[n - 1 :]
-        found.append(code)
-    return np.concatenate(found)
+def _codes(words: list[str]) -> list[np.ndarray]:
+    """Codes of the 1-, 2- and 3-grams that start at each place of the words in a row between borders; a 3-gram over a border is -1."""
+    points = np.frombuffer(f"_{'_'.join(words)}_".encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    two = (points[:-1] << _BITS) | points[1:]
+    three = np.where(points[1:-1] == _BORDER, -1, (two[:-1] << _BITS) | points[2:])
+    return [points, two, three]
+
+
+def grams_of(words: list[str]) -> list[np.ndarray]:
+    """For each word all n-grams between its borders as numbers; the border alone is none."""
+    one, two, three = _codes(words)
+    found, at = [], 1
+    for w in words:
+        stop = at + len(w)
+        found.append(np.concatenate([one[at:stop], two[at - 1 : stop], three[at - 1 : stop - 1]]))
+        at = stop + 1
+    return found
+
+
+def gram_sums(words: Counter) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and sums of the n-grams of counted words."""
+    one, two, three = _codes(list(words))
+    times = np.repeat(np.fromiter(words.values(), dtype=np.int64), [len(w) + 1 for w in words])
+    codes = np.concatenate([one[1:], two, three])
+    weight = np.concatenate([times, times, times[: len(three)]])
+    real = (codes != _BORDER) & (codes >= 0)
+    found, place = np.unique(codes[real], return_inverse=True)
+    return found, np.bincount(place, weights=weight[real]).astype(np.int64)
 
 
 def top_grams(codes: np.ndarray, counts: np.ndarray, size: int = PROFILE) -> np.ndarray:
@@ -71,11 +90,8 @@ def learn_profiles(rows: DataFrame, size: int = PROFILE) -> dict[str, list[int]]
 
         def flush() -> Iterator[tuple]:
             for lang, seen in words.items():
-                parts = [grams_of(w) for w in seen]
-                if parts:
-                    times = np.repeat(np.fromiter(seen.values(), dtype=np.int64), [len(p) for p in parts])
-                    codes, place = np.unique(np.concatenate(parts), return_inverse=True)
-                    sums = np.bincount(place, weights=times).astype(np.int64)
+                if seen:
+                    codes, sums = gram_sums(seen)
                     yield from ((lang, c, n) for c, n in zip(codes.tolist(), sums.tolist()))
             words.clear()
 
@@ -108,7 +124,7 @@ class Identifier:
         self.places = np.full((len(self.codes), len(self.langs)), -1, dtype=np.int64)
         for i, lang in enumerate(self.langs):
             self.places[np.searchsorted(self.codes, profiles[lang]), i] = np.arange(len(profiles[lang]))
-        self.table = WordTable(lambda words: [grams_of(w) for w in words], limit=200_000)
+        self.table = WordTable(grams_of, limit=200_000)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """``language, score``: the share by which its distance is below the largest possible."""
