@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, MutableSequence
 
 import numpy as np
 import pandas as pd
@@ -24,6 +24,17 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+#: Bounds of a batch of rows between the JVM and a Python worker, in effect where the session names none.
+BATCH_BOUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds batches by their bytes, so that long texts do not fill a worker; what the session sets itself stays."""
+    for key, value in BATCH_BOUNDS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Partitions of a shuffle in this session."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -132,16 +143,17 @@ class WordTable:
     """Numbers for words, kept between batches and tasks of a Python worker, with bounded memory.
 
     ``learn(words)`` is called with words seen for the first time and must give
-    one row of values per word; :meth:`lookup` gives the rows of any words. At
-    ``limit`` words the table starts anew, so results never depend on it.
+    values per word, which go to the end of ``values`` (a list, or an array of
+    numbers); :meth:`lookup` gives the numbers of any words. At ``limit`` words
+    the table starts anew, so results never depend on it.
     """
 
-    def __init__(self, learn: Callable[[list[str]], list], limit: int = 400_000):
+    def __init__(self, learn: Callable[[list[str]], Iterable], limit: int = 400_000, values: MutableSequence | None = None):
         self.learn, self.limit = learn, limit
         self.place: dict[str, int] = {}
-        self.values: list = []
+        self.values: MutableSequence = [] if values is None else values
 
-    def lookup(self, words: list[str]) -> list:
+    def lookup(self, words: list[str]) -> list[int]:
         get = self.place.get
         found = [get(w) for w in words]
         if None in found:
@@ -150,7 +162,7 @@ class WordTable:
                 self.place.clear()
                 self.values.clear()
                 new = list(dict.fromkeys(words))
-            at = len(self.values)
+            at = len(self.place)
             self.values.extend(self.learn(new))
             self.place.update(zip(new, range(at, at + len(new))))
             found = [self.place[w] for w in words]

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import in_arrow
+from tracewright.llm.common import give_back, in_arrow
 
 
 @dataclass(frozen=True)
@@ -279,6 +279,8 @@ def without_matches(docs: DataFrame, benchmark: DataFrame, settings: Settings =
                     for t, *_ in index.search([plain(texts.iloc[r]) for r in rows]):
                         flags[rows[t]] = False
                 yield pd.Series(flags)
+            del index
+            give_back()
 
         test = F.pandas_udf(clean, "boolean", functionType=F.PandasUDFType.SCALAR_ITER)
         kept = kept.where(test(F.col("text").cast("string")))

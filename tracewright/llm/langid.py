@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tracewright.llm.common import WordTable, in_arrow
+from tracewright.llm.common import WordTable, give_back, in_arrow
 
 UNKNOWN = "und"
 #: N-grams of a profile. An n-gram of up to three characters is one number: 21 bits hold any code point.
@@ -124,7 +124,7 @@ class Identifier:
         self.places = np.full((len(self.codes), len(self.langs)), -1, dtype=np.int64)
         for i, lang in enumerate(self.langs):
             self.places[np.searchsorted(self.codes, profiles[lang]), i] = np.arange(len(profiles[lang]))
-        self.table = WordTable(grams_of, limit=200_000)
+        self.table = WordTable(grams_of, limit=100_000)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """``language, score``: the share by which its distance is below the largest possible."""
@@ -146,12 +146,13 @@ class Identifier:
 
 def predicted(text: Column, profiles: dict[str, list[int]]) -> Column:
     """``struct<lang_pred, score>`` of a text column."""
-    held: list[Identifier] = []
 
-    @F.pandas_udf("struct<lang_pred string, score double>")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        if not held:
-            held.append(Identifier(profiles))
-        return pd.DataFrame([held[0].predict(t) for t in texts], columns=["lang_pred", "score"])
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        identifier = Identifier(profiles)
+        for texts in parts:
+            yield pd.DataFrame([identifier.predict(t) for t in texts], columns=["lang_pred", "score"])
+        del identifier
+        give_back()
 
-    return run(text.cast("string"))
+    kind = "struct<lang_pred string, score double>"
+    return F.pandas_udf(run, kind, functionType=F.PandasUDFType.SCALAR_ITER)(text.cast("string"))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import ranked, shuffle_width
+from tracewright.llm.common import give_back, ranked, shuffle_width
 from tracewright.llm.tokens import tokenizer, tokenizer_path
 
 #: Lengths of a sequence's pieces, longest first.
@@ -89,6 +89,7 @@ def token_pieces(
                     ],
                     names=["doc_id", "piece", "start", "length", "ids"],
                 )
+        give_back()
 
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 

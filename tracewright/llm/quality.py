@@ -18,6 +18,8 @@ nothing to learn from every score is 0.5; repeated rows get equal scores.
 from __future__ import annotations
 
 import zlib
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -44,6 +46,10 @@ class Settings:
     seed: int = 7
 
 
+#: Distinct words whose features training keeps at a time.
+TRAINING_WORDS = 100_000
+
+
 def features(word: str, s: Settings) -> list[int]:
     """Buckets of a word and of its character n-grams (over UTF-8 bytes between border marks)."""
     w = f"<{word}>".encode()
@@ -86,19 +92,16 @@ def train(texts: list[str], labels: list[int], s: Settings) -> Model:
     rng = np.random.default_rng(s.seed)
     model = untrained(s)  # a feature never met in training adds nothing
     model.layer[:] = rng.normal(0, 1, model.layer.shape)
-    known: dict[str, list[int]] = {}
+    kind = np.min_scalar_type(s.buckets - 1)
+    table = WordTable(lambda new: [np.array(features(w, s), dtype=kind) for w in new], limit=TRAINING_WORDS)
     docs = []
     for text in texts:
-        ids: list[int] = []
         words = text.split()
-        for w in words:
-            if w not in known:
-                known[w] = features(w, s)
-            ids += known[w]
-        ids += [again(s)] * repeats(words)
-        buckets, counts = np.unique(np.array(ids, dtype=np.int32), return_counts=True)
-        docs.append((buckets.astype(np.min_scalar_type(s.buckets - 1)), counts.astype(np.min_scalar_type(len(ids)))))
-    known.clear()
+        at = table.lookup(words)
+        ids = np.concatenate([*[table.values[i] for i in at], np.full(repeats(words), again(s), dtype=kind)])
+        buckets, counts = np.unique(ids, return_counts=True)
+        docs.append((buckets, counts.astype(np.min_scalar_type(len(ids)))))
+    del table
     total, step = s.epochs * len(docs), 0
     for _ in range(s.epochs):
         for i in rng.permutation(len(docs)):
@@ -158,12 +161,12 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     )
 
 
-def word_shares(parts: np.ndarray, s: Settings, words: list[str]) -> list[tuple[float, int]]:
-    """Sum and number of the shares of each word's features."""
+def word_shares(parts: np.ndarray, s: Settings, words: list[str]) -> array:
+    """Sum and number of the shares of each word's features, one after the other."""
     ids = [features(w, s) for w in words]
     counts = np.array([len(i) for i in ids])
     sums = np.add.reduceat(parts[np.concatenate([np.array(i) for i in ids])], np.cumsum(counts) - counts)
-    return list(zip(sums.tolist(), counts.tolist()))
+    return array("d", np.stack([sums, counts], axis=1).tobytes())
 
 
 class Scorer:
@@ -172,18 +175,14 @@ class Scorer:
     def __init__(self, parts: np.ndarray, bias: float, settings: Settings):
         self.bias, self.again = bias, float(parts[again(settings)])
         # The table must not refer to this object: in a cycle it would outlive its task.
-        self.table = WordTable(partial(word_shares, parts, settings), limit=200_000)
+        self.table = WordTable(partial(word_shares, parts, settings), limit=200_000, values=array("d"))
 
     def score(self, text: str | None) -> float:
         words = text.split() if text else []
         total, n = 0.0, 0
         if words:
             at = self.table.lookup(words)
-            values = self.table.values
-            for i in at:
-                part, count = values[i]
-                total += part
-                n += count
+            total, n = np.frombuffer(self.table.values).reshape(-1, 2)[at].sum(axis=0).tolist()
             more = repeats(words)
             total += more * self.again
             n += more
@@ -194,12 +193,12 @@ class Scorer:
 def scored(text: Column, model: Model) -> Column:
     """Probability of label 1 of a text column."""
     parts, bias, settings = model.word_parts(), float(model.bias[1] - model.bias[0]), model.settings
-    held: list[Scorer] = []
 
-    @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
-        if not held:
-            held.append(Scorer(parts, bias, settings))
-        return pd.Series([held[0].score(t) for t in texts], dtype="float64")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(parts, bias, settings)
+        for texts in batches:
+            yield pd.Series([scorer.score(t) for t in texts], dtype="float64")
+        del scorer
+        give_back()
 
-    return run(text.cast("string"))
+    return F.pandas_udf(run, "double", functionType=F.PandasUDFType.SCALAR_ITER)(text.cast("string"))

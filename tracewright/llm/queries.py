@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.llm import decontam, langid, packing, quality, sharding, simhash, simple8b, spotsigs, transcripts, warc
-from tracewright.llm.common import fold, stored, text_rows
+from tracewright.llm.common import bound_batches, fold, stored, text_rows
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
