@@ -53,6 +53,36 @@ def test_one_and_many_spans(spark):
     assert s["binary_annotations"][0]["value"] == b"v"
 
 
+def _tagged(value, kind=None):
+    tag_ = {"key": "k", "value": value} | ({"type": kind} if kind else {})
+    return json.dumps([dict(GOOD, binaryAnnotations=[tag_])]).encode()
+
+
+def test_json_tag_kinds_have_the_bytes_of_thrift(spark):
+    cases = [
+        (True, None, "BOOL", b"\x01"),
+        (False, None, "BOOL", b"\x00"),
+        ("true", None, "STRING", b"true"),
+        ("//4=", "BYTES", "BYTES", b"\xff\xfe"),
+        (-2, "I16", "I16", b"\xff\xfe"),
+        (258, "I32", "I32", b"\x00\x00\x01\x02"),
+        (-1, "I64", "I64", b"\xff" * 8),
+        ("-1", "I64", "I64", b"\xff" * 8),
+        (0.5, "DOUBLE", "DOUBLE", struct.pack(">d", 0.5)),
+        ("1e300", "DOUBLE", "DOUBLE", struct.pack(">d", 1e300)),
+        (7, "DOUBLE", "DOUBLE", struct.pack(">d", 7.0)),
+    ]
+    spans, dead = _decode(spark, [_tagged(v, k) for v, k, _, _ in cases])
+    got = [(s["binary_annotations"][0]["type"], s["binary_annotations"][0]["value"]) for s in spans]
+    assert dead == [] and sorted(got) == sorted((k, b) for _, _, k, b in cases)
+
+
+def test_json_tag_that_does_not_fit_its_kind_is_a_dead_letter(spark):
+    bad = [(7, None), ("x", "I16"), (1.5, "I32"), (70000, "I16"), ("!", "BYTES"), ("x", "NONE"), ("true", "BOOL"), ({"a": 1}, None), (None, None)]
+    spans, dead = _decode(spark, [_tagged(v, k) for v, k in bad])
+    assert spans == [] and dead == ["bad_json"] * len(bad)
+
+
 def test_128_bit_trace_id(spark):
     m = json.dumps([dict(GOOD, traceId="00000000000000ab" + "abfb01327cc4d38f")]).encode()
     spans, _ = _decode(spark, [m])

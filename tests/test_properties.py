@@ -1,6 +1,7 @@
 """Property tests: decode(encode(x)) == x for random spans, in both encodings."""
 
 import json
+import struct
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -24,9 +25,16 @@ endpoint = st.one_of(
     ),
 )
 annotation = st.fixed_dictionaries({"timestamp": i64, "value": text, "endpoint": endpoint})
-tag = st.fixed_dictionaries(
-    {"key": text, "value": text.map(str.encode), "type": st.just("STRING"), "endpoint": endpoint}
+kinds = st.one_of(
+    st.tuples(st.just("STRING"), text.map(str.encode)),
+    st.tuples(st.just("BOOL"), st.sampled_from([b"\x00", b"\x01"])),
+    st.tuples(st.just("BYTES"), st.binary(max_size=12)),
+    st.tuples(st.just("I16"), st.binary(min_size=2, max_size=2)),
+    st.tuples(st.just("I32"), st.binary(min_size=4, max_size=4)),
+    st.tuples(st.just("I64"), st.binary(min_size=8, max_size=8)),
+    st.tuples(st.just("DOUBLE"), st.floats(-1e12, 1e12).map(lambda d: struct.pack(">d", d + 0.0))),
 )
+tag = st.tuples(text, kinds, endpoint).map(lambda t: {"key": t[0], "value": t[1][1], "type": t[1][0], "endpoint": t[2]})
 span = st.fixed_dictionaries(
     {
         "trace_id_high": st.one_of(st.just(0), i64),

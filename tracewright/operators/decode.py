@@ -52,7 +52,7 @@ _EP = "struct<serviceName:string,ipv4:string,port:string>"
 JSON_SCHEMA = (
     "array<struct<traceId:string,id:string,parentId:string,name:string,timestamp:string,duration:string,"
     f"annotations:array<struct<timestamp:string,value:string,endpoint:{_EP}>>,"
-    f"binaryAnnotations:array<struct<key:string,value:string,type:string,endpoint:{_EP}>>>>"
+    f"binaryAnnotations:array<struct<key:string,value:variant,type:string,endpoint:{_EP}>>>>"
 )
 
 
@@ -68,6 +68,39 @@ def _ep_ok(ep: Column) -> Column:
     return ep.isNull() | ep["port"].isNull() | ep["port"].try_cast("int").isNotNull()
 
 
+def _tag_kind(b: Column) -> Column:
+    """A bare ``true`` or ``false`` is a BOOL, anything else is a STRING unless its type says more."""
+    return F.when(F.schema_of_variant(b["value"]) == "BOOLEAN", F.lit("BOOL")).otherwise(F.coalesce(b["type"], F.lit("STRING")))
+
+
+def _low_bytes(c: Column, n: int) -> Column:
+    """The last ``n`` bytes of a whole number, big-endian."""
+    return F.unhex(F.right(F.lpad(F.hex(c.cast("bigint")), 16, "0"), F.lit(2 * n)))
+
+
+def _double_bits(c: Column) -> Column:
+    bits = F.try_reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.coalesce(c, F.lit(0.0)))
+    return F.when(c.isNotNull(), bits.try_cast("bigint"))
+
+
+def _tag_value(b: Column) -> Column:
+    """A tag's value in the bytes that thrift has for its kind; null if the value does not fit the kind.
+
+    Text and base64 must be quoted, I16 and I32 must not be, I64 and DOUBLE may be either.
+    """
+    form, text = F.schema_of_variant(b["value"]), F.try_variant_get(b["value"], "$", "string")
+    kind, quoted = F.coalesce(b["type"], F.lit("STRING")), form == "STRING"
+    return (
+        F.when(quoted & (kind == "STRING"), text.cast("binary"))
+        .when(form == "BOOLEAN", F.when(text == "true", F.lit(b"\x01")).otherwise(F.lit(b"\x00")))
+        .when(quoted & (kind == "BYTES"), F.try_to_binary(text, F.lit("base64")))
+        .when(~quoted & (kind == "I16"), _low_bytes(text.try_cast("smallint"), 2))
+        .when(~quoted & (kind == "I32"), _low_bytes(text.try_cast("int"), 4))
+        .when(kind == "I64", _low_bytes(text.try_cast("bigint"), 8))
+        .when(kind == "DOUBLE", _low_bytes(_double_bits(text.try_cast("double")), 8))
+    )
+
+
 def _span_ok(s: Column) -> Column:
     anns_ok = F.forall(
         F.coalesce(s["annotations"], F.array()),
@@ -75,7 +108,7 @@ def _span_ok(s: Column) -> Column:
     )
     tags_ok = F.forall(
         F.coalesce(s["binaryAnnotations"], F.array()),
-        lambda b: b.isNotNull() & b["key"].isNotNull() & b["value"].isNotNull() & _ep_ok(b["endpoint"]),
+        lambda b: b.isNotNull() & b["key"].isNotNull() & _tag_value(b).isNotNull() & _ep_ok(b["endpoint"]),
     )
     return F.coalesce(
         s.isNotNull()
@@ -132,8 +165,8 @@ def _span_typed(s: Column) -> Column:
             F.coalesce(s["binaryAnnotations"], F.array()),
             lambda b: F.struct(
                 b["key"].alias("key"),
-                b["value"].cast("binary").alias("value"),
-                F.coalesce(b["type"], F.lit("STRING")).alias("type"),
+                _tag_value(b).alias("value"),
+                _tag_kind(b).alias("type"),
                 _ep_typed(b["endpoint"]).alias("endpoint"),
             ),
         ).alias("binary_annotations"),

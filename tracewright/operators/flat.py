@@ -12,12 +12,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _port(ep: Column) -> Column:
-    return F.coalesce(ep["port"].cast("string"), F.lit("-"))
+def _endpoint(ep: Column) -> Column:
+    """``service:address:port``, a dash for an address or a port that is missing."""
+    dash = F.lit("-")
+    address, port = F.coalesce(ep["ipv4"], dash), F.coalesce(ep["port"].cast("string"), dash)
+    return F.concat(F.coalesce(ep["service_name"], F.lit("")), F.lit(":"), address, F.lit(":"), port)
+
+
+def _tag_text(b: Column) -> Column:
+    """The text of a string tag; of other kinds the kind and the bytes in hex."""
+    kind = F.coalesce(b["type"], F.lit("STRING"))
+    text = F.when(kind == "STRING", b["value"].cast("string")).otherwise(F.concat(kind, F.lit(":"), F.lower(F.hex(b["value"]))))
+    return F.coalesce(text, F.lit(""))
 
 
 def annotation_text() -> Column:
-    """``value@timestamp@service:port`` per annotation, sorted, joined by ','."""
+    """``value@timestamp@endpoint`` per annotation, sorted, joined by ','."""
     return F.array_join(
         F.sort_array(
             F.transform(
@@ -26,7 +36,7 @@ def annotation_text() -> Column:
                     "@",
                     a["value"],
                     a["timestamp"].cast("string"),
-                    F.concat(F.coalesce(a["endpoint"]["service_name"], F.lit("")), F.lit(":"), _port(a["endpoint"])),
+                    _endpoint(a["endpoint"]),
                 ),
             )
         ),
@@ -35,20 +45,12 @@ def annotation_text() -> Column:
 
 
 def tag_text() -> Column:
-    """``key=value@service:port`` per tag, sorted, joined by ','."""
+    """``key=value@endpoint`` per tag, sorted, joined by ','."""
     return F.array_join(
         F.sort_array(
             F.transform(
                 "binary_annotations",
-                lambda b: F.concat(
-                    b["key"],
-                    F.lit("="),
-                    F.coalesce(b["value"].cast("string"), F.lit("")),
-                    F.lit("@"),
-                    F.coalesce(b["endpoint"]["service_name"], F.lit("")),
-                    F.lit(":"),
-                    _port(b["endpoint"]),
-                ),
+                lambda b: F.concat(b["key"], F.lit("="), _tag_text(b), F.lit("@"), _endpoint(b["endpoint"])),
             )
         ),
         ",",

@@ -216,8 +216,9 @@ def normalize_service(spark, sf_dir):
     "scrub_tags",
     O.with_spans(
         "s AS (SELECT * REPLACE (list_transform(binary_annotations, lambda t: {'key': t.key,"
-        " 'value': regexp_replace(t.value, '[A-Za-z0-9._%+-]+@', '***@', 'g'),"
-        " 'endpoint': t.endpoint}) AS binary_annotations) FROM spans)"
+        " 'value': CASE WHEN t.type = 'STRING' THEN"
+        " regexp_replace(t.value, '[A-Za-z0-9._%+-]+@', '***@', 'g') ELSE t.value END,"
+        " 'type': t.type, 'endpoint': t.endpoint}) AS binary_annotations) FROM spans)"
     )
     + O.flat_select("s"),
 )

@@ -42,11 +42,17 @@ parts AS (
            THEN {'timestamp': start + dur + 80000000, 'value': 'finagle.flush', 'endpoint': ep} END
     ], lambda x: x IS NOT NULL) AS s_anns,
     list_filter([
-      CASE WHEN event_id % 3 = 0 THEN {'key': 'srv/finagle.version', 'value': '6.28.0', 'endpoint': ep} END,
-      CASE WHEN event_id % 8 = 0 THEN {'key': 'key', 'value': 'Hit', 'endpoint': ep} END,
-      CASE WHEN event_id % 16 = 4 THEN {'key': 'key', 'value': 'Miss', 'endpoint': ep} END,
-      CASE WHEN event_type = 'error' THEN {'key': 'error', 'value': 'true', 'endpoint': ep} END,
-      {'key': 'user.email', 'value': 'u' || CAST(user_id AS VARCHAR) || '@example.com', 'endpoint': ep}
+      CASE WHEN event_id % 3 = 0 THEN {'key': 'srv/finagle.version', 'value': '6.28.0', 'type': 'STRING', 'endpoint': ep} END,
+      CASE WHEN event_id % 8 = 0 THEN {'key': 'key', 'value': 'Hit', 'type': 'STRING', 'endpoint': ep} END,
+      CASE WHEN event_id % 16 = 4 THEN {'key': 'key', 'value': 'Miss', 'type': 'STRING', 'endpoint': ep} END,
+      CASE WHEN event_type = 'error' THEN {'key': 'error', 'value': 'true', 'type': 'STRING', 'endpoint': ep} END,
+      {'key': 'user.email', 'value': 'u' || CAST(user_id AS VARCHAR) || '@example.com', 'type': 'STRING', 'endpoint': ep},
+      CASE WHEN event_id % 10 = 1 THEN {'key': 'sa', 'value': '01', 'type': 'BOOL', 'endpoint': ep} END,
+      CASE WHEN event_id % 12 = 5 THEN {'key': 'blob', 'value': 'fffe8001614062', 'type': 'BYTES', 'endpoint': ep} END,
+      CASE WHEN event_id % 9 = 2
+           THEN {'key': 'size', 'value': lower(lpad(hex(dur), 16, '0')), 'type': 'I64', 'endpoint': ep} END,
+      CASE WHEN event_id % 11 = 3
+           THEN {'key': 'ratio', 'value': '3fe0000000000000', 'type': 'DOUBLE', 'endpoint': ep} END
     ], lambda x: x IS NOT NULL) AS tags
   FROM b
 ),
@@ -84,18 +90,21 @@ half_spans AS (
 
 
 def flat_select(rel: str) -> str:
-    """The flat scalar view (operators/flat.py) over relation ``rel``."""
+    """The flat scalar view (operators/flat.py) over relation ``rel``; values of tags that are no strings are hex here."""
+    endpoint = lambda v: (
+        f"coalesce({v}.endpoint.service_name, '') || ':' || coalesce({v}.endpoint.ipv4, '-') || ':'"
+        f" || coalesce(CAST({v}.endpoint.port AS VARCHAR), '-')"
+    )
     return f"""
 SELECT trace_id_high, trace_id, id, parent_id, name, timestamp, duration,
   CAST(len(annotations) AS BIGINT) AS n_annotations,
   array_to_string(list_sort(list_transform(annotations, lambda a: concat_ws('@', a.value,
-      CAST(a.timestamp AS VARCHAR),
-      coalesce(a.endpoint.service_name, '') || ':' || coalesce(CAST(a.endpoint.port AS VARCHAR), '-')))), ',')
+      CAST(a.timestamp AS VARCHAR), {endpoint('a')}))), ',')
     AS annotation_text,
   CAST(len(binary_annotations) AS BIGINT) AS n_tags,
-  array_to_string(list_sort(list_transform(binary_annotations, lambda t: t.key || '=' || coalesce(t.value, '')
-      || '@' || coalesce(t.endpoint.service_name, '') || ':'
-      || coalesce(CAST(t.endpoint.port AS VARCHAR), '-'))), ',') AS tag_text
+  array_to_string(list_sort(list_transform(binary_annotations, lambda t: t.key || '='
+      || CASE WHEN t.type = 'STRING' THEN '' ELSE t.type || ':' END || coalesce(t.value, '')
+      || '@' || {endpoint('t')})), ',') AS tag_text
 FROM {rel}
 """
 
@@ -171,7 +180,7 @@ SELECT trace_id_high, trace_id, id, parent_id, name, timestamp, duration,
   list_transform(annotations, lambda a: {{'timestamp': a.timestamp, 'value': a.value, 'endpoint': {ep('a')}}})
     AS annotations,
   list_transform(binary_annotations, lambda t: {{'key': t.key, 'value': t.value,
-    'endpoint': {ep('t')}}}) AS binary_annotations
+    'type': t.type, 'endpoint': {ep('t')}}}) AS binary_annotations
 FROM {rel}
 """
 

@@ -58,10 +58,14 @@ def _ann(ts: Column, value: str, ep: Column) -> Column:
     return F.struct(ts.alias("timestamp"), F.lit(value).alias("value"), ep.alias("endpoint"))
 
 
-def _tag(key: str | Column, value: Column, ep: Column) -> Column:
+#: A BYTES tag that is no text but holds what scrubbing looks for, and a DOUBLE tag of 0.5.
+BINARY_TAG, HALF_TAG = b"\xff\xfe\x80\x01a@b", b"\x3f\xe0\x00\x00\x00\x00\x00\x00"
+
+
+def _tag(key: str | Column, value: Column, ep: Column, kind: str = "STRING") -> Column:
     k = F.lit(key) if isinstance(key, str) else key
     return F.struct(
-        k.alias("key"), value.cast("binary").alias("value"), F.lit("STRING").alias("type"), ep.alias("endpoint")
+        k.alias("key"), value.cast("binary").alias("value"), F.lit(kind).alias("type"), ep.alias("endpoint")
     )
 
 
@@ -114,6 +118,10 @@ def spans_from_events(events: DataFrame, split_halves: bool = False, keep_fixtur
             F.when(eid % 16 == 4, _tag("key", F.lit("Miss"), endpoint)),
             F.when(F.col("event_type") == "error", _tag("error", F.lit("true"), endpoint)),
             _tag("user.email", F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("@example.com")), endpoint),
+            F.when(eid % 10 == 1, _tag("sa", F.lit(b"\x01"), endpoint, "BOOL")),
+            F.when(eid % 12 == 5, _tag("blob", F.lit(BINARY_TAG), endpoint, "BYTES")),
+            F.when(eid % 9 == 2, _tag("size", F.unhex(F.lpad(F.hex(dur), 16, "0")), endpoint, "I64")),
+            F.when(eid % 11 == 3, _tag("ratio", F.lit(HALF_TAG), endpoint, "DOUBLE")),
         )
     )
 

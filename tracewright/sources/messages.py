@@ -13,24 +13,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.ids import hex16, trace_key
+from tracewright.operators.thrift import ANNOTATION_TYPES
 from tracewright.sources.events import MESSAGE_CHUNK, TRACE_ID_STRIDE, spans_from_events
 
 # --- fixed values: thrift TBinaryProtocol type codes ------------------------
 T_STOP, T_BOOL, T_I16, T_I32, T_I64, T_STRING, T_STRUCT, T_LIST = 0, 2, 6, 8, 10, 11, 12, 15
-ANNOTATION_TYPE_STRING = 6
 
 
 # ---------------------------------------------------------------- JSON ------
 _JSON_EP = "struct<serviceName:string,ipv4:string,port:int>"
 _JSON_ANNOTATIONS = f"array<struct<timestamp:bigint,value:string,endpoint:{_JSON_EP}>>"
-_JSON_TAGS = f"array<struct<key:string,value:string,type:string,endpoint:{_JSON_EP}>>"
+
+
+def _json_tag(b: Column) -> Column:
+    """A tag as JSON has it: BOOL bare, numbers bare, BYTES in base64; the type is left out where the value shows it."""
+    kind, raw = F.coalesce(b["type"], F.lit("STRING")), F.hex(b["value"])
+    sign = F.when(raw.rlike("^[89A-F]"), F.lit("F")).otherwise(F.lit("0"))
+    whole = F.conv(F.lpad(raw, 16, sign), 16, -10).try_cast("bigint")
+    double = F.try_reflect(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), F.coalesce(whole, F.lit(0).cast("bigint")))
+    value = (
+        F.when(kind == "STRING", b["value"].cast("string").cast("variant"))
+        .when(kind == "BOOL", (b["value"] != F.lit(b"\x00")).cast("variant"))
+        .when(kind == "BYTES", F.base64(b["value"]).cast("variant"))
+        .when(kind == "DOUBLE", double.try_cast("double").cast("variant"))
+        .otherwise(whole.cast("variant"))
+    )
+    return F.struct(
+        b["key"].alias("key"),
+        value.alias("value"),
+        F.when(~kind.isin("STRING", "BOOL"), kind).alias("type"),
+        b["endpoint"].cast(_JSON_EP).alias("endpoint"),
+    )
 
 
 def span_json_struct() -> Column:
     """Span in the v1 JSON layout (hex ids; null fields are omitted).
 
-    Nested fields are renamed by a positional cast (generated code) rather
-    than a per-element lambda.
+    Annotations are renamed by a positional cast (generated code) rather than
+    a per-element lambda; tags need one, as each has its own kind.
     """
     return F.struct(
         trace_key().alias("traceId"),
@@ -40,7 +60,7 @@ def span_json_struct() -> Column:
         F.col("timestamp").alias("timestamp"),
         F.col("duration").alias("duration"),
         F.col("annotations").cast(_JSON_ANNOTATIONS).alias("annotations"),
-        F.col("binary_annotations").cast(_JSON_TAGS).alias("binaryAnnotations"),
+        F.transform("binary_annotations", _json_tag).alias("binaryAnnotations"),
     )
 
 
@@ -94,6 +114,12 @@ def _list(fid: int, arr: str, enc) -> Column:
     return F.concat(_hdr(T_LIST, fid), F.lit(bytes([T_STRUCT])), _i32(F.size(arr)), items)
 
 
+def _type_code(kind: Column) -> Column:
+    """Number of a tag's kind; no kind is STRING."""
+    position = F.array_position(F.array(*[F.lit(t) for t in ANNOTATION_TYPES]), F.coalesce(kind, F.lit("STRING")))
+    return position - 1
+
+
 def span_thrift() -> Column:
     """One span as a TBinaryProtocol struct."""
     ann = lambda a: F.concat(
@@ -105,7 +131,7 @@ def span_thrift() -> Column:
     bann = lambda b: F.concat(
         _opt(b["key"].isNotNull(), F.concat(_hdr(T_STRING, 1), _str(b["key"]))),
         _opt(b["value"].isNotNull(), F.concat(_hdr(T_STRING, 2), _i32(F.octet_length(b["value"])), b["value"])),
-        F.concat(_hdr(T_I32, 3), _i32(F.lit(ANNOTATION_TYPE_STRING))),
+        F.concat(_hdr(T_I32, 3), _i32(_type_code(b["type"]))),
         _opt(b["endpoint"].isNotNull(), F.concat(_hdr(T_STRUCT, 4), _endpoint_thrift(b["endpoint"]))),
         F.lit(bytes([T_STOP])),
     )
