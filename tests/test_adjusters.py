@@ -1,5 +1,6 @@
 """The reference's adjuster tests re-expressed as rows, plus properties."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import EP, ann, df_of, finagle_server_span, rows, span, tag
@@ -164,6 +165,10 @@ def test_adjusters_from_settings():
     assert len(A.adjusters_from_settings({"finagle.enabled": "true"})) == 1
     assert len(A.adjusters_from_settings({"finagle.enabled": True, "finagle.adjust-issue343": "true"})) == 2
     assert A.adjusters_from_settings({"finagle.adjust-issue343": True}) == []
+    every = {"merge.enabled": True, "normalize.enabled": True, "prune.tag-keys": "a, b", "scrub.hash-keys": "c", "sample.min-duration": 5, "rekey.salt": 7}
+    assert len(A.adjusters_from_settings(every)) == 6
+    with pytest.raises(ValueError):
+        A.adjusters_from_settings({"scrub.keys": "c"})
 
 
 def test_span_local_chain_has_no_exchange(spark):

@@ -180,13 +180,13 @@ def test_cli_properties_to_config():
     props = parse_properties([
         "--source=files", "--files.path=/x", "--sink=parquet", "--sink.path=/out", "--sink.option.compression=zstd",
         "--conf.spark.sql.shuffle.partitions=64", "--finagle.enabled=true", "--finagle.adjust-issue343",
-        "--batch-duration=2500", "--kafka.topic=", "--available-now",
+        "--batch-duration=2500", "--kafka.topic=", "--available-now", "--scrub.enabled", "--filter.services=a,b",
     ])
     assert "kafka.topic" not in props  # empty means unset
     conf, cfg = config_from_properties(props)
     assert conf == {"spark.sql.shuffle.partitions": "64"}
     assert cfg.sink.options == {"compression": "zstd"} and cfg.batch_interval_ms == 2500
-    assert len(cfg.adjusters) == 2 and cfg.available_now
+    assert len(cfg.adjusters) == 3 and cfg.available_now and cfg.span_filter is not None
     with pytest.raises(ValueError):
         config_from_properties(parse_properties(["--source=kafka"]))  # servers required
     with pytest.raises(ValueError):

@@ -25,6 +25,7 @@ from tracewright.functions.spans import (
     has_tag_key_containing,
     has_tag_value_in,
 )
+from tracewright.operators.trace import merge_by_id, sample_traces
 from tracewright.schema import (
     CLIENT_RECV,
     CLIENT_SEND,
@@ -311,19 +312,61 @@ def scrub(pattern: str = EMAIL_LOCAL_PART, replacement: str = "***@", hash_keys:
 
 
 # --- settings -> adjuster list (J5) -----------------------------------------
+#: What the keys of the settings begin with.
+SETTINGS = ("merge.", "finagle.", "normalize.", "prune.", "scrub.", "sample.", "rekey.")
+
+
 def adjusters_from_settings(settings: Mapping[str, object]) -> list[Adjuster]:
-    """Finagle is off unless ``finagle.enabled``; Issue 343 also needs
-    ``finagle.adjust-issue343``. Finagle comes before Issue 343."""
+    """The adjusters that the settings turn on, in this order; without settings there are none.
+
+    * ``merge.enabled``: merge by id, first, so that the others see whole spans;
+    * ``finagle.enabled`` (``finagle.apply-timestamp-and-duration``, on unless
+      told otherwise), with it ``finagle.adjust-issue343``;
+    * ``normalize.enabled``, or ``normalize.aliases`` (``name:alias``, comma list);
+    * ``prune.tag-keys``, ``prune.annotation-values`` (comma lists);
+    * ``scrub.enabled``, ``scrub.pattern``, ``scrub.replacement``, ``scrub.hash-keys``;
+    * ``sample.min-duration`` (micros), ``sample.keep-errors`` (on unless told otherwise);
+    * ``rekey.salt`` (a whole number), last, as it changes the ids.
+
+    A key that none of them knows is refused.
+    """
+    unread = {str(k): v for k, v in settings.items()}
     out: list[Adjuster] = []
 
-    def flag(key: str, default: bool) -> bool:
-        v = settings.get(key, default)
-        return v if isinstance(v, bool) else str(v).strip().lower() == "true"
-
-    if flag("finagle.enabled", False):
-        out.append(finagle_adjuster(flag("finagle.apply-timestamp-and-duration", True)))
-        if flag("finagle.adjust-issue343", False):
-            out.append(issue343_adjuster())
+    def text(key: str, default: str | None = None) -> str | None:
+        v = unread.pop(key, None)
+        return default if v is None else str(v)
+
+    def flag(key: str, default: bool = False) -> bool:
+        return text(key, str(default)).strip().lower() == "true"
+
+    def names(key: str) -> list[str]:
+        return [n.strip() for n in text(key, "").split(",") if n.strip()]
+
+    if flag("merge.enabled"):
+        out.append(merge_by_id)
+    finagle, times, issue343 = flag("finagle.enabled"), flag("finagle.apply-timestamp-and-duration", True), flag("finagle.adjust-issue343")
+    if finagle:
+        out.append(finagle_adjuster(times))
+    if finagle and issue343:
+        out.append(issue343_adjuster())
+    aliases = dict(pair.split(":", 1) for pair in names("normalize.aliases"))
+    if flag("normalize.enabled") or aliases:
+        out.append(normalize_services(aliases))
+    tag_keys, annotation_values = names("prune.tag-keys"), names("prune.annotation-values")
+    if tag_keys or annotation_values:
+        out.append(prune(tag_keys, annotation_values))
+    pattern, replacement, hashed = text("scrub.pattern"), text("scrub.replacement", "***@"), names("scrub.hash-keys")
+    if flag("scrub.enabled") or pattern or hashed:
+        out.append(scrub(pattern or EMAIL_LOCAL_PART, replacement, hashed))
+    slow, errors = text("sample.min-duration"), flag("sample.keep-errors", True)
+    if slow is not None:
+        out.append(functools.partial(sample_traces, min_duration=int(slow), keep_errors=errors))
+    salt = text("rekey.salt")
+    if salt is not None:
+        out.append(rekey(int(salt)))
+    if unread:
+        raise ValueError(f"unknown adjuster settings: {sorted(unread)}")
     return out
 
 

@@ -23,7 +23,7 @@ from tracewright.schema import SPAN_COLUMNS
 from tracewright.session import scratch_path
 from tracewright.sources.files import message_stream, read_spans
 from tracewright.sources.fixtures import stored_messages, stored_spans
-from tracewright.streaming.job import JobConfig, run_to_completion
+from tracewright.streaming.job import JobConfig, process_batch, run_to_completion
 from tracewright.streaming.sinks import SinkConfig, check_sink, read_sink, write_spans
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -515,3 +515,88 @@ def trace_context_q(spark, sf_dir):
         "trace_id_high", "trace_id", "id", "trace_span_count", "trace_start", "trace_end", "trace_has_error",
         "trace_root_id",
     )
+
+
+# ------------------------------------------- settings, extremes, failures ---
+#: Settings of a chain of all adjusters that settings know but merging, which ``merge_by_id`` covers.
+CHAIN_SETTINGS = {
+    "finagle.enabled": "true",
+    "finagle.adjust-issue343": "true",
+    "normalize.aliases": ",".join(f"{k}:{v}" for k, v in SERVICE_ALIASES.items()),
+    "prune.tag-keys": "error",
+    "scrub.enabled": "true",
+    "sample.min-duration": str(FILTER_MIN_DURATION),
+    "sample.keep-errors": "false",
+    "rekey.salt": str(REKEY_SALT),
+}
+
+
+@query(
+    "configured_chain",
+    O.with_spans(
+        "a1 AS (" + O.backfill_select("spans", O.FINAGLE_PRED) + ")",
+        "a2 AS (" + O.issue343_select("a1") + ")",
+        "a3 AS (" + O.endpoint_map_select("a2", _norm_sql) + ")",
+        "a4 AS (SELECT * REPLACE (list_transform(list_filter(binary_annotations, lambda t: t.key <> 'error'),"
+        " lambda t: {'key': t.key, 'value': CASE WHEN t.type = 'STRING' THEN"
+        " regexp_replace(t.value, '[A-Za-z0-9._%+-]+@', '***@', 'g') ELSE t.value END,"
+        " 'type': t.type, 'endpoint': t.endpoint}) AS binary_annotations) FROM a3)",
+        f"k AS (SELECT trace_id_high, trace_id FROM a4 GROUP BY ALL HAVING max(duration) >= {FILTER_MIN_DURATION})",
+        f"""r AS (SELECT a4.* REPLACE (xor(id, {REKEY_SALT}) AS id, xor(parent_id, {REKEY_SALT}) AS parent_id)
+  FROM a4 SEMI JOIN k USING (trace_id_high, trace_id))""",
+    )
+    + O.flat_select("r"),
+)
+def configured_chain(spark, sf_dir):
+    """J5 + A1: the chain that settings describe: Finagle, Issue 343, normalize, prune, scrub, sample, re-key."""
+    return flat_spans(A.chain(A.adjusters_from_settings(CHAIN_SETTINGS))(_spans(spark, sf_dir)))
+
+
+#: A time so far from zero that a span from its negative to itself is longer than 64 bits hold.
+FAR = 9_000_000_000_000_000_000
+
+
+@query(
+    "overflow_spans",
+    O.with_spans(
+        f"""x AS (SELECT * REPLACE (NULL AS timestamp, NULL AS duration, CASE WHEN id % 10 = 1 THEN list_transform(annotations,
+    lambda a: {{'timestamp': CASE WHEN a.value IN ('cs', 'sr') THEN -{FAR} ELSE {FAR} END, 'value': a.value,
+      'endpoint': a.endpoint}}) ELSE annotations END AS annotations) FROM spans)""",
+        "a1 AS (" + O.backfill_select("x") + ")",
+    )
+    + O.flat_select("a1"),
+)
+def overflow_spans(spark, sf_dir):
+    """A5 + A11: times at the ends of the 64-bit range; a duration that does not fit stays null, nothing fails."""
+    far = F.when(F.col("id") % 10 == 1, F.lit(FAR))
+
+    def moved(a):
+        return a.withField("timestamp", F.coalesce(F.when(a["value"].isin("cs", "sr"), -far).otherwise(far), a["timestamp"]))
+
+    none = F.lit(None).cast("bigint")
+    extreme = _spans(spark, sf_dir).withColumns({"timestamp": none, "duration": none, "annotations": F.transform("annotations", moved)})
+    return flat_spans(A.backfill_timestamp_duration(extreme))
+
+
+@query(
+    "write_failure",
+    O.with_spans(O.MESSAGE_CTE)
+    + """SELECT 'write_failed' AS reason, trace_id, id, CAST(1 AS BIGINT) AS n FROM spans
+WHERE (_user_id + _day) % 20 NOT IN (0, 1, 2)
+UNION ALL
+SELECT CASE WHEN rule = 0 THEN 'bad_json' ELSE 'bad_thrift' END, NULL, NULL, count(*) FROM msgs WHERE rule IN (0, 2)
+GROUP BY 1""",
+)
+def write_failure(spark, sf_dir):
+    """C4 + K6: a sink that always fails and malformed messages in one batch; every span and message is found once."""
+    dead = SinkConfig("parquet", scratch_path(spark, "dead"))
+    # no driver answers this address, so each write fails at once
+    failing = SinkConfig("jdbc", options={"url": "jdbc:none:", "dbtable": "spans"}, max_attempts=2, retry_wait_s=0)
+    process_batch(stored_messages(spark, sf_dir).select("value"), 0, [A.finagle_adjuster()], failing, dead)
+    found = read_sink(spark, dead)
+    failed = F.col("reason").startswith("write_failed")
+    ids = F.from_json(F.col("value").cast("string"), "trace_id bigint, id bigint")
+    rows = found.select(
+        F.when(failed, F.lit("write_failed")).otherwise(F.col("reason")).alias("reason"), F.when(failed, ids).alias("ids")
+    )
+    return rows.groupBy("reason", "ids.trace_id", "ids.id").agg(F.count(F.lit(1)).alias("n"))

@@ -119,7 +119,7 @@ def backfill_select(rel: str, pred: str = "TRUE") -> str:
     return f"""
 SELECT trace_id_high, trace_id, id, parent_id, name,
   CASE WHEN coalesce({pred}, FALSE) THEN coalesce(timestamp, st) ELSE timestamp END AS timestamp,
-  CASE WHEN coalesce({pred}, FALSE) THEN coalesce(duration, CASE WHEN en > st THEN en - st END)
+  CASE WHEN coalesce({pred}, FALSE) THEN coalesce(duration, CASE WHEN en > st THEN TRY_CAST(CAST(en AS HUGEINT) - CAST(st AS HUGEINT) AS BIGINT) END)
        ELSE duration END AS duration,
   annotations, binary_annotations
 FROM (

@@ -24,7 +24,9 @@ Properties (``--key=value``; empty values mean unset):
     checkpoint              checkpoint location (default: under spark.checkpoint.dir)
     fail-fast               check the sink before starting (default true)
     available-now           drain what is there, then stop (default false)
-    finagle.enabled, finagle.apply-timestamp-and-duration, finagle.adjust-issue343
+    filter.services         comma list: only spans with an endpoint of one of these services
+    merge.*, finagle.*, normalize.*, prune.*, scrub.*, sample.*, rekey.*
+                            adjusters (see ``operators.adjust.adjusters_from_settings``)
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Sequence
 
-from tracewright.operators.adjust import adjusters_from_settings
+from tracewright.functions.spans import of_services
+from tracewright.operators.adjust import SETTINGS, adjusters_from_settings
 from tracewright.session import build_session
 from tracewright.sources.files import message_stream
 from tracewright.sources.kafka import DEFAULT_GROUP_ID, DEFAULT_TOPIC, KafkaSettings, kafka_stream
@@ -90,12 +93,14 @@ def config_from_properties(props: dict[str, str]) -> tuple[dict[str, str], JobCo
 
     sink = SinkConfig(props.get("sink", "parquet"), props.get("sink.path"), _prefixed(props, "sink.option."))
     dead = SinkConfig("parquet", props["dead-letter.path"]) if props.get("dead-letter.path") else None
-    settings = {k: v for k, v in props.items() if k.startswith("finagle.")}
+    settings = {k: v for k, v in props.items() if k.startswith(SETTINGS)}
+    services = [s.strip() for s in props.get("filter.services", "").split(",") if s.strip()]
     config = JobConfig(
         source=src,
         sink=sink,
         adjusters=adjusters_from_settings(settings),
         dead_letter_sink=dead,
+        span_filter=(lambda: of_services(services)) if services else None,
         batch_interval_ms=int(props.get("batch-duration", DEFAULT_BATCH_INTERVAL_MS)),
         checkpoint_location=props.get("checkpoint"),
         available_now=_flag(props, "available-now", False),
