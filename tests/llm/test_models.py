@@ -169,6 +169,41 @@ def test_counts_do_not_depend_on_segments(spark, monkeypatch):
         assert m.emit.keys() == models[0].emit.keys() and all(np.array_equal(m.emit[k], models[0].emit[k]) for k in m.emit)
 
 
+def test_a_long_transcript_is_dealt_to_many_tasks(spark, monkeypatch, toy_model):
+    """Turns of one line each, as the query numbers them: segments go across turns, and no task of any round holds the transcript."""
+    rng = random.Random(5)
+    turns = [("7", k, rng.choice(["user", "assistant"]), rng.choice(["hi?", "yes.", "and so on.", ""])) for k in range(300)] + [("8", 0, "user", "x")]
+    lines = transcripts.raw_lines(spark.createDataFrame(turns, "conv_id string, turn long, role string, text string")).repartition(5).cache()
+    whole = transcripts.decode(lines, toy_model).orderBy("conv", "line").collect()
+    held = [(r.conv, r.line, r.text) for r in whole if r.conv == "7"]
+    front, came = None, []
+    for k, (_, _, text) in enumerate(held):
+        front, way = ((toy_model.start + toy_model.scores(text, True))[None, :], None) if not k else transcripts.advance(toy_model, front, text, False)
+        came.append(way)
+    path = [(r.role, r.first) for r in whole if r.conv == "7"]
+    assert path_score(toy_model, [t for *_, t in held], path) == pytest.approx(front.max())
+    places = transcripts.numbered(lines.select("conv", "line", "text")).orderBy("conv", "line").collect()
+    assert [r["at"] for r in places] == [*range(len(held)), *range(len(places) - len(held))] and len(held) >= 300
+
+    monkeypatch.setattr(transcripts, "SEGMENT", 8)
+    monkeypatch.setattr(transcripts, "FAN", 4)
+    rounds, write = [], transcripts.stored
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "transcript-matrices":
+            rounds.append(out.where("conv = '7'").count())
+        return out
+
+    monkeypatch.setattr(transcripts, "stored", counted)
+    again = transcripts.decode(lines, toy_model).orderBy("conv", "line").collect()
+    want = [-(-len(held) // 8)]  # segments of 8 lines, then runs of 4
+    while want[-1] > 4:
+        want.append(-(-want[-1] // 4))
+    assert rounds == want and len(want) > 2
+    assert path_score(toy_model, [t for *_, t in held], [(r.role, r.first) for r in again if r.conv == "7"]) == pytest.approx(front.max())
+
+
 def test_markers():
     assert transcripts.marker("User: hello") == ("user", 6)
     assert transcripts.marker("### Assistant") == ("assistant", 13)

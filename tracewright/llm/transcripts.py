@@ -7,11 +7,13 @@ transcript. Start, transition and emission counts come from labelled lines, all
 of them, as Spark aggregates; the most likely states come from the Viterbi
 recursion, and turns are rendered from them.
 
-One transcript may hold most lines, so it is cut into segments of ``SEGMENT``
-line numbers. Over a segment the recursion is a max-plus matrix; matrices of one
-transcript are multiplied in order (a few numbers for each segment) to get the
-state that each segment ends in, and segments are then decoded on their own. The
-result is that of one pass over the whole transcript.
+One transcript may hold most lines, so its lines are numbered without gaps and
+cut into segments of ``SEGMENT`` lines. Over a segment the recursion is a
+max-plus matrix; matrices are multiplied in order in rounds of ``FAN`` at a time
+until a transcript has at most ``FAN`` of them, and the state that each ends in
+is found from the last round down to the segments, which are then decoded on
+their own. No task sees a whole transcript, and the result is that of one pass
+over it.
 
 Defined cases: a null text is an empty line without marker; null line numbers
 come first; lines of one number are ordered by their text; a null transcript id
@@ -30,12 +32,14 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
+from pyspark.sql import types as T
 
-from tracewright.llm.common import in_arrow, stored
+from tracewright.llm.common import in_arrow, shuffle_width, stored
 
-#: Line numbers of a segment.
+#: Lines of a segment.
 SEGMENT = 1024
+#: Matrices that one task multiplies in a round.
+FAN = 1024
 #: Words of speaker markers, by the class they are seen as (fixed values).
 MARKERS = {
     "system": "system", "instructions": "system",
@@ -118,7 +122,7 @@ def fit(lines: DataFrame) -> Model:
     """Counts over all labelled lines ``(conv, line, text, role, first)``; a table of states and features comes back.
 
     Within a segment lines are read in order; moves across a segment's end come
-    from the segments' first and last states, joined on the segment number.
+    from its last state and the first of the next segment, joined on its number.
     """
     labelled = lines.where(F.col("role").isNotNull()).select("conv", "line", "text", "role", "first")
 
@@ -142,12 +146,10 @@ def fit(lines: DataFrame) -> Model:
             yield kind, a, b, n, None, None
 
     found = stored(in_arrow(_segments(labelled), "kind string, a string, b string, n long, conv string, seg long", work), "transcript-counts")
-    ends = found.where("kind = 'last'").select("conv", F.col("seg").alias("s"), "a")
+    ends = found.where("kind = 'last'").select("conv", (F.col("seg") + 1).alias("seg"), "a")
     begins = found.where("kind = 'first'").select("conv", "seg", F.col("a").alias("b"))
-    before = W.partitionBy("conv").orderBy("seg")  # one row a segment
-    order = begins.withColumn("s", F.lag("seg").over(before))
-    crossing = order.join(ends, (order.conv.eqNullSafe(ends.conv)) & (order.s == ends.s)).select(F.lit("move").alias("kind"), "a", "b", F.lit(1).alias("n"))
-    opening = order.where("s is null").select(F.lit("start").alias("kind"), F.col("b").alias("a"), F.lit("").alias("b"), F.lit(1).alias("n"))
+    crossing = begins.alias("g").join(ends.alias("e"), F.expr("g.conv <=> e.conv and g.seg = e.seg")).select(F.lit("move").alias("kind"), "a", "b", F.lit(1).alias("n"))
+    opening = begins.where("seg = 0").select(F.lit("start").alias("kind"), F.col("b").alias("a"), F.lit("").alias("b"), F.lit(1).alias("n"))
     inner = found.where("kind in ('move', 'emit')").select("kind", "a", "b", "n")
     total = inner.union(crossing).union(opening).groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).collect()  # states and features
     state = lambda text: (text.split("\t")[0], text.endswith("1"))
@@ -163,14 +165,43 @@ def fit(lines: DataFrame) -> Model:
     return smoothed(roles, starts, moves, emits)
 
 
+def numbered(lines: DataFrame) -> DataFrame:
+    """Adds ``at``: the place of each line in its transcript, from 0 and without gaps.
+
+    Lines are dealt to ranges of (transcript, line, text) and numbered within
+    their range; only the first transcript of a range can have begun before it.
+    The first and last line of each range come to the driver.
+    """
+    spark = lines.sparkSession
+    rows = lines.withColumn("line", F.coalesce(F.col("line").cast("long"), F.lit(-(2**63))))
+    dealt = rows.repartitionByRange(shuffle_width(spark), "conv", "line", F.substring("text", 1, 32)).withColumn("range", F.spark_partition_id())
+    rest = [c for c in lines.columns if c not in ("conv", "line", "text")]
+
+    def work(source: Iterable[dict]) -> Iterator[tuple]:
+        here, n = None, 0
+        for r in source:
+            n = n + 1 if n and r["conv"] == here else 1
+            here = r["conv"]
+            yield *r.values(), n - 1
+
+    schema = T.StructType([*dealt.schema.fields, T.StructField("local", T.LongType())])
+    held = stored(in_arrow(dealt.sortWithinPartitions("conv", "line", "text", *rest), schema, work), "transcript-places")
+    border = F.struct("conv", "local")
+    carried, before = [], None
+    for r in held.groupBy("range").agg(F.min(border).alias("first"), F.max(border).alias("last")).orderBy("range").collect():
+        start = before[1] if before and before[0] == r.first.conv else 0
+        if start:
+            carried.append((r.range, r.first.conv, start))
+        before = r.last.conv, r.last.local + 1 + (start if r.last.conv == r.first.conv else 0)
+    starts = F.broadcast(spark.createDataFrame(carried, "range int, conv string, start long"))  # at most one row a range
+    found = held.alias("l").join(starts.alias("s"), F.expr("l.range = s.range and l.conv <=> s.conv"), "left")
+    return found.select(*[f"l.{c}" for c in lines.columns], (F.col("l.local") + F.coalesce("s.start", F.lit(0))).alias("at"))
+
+
 def _segments(lines: DataFrame) -> DataFrame:
     """Lines by segment and in order, with ``opens``: whether a line is the transcript's first."""
-    firsts = lines.groupBy("conv").agg(F.min(F.struct(F.coalesce("line", F.lit(-(2**63))).alias("line"), F.coalesce("text", F.lit("")).alias("text"))).alias("f"))
-    key = lines.withColumn("line", F.coalesce("line", F.lit(-(2**63)))).withColumn("seg", F.floor(F.col("line") / SEGMENT))
-    joined = key.alias("l").join(firsts.alias("f"), F.expr("l.conv <=> f.conv")).select(
-        "l.*", ((F.col("l.line") == F.col("f.f.line")) & (F.coalesce("l.text", F.lit("")) == F.col("f.f.text"))).alias("opens")
-    )
-    return joined.repartition("conv", "seg").sortWithinPartitions("conv", "seg", "line", "text")
+    key = numbered(lines).withColumn("seg", F.floor(F.col("at") / SEGMENT)).withColumn("opens", F.col("at") == 0)
+    return key.repartition("conv", "seg").sortWithinPartitions("conv", "seg", "at")
 
 
 # --- decoding ----------------------------------------------------------------
@@ -190,47 +221,77 @@ def decode(lines: DataFrame, model: Model) -> DataFrame:
     unit = np.where(np.eye(n, dtype=bool), 0.0, -np.inf)
 
     def matrices(source: Iterable[dict]) -> Iterator[tuple]:
-        at, table, opening = None, None, False
+        at, table = None, None
         for r in source:
             if (r["conv"], r["seg"]) != at:
                 if at is not None:
-                    yield *at, table.ravel().tolist(), opening
-                at, table, opening = (r["conv"], r["seg"]), unit, bool(r["opens"])
-                if opening:  # the start distribution instead of a move
+                    yield *at, table.ravel().tolist()
+                at, table = (r["conv"], r["seg"]), unit
+                if r["opens"]:  # the start distribution instead of a move
                     table = np.tile(model.start + model.scores(r["text"], True), (n, 1))
                     continue
             table = advance(model, table, r["text"], bool(r["opens"]))[0]
         if at is not None:
-            yield *at, table.ravel().tolist(), opening
+            yield *at, table.ravel().tolist()
+
+    def products(source: Iterable[dict]) -> Iterator[tuple]:
+        """Of each run of ``FAN`` matrices their product; its largest entry is made 0, as only differences count."""
+        at, table = None, None
+        for r in source:
+            if (r["conv"], r["run"]) != at:
+                if at is not None:
+                    yield *at, table.ravel().tolist()
+                at, table = (r["conv"], r["run"]), unit
+            table = (table[:, :, None] + np.array(r["table"]).reshape(1, n, n)).max(axis=1)
+            table = table - table.max()
+        if at is not None:
+            yield *at, table.ravel().tolist()
 
     def borders(source: Iterable[dict]) -> Iterator[tuple]:
-        """Per transcript: forward scores through its segments, then the best end state of each, back from the last."""
+        """Per run of matrices: forward scores from the state before it, then the best end state of each, back from its last."""
         at, chain = None, []
 
         def back() -> Iterator[tuple]:
-            front, ways = np.zeros(n), []
-            for _, table, _ in chain:
+            if not chain:
+                return
+            front, ways = np.full(n, -np.inf), []
+            front[chain[0][2]] = 0.0
+            for _, table, *_ in chain:
                 both = front[:, None] + table
                 ways.append(both.argmax(axis=0))
                 front = both.max(axis=0)
                 front = front - front.max()
-            state = int(front.argmax()) if chain else 0
-            for (seg, _, _), way in zip(reversed(chain), reversed(ways)):
-                yield at, seg, int(way[state]), state
+            state = int(front.argmax()) if chain[0][3] is None else chain[0][3]
+            for (seg, *_), way in zip(reversed(chain), reversed(ways)):
+                yield at[0], seg, int(way[state]), state
                 state = int(way[state])
 
         for r in source:
-            if not chain or r["conv"] != at:
+            if (r["conv"], r["run"]) != at:
                 yield from back()
-                at, chain = r["conv"], []
-            chain.append((r["seg"], np.array(r["table"]).reshape(n, n), r["opening"]))
+                at, chain = (r["conv"], r["run"]), []
+            chain.append((r["seg"], np.array(r["table"]).reshape(n, n), r["enter"], r["leave"]))
         yield from back()
 
-    tables = stored(in_arrow(rows, "conv string, seg long, table array<double>, opening boolean", matrices), "transcript-matrices")
-    ordered = tables.repartition("conv").sortWithinPartitions("conv", "seg")
-    ends = in_arrow(ordered, "conv string, seg long, enter int, leave int", borders)
+    def runs(tables: DataFrame) -> DataFrame:
+        return tables.withColumn("run", F.floor(F.col("seg") / FAN))
+
+    def in_order(tables: DataFrame) -> DataFrame:
+        return tables.repartition("conv", "run").sortWithinPartitions("conv", "run", "seg")
+
+    kind = "conv string, seg long, table array<double>"
+    rounds = [stored(in_arrow(rows, kind, matrices), "transcript-matrices")]
+    while (rounds[-1].agg(F.max("seg")).first()[0] or 0) >= FAN:
+        rounds.append(stored(in_arrow(in_order(runs(rounds[-1])), kind, products), "transcript-matrices"))
+    # Any state may stand before a transcript: its first matrix has the same row for each.
+    known = runs(rounds.pop()).withColumns({"enter": F.lit(0), "leave": F.lit(None).cast("int")})
+    while True:
+        ends = in_arrow(in_order(known), "conv string, seg long, enter int, leave int", borders)
+        if not rounds:
+            break
+        known = runs(rounds.pop()).alias("t").join(ends.alias("e"), F.expr("t.conv <=> e.conv and t.run = e.seg")).select("t.*", "e.enter", "e.leave")
     known = rows.alias("r").join(ends.alias("e"), F.expr("r.conv <=> e.conv and r.seg = e.seg")).select("r.*", "e.enter", "e.leave")
-    dealt = known.repartition("conv", "seg").sortWithinPartitions("conv", "seg", "line", "text")
+    dealt = known.repartition("conv", "seg").sortWithinPartitions("conv", "seg", "at")
 
     def states(source: Iterable[dict]) -> Iterator[tuple]:
         at, held = None, []
