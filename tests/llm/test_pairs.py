@@ -93,6 +93,23 @@ def test_components_of_paths_and_stars(spark):
         assert found.get(n, n) == nodes[r]
 
 
+def test_one_row_of_a_component_stays_if_ids_repeat(spark):
+    rng = random.Random(10)
+    bits = lambda a, b: (simhash.simhash(a.encode()) ^ simhash.simhash(b.encode())).bit_count()
+
+    def near_copies():
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        text = " ".join(words)
+        copies = (" ".join([*words[:k], "other", *words[k + 1 :]]) for k in range(400))
+        return text, next(c for c in copies if 1 <= bits(text, c) <= 4)
+
+    (a, b), (c, d), (e, f) = near_copies(), near_copies(), near_copies()
+    rows = [(1, a), (1, b), (1, a), (None, c), (None, d), (2, e), (None, f), (1, "far from all of them")]
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, DOCS)).collect()]
+    assert len(kept) == 4 and (2, e) in kept and (1, "far from all of them") in kept
+    assert sum(k in ((1, a), (1, b)) for k in kept) == 1 and sum(k in ((None, c), (None, d)) for k in kept) == 1
+
+
 def test_near_duplicates_defined_cases(spark):
     body = " ".join(f"w{i}" for i in range(60))
     rows = [(5, body), (3, body), (9, None), (8, ""), (7, "alone and different"), (7, "alone and different"), (None, body)]

@@ -147,6 +147,11 @@ def near_duplicates(
     docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc_id, fp, component_id`` for every row; ``component_id`` is the smallest id reachable over links."""
+    return rooted_prints(docs, shingle, max_bits, id_col, text_col).drop("root")
+
+
+def rooted_prints(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`near_duplicates` with ``root``, a fingerprint that names the component; two components may have one smallest id."""
     prints = stored(fingerprints(docs, shingle, id_col, text_col), "simhash")
     firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     labels = component_labels(links(firsts.select("fp"), max_bits))
@@ -155,7 +160,7 @@ def near_duplicates(
         "fp", "first", F.coalesce("label", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(rooted.join(smallest, "root").select("fp", "component_id", "root"), "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -166,10 +171,12 @@ def hex_fingerprint(fp: Column) -> Column:
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id; all columns as they were.
 
-    Rows that share an id are told apart by their fingerprint, and one of equal rows stays.
+    Rows that share an id are told apart by their fingerprint: of a component's fingerprints under
+    its smallest id (null if it has no other) the smallest stays, and one of its equal rows.
     """
-    found = stored(near_duplicates(docs, shingle, max_bits), "simhash-components")
-    staying = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp").distinct()
+    found = stored(rooted_prints(docs, shingle, max_bits), "simhash-components")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp"))
+    staying = found.groupBy("root").agg(first.alias("k")).select("k.doc_id", "k.fp")
     repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     same_id = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
     if not repeated.take(1):
