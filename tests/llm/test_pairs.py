@@ -263,3 +263,17 @@ def test_long_items_are_found_by_parts_and_in_blocks(spark):
     small = decontam.Settings(block_chars=1000, batch_chars=300)
     assert {(r.doc_id, r.item_id) for r in decontam.matches(df, bench, small).collect()} == {(1, 1)}
     assert [r.doc_id for r in decontam.without_matches(df, bench, small).collect()] == [2]
+
+
+def test_parts_of_short_items_are_found(spark):
+    rng = random.Random(11)
+    make = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    item, short = make(67), make(30)  # 401 and 179 characters
+    bench = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
+    texts = [f"{make(20)} {item[a : a + 320]} {make(20)}" for a in (0, 37, 81)]
+    texts += [item, f"{make(9)} {item[:150]} {make(9)}", short, short[:150], make(90)]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = {(r.doc_id, r.item_id, r.part) for r in decontam.matches(df, bench).collect()}
+    assert {(k, i) for k, i, _ in got} == {(0, 1), (1, 1), (2, 1), (3, 1), (5, 2)}
+    assert all((part == 0) == (key in (3, 5)) for key, _, part in got)  # an item found whole is one row
+    assert sorted(r.doc_id for r in decontam.without_matches(df, bench).collect()) == [4, 6, 7]

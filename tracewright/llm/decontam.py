@@ -8,8 +8,11 @@ alignment decides whether the item is there within its edit budget.
 
 Texts are compared by their lower-case letters and digits, every run of other
 characters being one space. Items longer than ``window`` are looked for by
-overlapping windows, so part of a long item is found as well. The item side is
-sent to tasks in blocks of bounded size, one pass over the documents a block.
+overlapping windows, so part of a long item is found as well. Items of twice
+``part`` characters or more are looked for whole and by halves a quarter apart:
+a quote of three quarters of such an item holds one of them. Shorter items are
+looked for whole only. The item side is sent to tasks in blocks of bounded size,
+one pass over the documents a block.
 
 Defined cases: null and empty texts and items match nothing; an item shorter
 than the bound allows (fewer than ``shortest`` characters) is looked for as it
@@ -39,6 +42,7 @@ class Settings:
     rate: float = 0.06
     window: int = 512
     step: int = 256
+    part: int = 100
     shortest: int = 32
     #: Characters of items sent to tasks at once, and characters of documents worked on at once.
     block_chars: int = 4 << 20
@@ -69,8 +73,12 @@ def places(text: str) -> np.ndarray:
 
 
 def windows(text: str, s: Settings) -> list[str]:
-    if len(text) <= s.window:
-        return [text] if text else []
+    """The parts that an item is looked for by; one that is not longer than ``window`` stands before its halves."""
+    n = len(text)
+    if n <= s.window:
+        half = n // 2
+        halves = [text[a : a + half] for a in (0, (n - half) // 2, n - half)] if half >= s.part else []
+        return [text, *halves] if text else []
     starts = [*range(0, len(text) - s.window, s.step), len(text) - s.window]
     return [text[a : a + s.window] for a in starts]
 
@@ -102,6 +110,9 @@ class Index:
         self.item = [f[0] for f in found]
         self.window = [f[1] for f in found]
         self.points = [_points(f[2]) for f in found]
+        sizes = [len(text) for _, text in items for _ in windows(text, s)]
+        #: The window that is the whole item, of its halves; else -1.
+        self.whole = [i - k if k and n <= s.window else -1 for i, (k, n) in enumerate(zip(self.window, sizes))]
         self.length = np.array([len(p) for p in self.points], dtype=np.int64)
         self.budget = np.where(self.length >= s.shortest, np.floor(s.rate * self.length), 0).astype(np.int64)
         q = np.minimum(s.q, self.length)
@@ -121,7 +132,7 @@ class Index:
         self.sieve[(self.codes >> np.uint64(42)).astype(np.int64)] = True
 
     def search(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
-        """``(text number, window number, edits, start, stop)`` of each window found in each plain text."""
+        """``(text number, window number, edits, start, stop)`` of each window found in each plain text; no halves of an item found whole."""
         for i in self.short:
             needle = "".join(map(chr, self.points[i].astype(int)))
             for t, text in enumerate(texts):
@@ -166,7 +177,7 @@ class Index:
             found = (int(edits[k]), int(first[k] - starts[text[k]]), int(stop[k] - starts[text[k]]))
             name = (int(text[k]), int(who[k]))
             best[name] = min(best.get(name, found), found)
-        yield from ((t, i, *found) for (t, i), found in sorted(best.items()))
+        yield from ((t, i, *found) for (t, i), found in sorted(best.items()) if (t, self.whole[i]) not in best)
 
 
 def banded(
