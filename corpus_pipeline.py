@@ -9,15 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.llm import decontam, langid, quality, queries, simhash
-from tracewright.llm.common import stored
+from tracewright.llm.common import fold, stored
 
 StageFn = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no learned language is found (no letter at all) go; profiles are those of the language query."""
+    """Documents in which no learned language is found go: those without a letter, and those whose score is below the floor.
+
+    Profiles are those of the language query; the floor is that of the scores of the labelled documents outside its held-out fold.
+    """
     found = langid.predicted(F.col("text"), queries.language_profiles(spark, sf_dir))
-    return docs.where(found["lang_pred"] != langid.UNKNOWN)
+    scored = stored(docs.withColumn("__found", found), "pipeline-language-scores")
+    known = F.col("__found.lang_pred") != langid.UNKNOWN
+    training = scored.where(known & F.col("lang").isNotNull() & (fold("doc_id", 3) != 1))
+    floor = langid.score_floor(training.select("__found.score"))
+    return scored.where(known & (F.col("__found.score") >= floor)).drop("__found")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

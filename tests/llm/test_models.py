@@ -67,6 +67,19 @@ def test_language_held_out_accuracy(spark):
     assert got.n > 200 and got.a > 0.97
 
 
+def test_language_stage_rejects_texts_that_no_profile_knows(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    texts = ["这是一个没有任何语言模型的文本", "Это текст на языке без профиля", "123 456", None]
+    foreign = spark.createDataFrame([(10_000 + k, t) for k, t in enumerate(texts)], DOCS)
+    kept = corpus_pipeline.language(spark, docs.unionByName(foreign, allowMissingColumns=True), SF_SMALL)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+    scores = spark.createDataFrame([(0.1,), *[(0.6,)] * 150], "score double")
+    assert langid.score_floor(scores) == 0.3 and langid.score_floor(scores.where("false")) == 0.0
+
+
 # --- quality -----------------------------------------------------------------
 
 

@@ -144,6 +144,24 @@ class Identifier:
         return self.langs[best], float(1 - total[best] / (self.size * len(mine)))
 
 
+#: The share of training scores that may lie below a score, half of which is the least a known language has (fixed values).
+FLOOR_SHARE, FLOOR_PART = 0.01, 0.5
+
+
+def score_floor(scores: DataFrame) -> float:
+    """``FLOOR_PART`` of the score that ``FLOOR_SHARE`` of ``scores (score)`` are below, to a thousandth; 0 without any.
+
+    Counts by thousandths come to the driver, so the floor does not depend on how rows are dealt.
+    """
+    steps = scores.groupBy(F.floor(F.col("score") * 1000).alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy("step").collect()
+    total, below = sum(r.n for r in steps), 0
+    for r in steps:
+        below += r.n
+        if below > FLOOR_SHARE * total:
+            return FLOOR_PART * r.step / 1000
+    return 0.0
+
+
 def predicted(text: Column, profiles: dict[str, list[int]]) -> Column:
     """``struct<lang_pred, score>`` of a text column."""
 
