@@ -99,6 +99,21 @@ def test_word_shares_give_the_same_score_as_the_average():
     assert scorer.score(good[1]) > 0.9 > 0.1 > scorer.score(bad[1])
 
 
+def test_the_order_of_words_counts():
+    s = quality.Settings(buckets=4096, epochs=20, pairs=True)
+    ring = ["cat", "dog", "sun", "hat", "box"]
+    rng = random.Random(6)
+    turned = lambda words: " ".join([*words[(k := rng.randrange(5)) :], *words[:k]] * rng.randint(2, 4))
+    good, bad = [turned(ring) for _ in range(60)], [turned(ring[::-1]) for _ in range(60)]
+    m = quality.train(good + bad, [1] * 60 + [0] * 60, s)
+    scorer = quality.Scorer(m.word_parts(), float(m.bias[1] - m.bias[0]), s)
+    assert min(map(scorer.score, good)) > 0.5 > max(map(scorer.score, bad))
+    words = good[0].split()
+    ids = [*sum((quality.features(w, s) for w in words), []), *quality.pair_buckets(np.array([quality.word_hash(w) for w in words]), s)]
+    out = m.vectors[ids].mean(axis=0) @ m.layer + m.bias
+    assert scorer.score(good[0]) == pytest.approx(float(np.exp(out[1]) / np.exp(out).sum()), rel=1e-3)
+
+
 def test_quality_defined_cases(spark):
     docs = spark.createDataFrame([(1, "fine words here"), (2, "$$$ !!!"), (3, None), (4, ""), (1, "fine words here")], DOCS).withColumn("label", F.lit("x"))
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 1), (9, 0), (4, None), (None, 1), (2, 7)], "doc_id long, label int")

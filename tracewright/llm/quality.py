@@ -1,6 +1,7 @@
 """Quality classifier: supervised subword embeddings.
 
-Every word, every character n-gram of a word and every word bigram of the kind
+Every word, every character n-gram of a word, every word bigram (with
+``Settings.pairs``) and, as one more feature, every word bigram of the kind
 "same word again" hashes to a bucket with a learned vector; a document is the
 average of the vectors of all its words' features, a linear layer and a softmax
 give the probability of label 1. Training is plain stochastic gradient descent
@@ -44,6 +45,8 @@ class Settings:
     epochs: int = 4
     rate: float = 0.2
     seed: int = 7
+    #: Whether word bigrams are features.
+    pairs: bool = False
 
 
 #: Distinct words whose features training keeps at a time.
@@ -71,6 +74,18 @@ def again(s: Settings) -> int:
     return zlib.crc32(b"again", 2) & (s.buckets - 1)
 
 
+def word_hash(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"), 3)
+
+
+def pair_buckets(hashes: np.ndarray, s: Settings) -> np.ndarray:
+    """Buckets of the bigrams of words with these hashes, in order."""
+    h = hashes.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        mixed = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (mixed >> np.uint64(32)).astype(np.int64) & (s.buckets - 1)
+
+
 @dataclass
 class Model:
     vectors: np.ndarray  # buckets x width
@@ -93,12 +108,14 @@ def train(texts: list[str], labels: list[int], s: Settings) -> Model:
     model = untrained(s)  # a feature never met in training adds nothing
     model.layer[:] = rng.normal(0, 1, model.layer.shape)
     kind = np.min_scalar_type(s.buckets - 1)
-    table = WordTable(lambda new: [np.array(features(w, s), dtype=kind) for w in new], limit=TRAINING_WORDS)
+    table = WordTable(lambda new: [(np.array(features(w, s), dtype=kind), word_hash(w)) for w in new], limit=TRAINING_WORDS)
     docs = []
     for text in texts:
         words = text.split()
         at = table.lookup(words)
-        ids = np.concatenate([*[table.values[i] for i in at], np.full(repeats(words), again(s), dtype=kind)])
+        known = [table.values[i] for i in at]
+        pairs = pair_buckets(np.array([h for _, h in known], dtype=np.uint64), s).astype(kind) if s.pairs else np.empty(0, kind)
+        ids = np.concatenate([*[f for f, _ in known], pairs, np.full(repeats(words), again(s), dtype=kind)])
         buckets, counts = np.unique(ids, return_counts=True)
         docs.append((buckets, counts.astype(np.min_scalar_type(len(ids)))))
     del table
@@ -162,18 +179,18 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
 
 def word_shares(parts: np.ndarray, s: Settings, words: list[str]) -> array:
-    """Sum and number of the shares of each word's features, one after the other."""
+    """Sum and number of the shares of each word's features, and the word's hash, one after the other."""
     ids = [features(w, s) for w in words]
     counts = np.array([len(i) for i in ids])
     sums = np.add.reduceat(parts[np.concatenate([np.array(i) for i in ids])], np.cumsum(counts) - counts)
-    return array("d", np.stack([sums, counts], axis=1).tobytes())
+    return array("d", np.stack([sums, counts, [float(word_hash(w)) for w in words]], axis=1).tobytes())
 
 
 class Scorer:
     """Scores whole texts with a model's shares of buckets, one share per distinct word."""
 
     def __init__(self, parts: np.ndarray, bias: float, settings: Settings):
-        self.bias, self.again = bias, float(parts[again(settings)])
+        self.parts, self.bias, self.again, self.settings = parts, bias, float(parts[again(settings)]), settings
         # The table must not refer to this object: in a cycle it would outlive its task.
         self.table = WordTable(partial(word_shares, parts, settings), limit=200_000, values=array("d"))
 
@@ -182,7 +199,11 @@ class Scorer:
         total, n = 0.0, 0
         if words:
             at = self.table.lookup(words)
-            total, n = np.frombuffer(self.table.values).reshape(-1, 2)[at].sum(axis=0).tolist()
+            known = np.frombuffer(self.table.values).reshape(-1, 3)[at]
+            total, n = known[:, :2].sum(axis=0).tolist()
+            if self.settings.pairs:
+                total += float(self.parts[pair_buckets(known[:, 2], self.settings)].sum())
+                n += len(words) - 1
             more = repeats(words)
             total += more * self.again
             n += more

@@ -65,7 +65,7 @@ QUALITY_FLOOR = 0.7
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
     docs = text_rows(table(spark, sf_dir, "documents"))
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long"), F.col("quality").alias("label"))
-    return quality.fit(docs, labels.where(fold("doc_id", 4) != 2))
+    return quality.fit(docs, labels.where(fold("doc_id", 4) != 2), quality.Settings(pairs=True))
 
 
 def language_profiles(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
