@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import decontam, langid, packing, quality, sharding, simhash, simple8b, spotsigs, transcripts, warc
+from tracewright.llm import decontam, langid, negatives, neighbours, packing, quality, sharding, simhash, simple8b, spotsigs, transcripts, warc, whitening
 from tracewright.llm.common import bound_batches, fold, stored, text_rows
+from tracewright.llm.vectors import quantised, usable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -121,6 +122,25 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on their first eight principal components, scaled to unit variance."""
+    rows = usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    found = whitening.whitened(rows.select("id", quantised("vec", 1024, 100_000).alias("x")), components=8)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding among all, by exact integer scores; every seventh label is moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).cast("long")
+    rows = usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", {"label": moved})
+    return negatives.hard_negatives(rows.select("id", "label", quantised("vec", 256).alias("x")), F.col("id") % 50 == 0)
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found of every hundredth embedding among all."""
+    return neighbours.neighbours(usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_spotsigs": op1_spotsigs,
     "op2_packing": op2_packing,
@@ -132,6 +152,32 @@ QUERIES: dict[str, QueryFn] = {
     "op8_warc": op8_warc,
     "op9_sharding": op9_sharding,
     "op10_chat": op10_chat,
+    "op11_whitening": op11_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_neighbours": op13_neighbours,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op12_hard_negatives": """
+        WITH whole AS (
+            SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), score AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                   CAST(list_inner_product(a.q, b.q) AS BIGINT) AS s
+            FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        ), positive AS (
+            SELECT anchor_id, other_id AS positive_id, s AS positive_score FROM score WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, other_id) <= 5
+        )
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.s DESC, n.other_id) AS INTEGER) AS rank,
+               n.other_id AS negative_id, p.positive_score, n.s AS negative_score
+        FROM positive p JOIN score n ON n.anchor_id = p.anchor_id AND NOT n.same
+             AND 50 * p.positive_score <= 100 * n.s AND 100 * n.s <= 95 * p.positive_score
+        QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.s DESC, n.other_id) <= 3
+    """,
+}
