@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions.spans import has_error_tag, span_service
 from tracewright.schema import TRACE_COLS
+from tracewright.session import stored
 
 
 def floor_div(value: Column, width: Column) -> Column:
@@ -52,69 +53,82 @@ def _coarse(value: Column) -> Column:
     return F.when(value < 0, F.bitwise_not(step)).otherwise(step)
 
 
-def service_latency(df: DataFrame, bucket_micros: int = 86_400_000_000) -> DataFrame:
-    """Per service and time bucket: count, sum/min/max duration, exact p50 and p95.
+def latency_counts(df: DataFrame, bucket_micros: int = 86_400_000_000) -> DataFrame:
+    """Spans by service, time bucket and duration: ``service, bucket, duration, n``.
 
-    A percentile is the smallest duration with at least that share of the
-    bucket's spans at or below it. Durations are counted by value; counts by
-    coarse step (a few thousand a group at most) tell which step holds each
-    rank, and values are put in order within those steps only, so no task
-    orders a whole group. Spans without timestamp or duration are counted in
-    ``n_untimed`` of their bucket (null without timestamp).
+    Counts of several inputs add up to those of all of them (:func:`merged_counts`), so a stream can keep them by the batch.
     """
-    group = ["service", "bucket"]
     x = df.select(
         span_service().alias("service"),
         floor_div(F.col("timestamp"), F.lit(bucket_micros).cast("bigint")).alias("bucket"),
         F.when(F.col("timestamp").isNotNull(), F.col("duration")).alias("duration"),
     )
-    values = x.groupBy(*group, "duration").agg(F.count(F.lit(1)).alias("n")).withColumn("step", _coarse(F.col("duration")))
-    timed = F.col("duration").isNotNull()
+    return x.groupBy("service", "bucket", "duration").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_counts(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("service", "bucket", "duration").agg(F.sum("n").alias("n"))
+
+
+def service_latency(df: DataFrame, bucket_micros: int = 86_400_000_000) -> DataFrame:
+    """Per service and time bucket: count, sum/min/max duration, exact p50 and p95.
+
+    The spans are read once; what is stored between is a row for each duration of a group.
+    """
+    return latency_of(stored(latency_counts(df, bucket_micros), "latency-counts"))
+
+
+def latency_of(values: DataFrame) -> DataFrame:
+    """The latency report of counts by duration (:func:`latency_counts`), which are read twice.
+
+    A percentile is the smallest duration with at least that share of the
+    bucket's spans at or below it. Counts by coarse step (a few thousand a group
+    at most) tell which step holds each rank, and values are put in order within
+    those steps only, so no task orders a whole group. Spans without timestamp or
+    duration are counted in ``n_untimed`` of their bucket (null without timestamp).
+    """
+    group = ["service", "bucket"]
+    values = values.withColumn("step", _coarse(F.col("duration")))
     steps = values.groupBy(*group, "step").agg(
         F.sum("n").alias("n"),
         F.try_sum(F.col("duration").cast("decimal(38,0)") * F.col("n")).alias("sum"),
         F.min("duration").alias("min"),
         F.max("duration").alias("max"),
     )
+    # a row for each step of a group: few, so one window and one aggregate hold them
     known = F.col("step").isNotNull()
-    total = steps.groupBy(*group).agg(
-        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("n_spans"),
+    timed = F.when(known, F.col("n"))
+    whole = Window.partitionBy(*group)
+    upto = whole.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = steps.withColumns({"last": F.sum(timed).over(upto), "all": F.sum(timed).over(whole)})
+    percentiles = {}
+    for name, share in LATENCY_PERCENTILES.items():
+        rank = F.expr(f"(all * {share} + 99) div 100")
+        here = known & (rank <= F.col("last")) & (rank > F.col("last") - F.col("n"))
+        percentiles[f"{name}_step"] = F.max(F.when(here, F.col("step")))
+        percentiles[f"{name}_rank"] = F.max(F.when(here, rank - (F.col("last") - F.col("n"))))
+    total = ranked.groupBy(*group).agg(
+        F.coalesce(F.sum(timed), F.lit(0)).alias("n_spans"),
         F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("n_untimed"),
         F.expr("try_cast(sum(sum) as bigint)").alias("sum_duration"),
         F.min("min").alias("min_duration"),
         F.max("max").alias("max_duration"),
+        *[c.alias(k) for k, c in percentiles.items()],
     )
     same = lambda a, b, cols: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols]
-    # Rank of each percentile, and the step that holds it (rows: steps of a group, bounded).
-    upto = Window.partitionBy(*group).orderBy("step")
-    whole = Window.partitionBy(*group)
-    ranked = steps.where(known).select(
-        *group,
-        "step",
-        F.col("n"),
-        F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("last"),
-        F.sum("n").over(whole).alias("all"),
-    )
-    ranks = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.expr(f"(all * {p} + 99) div 100").alias("rank")) for k, p in LATENCY_PERCENTILES.items()]))
-    sought = (
-        ranked.select("*", ranks.alias("p"))
-        .where((F.col("p.rank") <= F.col("last")) & (F.col("p.rank") > F.col("last") - F.col("n")))
-        .select(*group, "step", "p.name", (F.col("p.rank") - (F.col("last") - F.col("n"))).alias("rank"))
-    )
-    inside = values.where(timed).alias("v").join(sought.select(*group, "step").distinct().alias("s"), same("v", "s", [*group, "step"]), "left_semi")
-    order = Window.partitionBy(*group, "step").orderBy("duration").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = inside.withColumn("last", F.sum("n").over(order))
-    found = (
-        placed.alias("v")
-        .join(sought.alias("s"), [*same("v", "s", [*group, "step"]), F.col("s.rank") <= F.col("v.last"), F.col("s.rank") > F.col("v.last") - F.col("v.n")])
-        .select("s.service", "s.bucket", "s.name", "v.duration")
-        .groupBy(*group)
-        .agg(*[F.max(F.when(F.col("name") == k, F.col("duration"))).alias(k) for k in LATENCY_PERCENTILES])
+    sought = [F.col(f"t.{k}_step") == F.col("v.step") for k in LATENCY_PERCENTILES]
+    inside = values.alias("v").join(total.alias("t"), [*same("v", "t", group), sought[0] | sought[1]])
+    order = Window.partitionBy("v.service", "v.bucket", "v.step").orderBy("v.duration")
+    placed = inside.withColumn("last", F.sum("v.n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    at = lambda k: sought[list(LATENCY_PERCENTILES).index(k)] & (F.col(f"t.{k}_rank") <= F.col("last")) & (F.col(f"t.{k}_rank") > F.col("last") - F.col("v.n"))
+    found = placed.groupBy(F.col("v.service").alias("service"), F.col("v.bucket").alias("bucket")).agg(
+        *[F.max(F.when(at(k), F.col("v.duration"))).alias(k) for k in LATENCY_PERCENTILES]
     )
+    kept = ["n_spans", "n_untimed", "sum_duration", "min_duration", "max_duration"]
     return (
         total.alias("t")
         .join(found.alias("f"), same("t", "f", group), "left")
-        .select("t.*", *[f"f.{k}" for k in LATENCY_PERCENTILES])
+        .select(*[f"t.{c}" for c in [*group, *kept]], *[f"f.{k}" for k in LATENCY_PERCENTILES])
     )
 
 

@@ -7,7 +7,7 @@ of all spans costs one partial row per map task, not one giant task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.ids import trace_key
@@ -49,30 +49,29 @@ def group_traces(df: DataFrame) -> DataFrame:
 def merge_by_id(df: DataFrame) -> DataFrame:
     """A10: halves / copies of one span id become one span (contract 2.10.2).
 
-    Scalars are min/max on ``(trace_id_high, trace_id, id)``. Array elements are
-    de-duplicated as rows of their own, on (span, element), before they are
-    gathered, so a span id with very many copies is spread over tasks and only
-    what the merged span itself holds comes together.
+    One scan: a span gives a row for its scalars and one for each array element.
+    Rows are first reduced on (span, element), so a span id with very many copies
+    is spread over tasks and its copies collapse before they move; then what the
+    merged span itself holds comes together.
     """
-    scalars = df.groupBy(*SPAN_KEY_COLS).agg(
-        F.coalesce(F.max(F.when(F.col("name") != "", F.col("name"))), F.lit("")).alias("name"),
-        F.max("parent_id").alias("parent_id"),
-        F.min("timestamp").alias("timestamp"),
-        F.max("duration").alias("duration"),
-    )
-    keys = [F.col(k) for k in SPAN_KEY_COLS]
-    none = {c: F.lit(None).cast(df.schema[c].dataType.elementType) for c in ("annotations", "binary_annotations")}
-    sides = [
-        df.select(*keys, F.explode("annotations").alias("_a"), none["binary_annotations"].alias("_b")),
-        df.select(*keys, none["annotations"].alias("_a"), F.explode("binary_annotations").alias("_b")),
-    ]
-    elements = sides[0].union(sides[1]).distinct()
-    arrays = elements.groupBy(*SPAN_KEY_COLS).agg(
-        F.sort_array(F.collect_list("_a")).alias("annotations"),
-        F.sort_array(F.collect_list("_b")).alias("binary_annotations"),
-    )
-    empty = {c: F.coalesce(F.col(c), F.array().cast(df.schema[c].dataType)) for c in none}
-    return scalars.join(arrays, list(SPAN_KEY_COLS), "left").withColumns(empty).select(*SPAN_COLUMNS)
+    kinds = {c: df.schema[c].dataType.elementType for c in ("annotations", "binary_annotations")}
+    scalars = {c: F.col(c) for c in ("name", "parent_id", "timestamp", "duration")}
+
+    def row(**there: Column) -> Column:
+        none = {**{c: F.lit(None).cast(t) for c, t in kinds.items()}, **{c: F.lit(None).cast(df.schema[c].dataType) for c in scalars}}
+        return F.struct(*[v.alias(c) for c, v in {**none, **there}.items()])
+
+    def each(array: str) -> Column:
+        return F.transform(F.coalesce(F.col(array), F.array().cast(df.schema[array].dataType)), lambda e: row(**{array: e}))
+
+    rows = F.concat(F.array(row(**scalars)), *[each(c) for c in kinds])
+    numbers = [F.max("parent_id").alias("parent_id"), F.min("timestamp").alias("timestamp"), F.max("duration").alias("duration")]
+    elements = df.select(*SPAN_KEY_COLS, F.explode(rows).alias("e")).select(*SPAN_KEY_COLS, "e.*")
+    # names are keys here, as a greatest text would have the elements sorted
+    reduced = elements.groupBy(*SPAN_KEY_COLS, *kinds, "name").agg(*numbers)
+    name = F.coalesce(F.max(F.when(F.col("name") != "", F.col("name"))), F.lit(""))
+    gathered = reduced.groupBy(*SPAN_KEY_COLS).agg(name.alias("name"), *numbers, *[F.sort_array(F.collect_list(c)).alias(c) for c in kinds])
+    return gathered.select(*SPAN_COLUMNS)
 
 
 def sample_traces(df: DataFrame, min_duration: int, keep_errors: bool = True) -> DataFrame:
@@ -105,27 +104,23 @@ def trace_sessions(df: DataFrame, gap_micros: int) -> DataFrame:
     Spans without a timestamp are one row a trace with null start and end.
     """
     g = F.lit(gap_micros).cast("bigint")
-    ts = F.col("timestamp")
-    buckets = (
-        df.filter(ts.isNotNull())
-        .select(*TRACE_COLS, ts.alias("ts"), F.expr(f"timestamp div {gap_micros}L - if(timestamp < 0 and timestamp % {gap_micros}L <> 0, 1, 0)").alias("_bucket"))
-        .groupBy(*TRACE_COLS, "_bucket")
-        .agg(F.min("ts").alias("_min"), F.max("ts").alias("_max"), F.count(F.lit(1)).alias("_n"))
-    )
+    bucket = F.expr(f"timestamp div {gap_micros}L - if(timestamp < 0 and timestamp % {gap_micros}L <> 0, 1, 0)")
+    buckets = df.select(*TRACE_COLS, bucket.alias("_bucket"), F.col("timestamp").alias("_ts")).groupBy(*TRACE_COLS, "_bucket")
+    return sessions_of(buckets.agg(F.min("_ts").alias("_min"), F.max("_ts").alias("_max"), F.count(F.lit(1)).alias("_n")), g)
+
+
+def sessions_of(buckets: DataFrame, gap: Column) -> DataFrame:
+    """Sessions of bucket rows ``(trace, _bucket, _min, _max, _n)``; a trace's row without bucket, its first, stands alone."""
     w = Window.partitionBy(*TRACE_COLS).orderBy("_bucket")
     prev = F.lag("_max").over(w)
-    starts = buckets.withColumn("_new", F.when(F.coalesce(F.try_subtract("_min", prev) >= g, F.lit(True)), 1).otherwise(0))
+    starts = buckets.withColumn("_new", F.when(F.coalesce(F.try_subtract("_min", prev) >= gap, F.lit(True)), 1).otherwise(0))
     sid = starts.withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    timed = sid.groupBy(*TRACE_COLS, "_sid").agg(
+    sessions = sid.groupBy(*TRACE_COLS, "_sid").agg(
         F.min("_min").alias("session_start"),
-        F.try_add(F.max("_max"), g).alias("session_end"),
+        F.try_add(F.max("_max"), gap).alias("session_end"),
         F.sum("_n").alias("n_spans"),
     )
-    never = F.lit(None).cast("bigint")
-    untimed = df.filter(ts.isNull()).groupBy(*TRACE_COLS).agg(
-        never.alias("session_start"), never.alias("session_end"), F.count(F.lit(1)).alias("n_spans")
-    )
-    return timed.drop("_sid").unionByName(untimed).select(trace_key().alias("trace_key"), "session_start", "session_end", "n_spans")
+    return sessions.select(trace_key().alias("trace_key"), "session_start", "session_end", "n_spans")
 
 
 def trace_sessions_stream(df: DataFrame, gap: str, watermark: str) -> DataFrame:
