@@ -595,8 +595,7 @@ def write_failure(spark, sf_dir):
     process_batch(stored_messages(spark, sf_dir).select("value"), 0, [A.finagle_adjuster()], failing, dead)
     found = read_sink(spark, dead)
     failed = F.col("reason").startswith("write_failed")
-    ids = F.from_json(F.col("value").cast("string"), "trace_id bigint, id bigint")
-    rows = found.select(
-        F.when(failed, F.lit("write_failed")).otherwise(F.col("reason")).alias("reason"), F.when(failed, ids).alias("ids")
-    )
-    return rows.groupBy("reason", "ids.trace_id", "ids.id").agg(F.count(F.lit(1)).alias("n"))
+    lost = D.decode_messages(found.where(failed)).spans.select(F.lit("write_failed").alias("reason"), "trace_id", "id")
+    none = F.lit(None).cast("bigint")
+    rows = lost.unionByName(found.where(~failed).select("reason", none.alias("trace_id"), none.alias("id")))
+    return rows.groupBy("reason", "trace_id", "id").agg(F.count(F.lit(1)).alias("n"))

@@ -97,7 +97,11 @@ def run_job(spark: SparkSession, config: JobConfig) -> StreamingQuery:
         check_sink(spark, config.sink)
         if config.dead_letter_sink is not None:
             check_sink(spark, config.dead_letter_sink)
-    ckpt = config.checkpoint_location or scratch_path(spark, "job-checkpoint")
+    ckpt = config.checkpoint_location
+    if not ckpt and config.sink.kind != "console":
+        # with a fresh checkpoint batch numbers begin at 0 again, and batches of an earlier run would be replaced
+        raise ValueError("a job with a sink that lasts needs checkpoint_location")
+    ckpt = ckpt or scratch_path(spark, "job-checkpoint")
     adjusters = list(config.adjusters)
 
     def consume(batch_df: DataFrame, batch_id: int) -> None:
