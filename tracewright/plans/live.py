@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tracewright.functions.spans import has_error_tag
 from tracewright.operators import adjust as A
 from tracewright.operators import decode as D
 from tracewright.operators.flat import flat_spans
+from tracewright.operators.whole_trace import TraceAdjuster, trace_adjuster
 from tracewright.plans import oracle as O
-from tracewright.plans.catalog import _spans, query
+from tracewright.plans.catalog import DAY, EVER, ORACLE, SAMPLE_MIN_DURATION, SESSION_GAP, _spans, query
 from tracewright.schema import SPAN_COLUMNS, SPAN_SCHEMA
 from tracewright.session import scratch_path
+from tracewright.sources.files import span_stream
 from tracewright.sources.fixtures import stored_messages
 from tracewright.sources.shared import Records
 from tracewright.streaming import connections, layouts
 from tracewright.streaming.job import process_batch
+from tracewright.streaming.live import LatencyReport, LiveLinks, LiveSessions, TailSampler, run_live
 from tracewright.streaming.sinks import SinkConfig, check_sink, read_dead_letters, write_spans
 
 FILE_STORE = "tracewright.streaming.connections:FileStore"
@@ -94,3 +98,172 @@ def layout_lookup(spark, sf_dir):
     layouts.write_layout(spans.where(~half), root, 1)  # a batch that is replayed
     traces = layouts.find_traces(spark, root, LOOKUP_SERVICE, LOOKUP_NAME, {"key": "Hit"}, min_duration=LOOKUP_MIN)
     return flat_spans(layouts.spans_of(spark, root, traces).select(*SPAN_COLUMNS))
+
+
+# ------------------------------------------------------------ adjusters -----
+def _raising(df):
+    """A column adjuster: doubles durations and raises an error for spans whose id is divisible by 50."""
+    number = F.when(F.col("id") % 50 == 0, F.lit("x")).otherwise(F.lit("2")).cast("bigint")
+    updates = lambda: {"duration": F.try_multiply(F.col("duration"), number), "name": F.concat(F.upper("name"), number.cast("string"))}
+    return A.conditional(F.lit(True), updates)(df)
+
+
+@query(
+    "column_adjuster_failure",
+    O.with_spans(
+        "a1 AS (" + O.backfill_select("spans", O.FINAGLE_PRED) + ")",
+        "a2 AS (SELECT * REPLACE (CASE WHEN id % 50 = 0 THEN duration ELSE duration * 2 END AS duration,"
+        " CASE WHEN id % 50 = 0 THEN name ELSE upper(name) || '2' END AS name) FROM a1)",
+        "a3 AS (" + O.issue343_select("a2") + ")",
+    )
+    + O.flat_select("a3"),
+)
+def column_adjuster_failure(spark, sf_dir):
+    """A column adjuster that raises for one span in fifty leaves just those as they were; the chain goes on."""
+    return flat_spans(A.chain([A.finagle_adjuster(), _raising, A.issue343_adjuster()])(_spans(spark, sf_dir)))
+
+
+def _trace_facts(spans):
+    """Number of spans, smallest id of a root, first start and last end of a slice."""
+    import pyarrow.compute as pc
+
+    ends = pc.max(pc.add(spans["timestamp"], spans["duration"])).as_py()
+    roots = spans.filter(pc.is_null(spans["parent_id"]))
+    ids = (spans["trace_id_high"][0].as_py(), spans["trace_id"][0].as_py())
+    return ids, spans.num_rows, pc.min(roots["id"]).as_py(), pc.min(spans["timestamp"]).as_py(), ends
+
+
+def _merge_facts(a, b):
+    def of(pick, x, y):
+        there = [v for v in (x, y) if v is not None]
+        return pick(there) if there else None
+
+    return a[0], a[1] + b[1], of(min, a[2], b[2]), of(min, a[3], b[3]), of(max, a[4], b[4])
+
+
+def _adjust_slice(spans, facts):
+    """In traces of more than two spans: no span named "view", and every other is named after the number of spans."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if facts[1] <= 2:
+        return spans
+    spans = spans.filter(pc.not_equal(spans["name"], "view"))
+    names = pc.binary_join_element_wise(spans["name"], pa.scalar(str(facts[1])), "/")
+    return spans.set_column(spans.schema.get_field_index("name"), spans.schema.field("name"), names)
+
+
+def _summary_span(facts):
+    """One span that covers the trace, if its times are known."""
+    (high, low), n, root, first, last = facts
+    if n <= 2 or first is None or last is None:
+        return []
+    return [
+        {
+            "trace_id_high": high, "trace_id": low, "id": -1, "parent_id": root, "name": "summary", "timestamp": first,
+            "duration": last - first, "annotations": [], "binary_annotations": [],
+        }
+    ]
+
+
+#: The trace that a third of all spans are moved to.
+HOT_TRACE = 7
+
+
+@query(
+    "trace_adjust",
+    O.with_spans(
+        f"hot AS (SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN 0 ELSE trace_id_high END AS trace_id_high, CASE WHEN id % 3 = 0 THEN {HOT_TRACE} ELSE trace_id END AS trace_id) FROM spans)",
+        """facts AS (SELECT trace_id_high, trace_id, count(*) AS n, min(CASE WHEN parent_id IS NULL THEN id END) AS root,
+    min(timestamp) AS first, max(timestamp + duration) AS last FROM hot GROUP BY ALL)""",
+        """out AS (
+  SELECT h.trace_id_high, h.trace_id, h.id, h.parent_id, CASE WHEN f.n > 2 THEN h.name || '/' || f.n ELSE h.name END AS name,
+    h.timestamp, h.duration, h.annotations, h.binary_annotations
+  FROM hot h JOIN facts f USING (trace_id_high, trace_id) WHERE f.n <= 2 OR h.name <> 'view'
+  UNION ALL
+  SELECT trace_id_high, trace_id, -1, root, 'summary', first, last - first, [], []
+  FROM facts WHERE n > 2 AND first IS NOT NULL AND last IS NOT NULL)""",
+    )
+    + O.flat_select("out"),
+)
+def trace_adjust(spark, sf_dir):
+    """A4: user code that drops, rewrites and adds spans by the whole trace; one trace holds a third of all spans."""
+    hot = F.col("id") % 3 == 0
+    moved = {"trace_id_high": F.when(hot, F.lit(0)).otherwise(F.col("trace_id_high")), "trace_id": F.when(hot, F.lit(HOT_TRACE)).otherwise(F.col("trace_id"))}
+    user = TraceAdjuster(_trace_facts, _merge_facts, _adjust_slice, _summary_span)
+    return flat_spans(trace_adjuster(user, "summary")(_spans(spark, sf_dir).withColumns(moved)))
+
+
+# --------------------------------------------------------- live streams -----
+def _in_three_files(spark, sf_dir, root: str, only=(0, 1, 2)) -> None:
+    """The span table as three files, by ``id % 3``, so that a trace is split over three micro-batches."""
+    for k in only:
+        _spans(spark, sf_dir).where(F.col("id") % 3 == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+
+def _drain(spark, root: str, operators) -> None:
+    """Runs live operators over all files that are there, a file for each batch."""
+    q = run_live(span_stream(spark, f"{root}/in", max_files_per_trigger=1), operators, f"{root}/checkpoint", available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+@query("live_latency", ORACLE["latency_overall"].replace(str(EVER), str(DAY)))
+def live_latency(spark, sf_dir):
+    """The latency report of a live stream after three batches, with a restart between the second and the third."""
+    root = scratch_path(spark, "live-latency")
+    _in_three_files(spark, sf_dir, root, (0, 1))
+    _drain(spark, root, [LatencyReport(spark, f"{root}/state", DAY)])
+    _in_three_files(spark, sf_dir, root, (2,))
+    report = LatencyReport(spark, f"{root}/state", DAY)
+    _drain(spark, root, [report])
+    return report.current(2)
+
+
+@query("live_links", ORACLE["dependency_links"])
+def live_links(spark, sf_dir):
+    """Callers and calls of a live stream that come in different batches; the counts are those of the whole table."""
+    root = scratch_path(spark, "live-links")
+    _in_three_files(spark, sf_dir, root)
+    links = LiveLinks(spark, f"{root}/state")
+    _drain(spark, root, [links])
+    return links.current(2)
+
+
+@query("live_sampling", ORACLE["sample_traces"])
+def live_sampling(spark, sf_dir):
+    """Traces split over three batches are kept whole if a span of any batch is slow or has an error."""
+    root = scratch_path(spark, "live-sampling")
+    _in_three_files(spark, sf_dir, root)
+    fits = lambda: (F.col("duration") >= SAMPLE_MIN_DURATION) | has_error_tag()
+    sampler = TailSampler(spark, f"{root}/state", fits)
+    _drain(spark, root, [sampler])
+    return flat_spans(sampler.tables.all("kept", SPAN_SCHEMA, 2).select(*SPAN_COLUMNS))
+
+
+LIVE_DELAY = 5 * DAY
+
+
+@query(
+    "live_sessions",
+    O.with_spans(
+        "marks AS (SELECT id % 3 AS batch, max(timestamp) AS latest FROM spans GROUP BY 1)",
+        f"x AS (SELECT spans.*, id % 3 AS batch, (SELECT max(latest) FROM marks WHERE marks.batch < id % 3) - {LIVE_DELAY} AS mark FROM spans)",
+        f"y AS (SELECT batch, coalesce(timestamp + {SESSION_GAP} <= mark, FALSE) AS late FROM x)",
+    )
+    + """SELECT 'late' AS kind, CAST(batch AS INTEGER) AS batch_id, count(*) AS n_spans FROM y WHERE late GROUP BY ALL
+UNION ALL SELECT 'in sessions', NULL, count(*) FROM y WHERE NOT late""",
+)
+def live_sessions(spark, sf_dir):
+    """Sessions of a live stream behind a watermark; spans behind it lie apart, and every span is in one or the other."""
+    root = scratch_path(spark, "live-sessions")
+    _in_three_files(spark, sf_dir, root)
+    sessions = LiveSessions(spark, f"{root}/state", SESSION_GAP, LIVE_DELAY)
+    _drain(spark, root, [sessions])
+    tables = sessions.tables
+    late = tables.all("late", SPAN_SCHEMA, 2).groupBy(F.lit("late").alias("kind"), "batch_id").agg(F.count(F.lit(1)).alias("n_spans"))
+    still = tables.before("open", LiveSessions.BUCKETS, 3).select(F.col("_n").alias("n_spans"))
+    final = tables.all("sessions", LiveSessions.SESSIONS, 2).select("n_spans")
+    held = final.union(still).agg(F.sum("n_spans").alias("n_spans"))
+    return late.unionByName(held.select(F.lit("in sessions").alias("kind"), F.lit(None).cast("int").alias("batch_id"), "n_spans"))

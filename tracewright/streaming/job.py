@@ -12,6 +12,7 @@ per-batch overwrite of ``batch_id=<n>`` makes a replayed batch idempotent.
 
 from __future__ import annotations
 
+import functools
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -24,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tracewright.operators.adjust import Adjuster, chain
 from tracewright.operators.decode import Decoded, decode_messages
 from tracewright.session import scratch_path
+from tracewright.streaming.live import LiveOperator
 from tracewright.streaming.sinks import SinkConfig, check_sink, write_dead_letters, write_spans
 
 log = logging.getLogger(__name__)
@@ -45,6 +47,7 @@ class JobConfig:
     available_now: bool = False  # drain what is there, then stop (tests, backfills)
     fail_fast: bool = True  # C7
     log_level: str = "INFO"  # J6
+    live: Sequence[LiveOperator] = ()  # reports and other operators across batches, each given the adjusted batch
     conf: dict[str, str] = field(default_factory=dict)  # J2: merged, never replacing defaults
 
 
@@ -55,8 +58,12 @@ def process_batch(
     sink: SinkConfig,
     dead_letter_sink: SinkConfig | None = None,
     span_filter: Callable[[], Column] | None = None,
+    live: Sequence[LiveOperator] = (),
 ) -> int:
-    """One micro-batch (C1): decode, filter, adjust, write. Returns spans written."""
+    """One micro-batch (C1): decode, filter, adjust, write. Returns spans written.
+
+    ``live`` operators get every batch, also one without spans, as their tables go on from batch to batch.
+    """
     # Decoding is one pass; both writes read its persisted result, which keeps
     # the payload of malformed messages only.
     decoded = decode_messages(batch)
@@ -74,10 +81,13 @@ def process_batch(
             spans = d.spans
             if span_filter is not None:
                 spans = spans.filter(span_filter())
-            adjusted = chain(list(adjusters))(spans)
-            n = write_spans(
-                adjusted, sink, batch_id=batch_id, dead_letters=dead_letter_sink, known_non_empty=True, rows_for_dead_letters=spans
-            )
+            n = _write_adjusted(spans, list(adjusters), sink, batch_id, dead_letter_sink)
+        if live:
+            spans = d.spans if span_filter is None else d.spans.filter(span_filter())
+            adjusted = chain(list(adjusters))(spans).persist(StorageLevel.MEMORY_AND_DISK)
+            for operator in live:
+                operator(adjusted, batch_id)
+            adjusted.unpersist()
         if counts["dead"] > 0:
             if dead_letter_sink is not None:
                 write_dead_letters(d.dead_letters, dead_letter_sink, batch_id)
@@ -88,6 +98,33 @@ def process_batch(
         per_message.unpersist()
 
 
+def _write_adjusted(spans: DataFrame, adjusters: list[Adjuster], sink: SinkConfig, batch_id: int, dead_letter_sink: SinkConfig | None) -> int:
+    """Writes the adjusted batch; adjusters whose plans fail at run time are left out of it.
+
+    Adjusters made by ``conditional`` and ``python_adjuster`` isolate single spans themselves; this is for any others.
+    """
+    write = functools.partial(write_spans, sink=sink, batch_id=batch_id, known_non_empty=True, rows_for_dead_letters=spans)
+    try:
+        return write(chain(adjusters)(spans))
+    except RuntimeError:
+        kept = _runnable(spans, adjusters)
+        if len(kept) == len(adjusters) and dead_letter_sink is None:
+            raise
+    return write(chain(kept)(spans), dead_letters=dead_letter_sink)
+
+
+def _runnable(spans: DataFrame, adjusters: list[Adjuster]) -> list[Adjuster]:
+    """The adjusters that run over ``spans``, each after those before it."""
+    kept: list[Adjuster] = []
+    for adjuster in adjusters:
+        try:
+            chain([*kept, adjuster])(spans).write.format("noop").mode("overwrite").save()
+            kept.append(adjuster)
+        except Exception as exc:  # noqa: BLE001 - isolation is the point
+            log.warning("adjuster %r was left out of the batch: %s", adjuster, str(exc)[:500])
+    return kept
+
+
 def run_job(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     """Build and start the query (idempotent per config: one query each)."""
     logging.getLogger("tracewright").setLevel(config.log_level.upper())
@@ -105,7 +142,7 @@ def run_job(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     adjusters = list(config.adjusters)
 
     def consume(batch_df: DataFrame, batch_id: int) -> None:
-        process_batch(batch_df, batch_id, adjusters, config.sink, config.dead_letter_sink, config.span_filter)
+        process_batch(batch_df, batch_id, adjusters, config.sink, config.dead_letter_sink, config.span_filter, config.live)
 
     writer = config.source(spark).writeStream.foreachBatch(consume).option("checkpointLocation", ckpt)
     if config.available_now:
