@@ -116,15 +116,22 @@ def trace_adjuster(user: TraceAdjuster, name: str = "trace_adjuster") -> Callabl
         if held:
             yield batch_of(held)
 
+    def checked(spans: pa.Table) -> pa.Table:
+        spans = spans.select(SPAN_COLUMNS).cast(span_schema)
+        for field, column in zip(span_schema, spans.columns):
+            if not field.nullable and column.null_count:
+                raise ValueError(f"a span without {field.name}")
+        return spans
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for _, spans in _slices(batch):
                 found = spans[_FACTS][0].as_py()
-                spans = spans.select(SPAN_COLUMNS).cast(span_schema)
+                spans = spans.select(SPAN_COLUMNS).cast(span_schema)  # what joins add may be null in the schema
                 if found is not None and found != _FAILED:
                     try:
-                        spans = user.adjust(spans, pickle.loads(found)).select(SPAN_COLUMNS).cast(span_schema)
+                        spans = checked(user.adjust(spans, pickle.loads(found)))
                     except Exception as exc:  # noqa: BLE001
                         log.warning("%s left %d spans of a trace as they were: %s", name, spans.num_rows, exc)
                 out.append(spans)
@@ -138,7 +145,7 @@ def trace_adjuster(user: TraceAdjuster, name: str = "trace_adjuster") -> Callabl
                 if found != _FAILED:
                     try:
                         new = list(user.finish(pickle.loads(found)))
-                        pa.Table.from_pylist(new, schema=span_schema)
+                        checked(pa.Table.from_pylist(new, schema=pa.schema([f.with_nullable(True) for f in span_schema])))
                         out += new
                     except Exception as exc:  # noqa: BLE001
                         log.warning("%s added nothing to a trace: %s", name, exc)
