@@ -228,19 +228,24 @@ def test_matches_against_brute_force(spark):
         docs.append((i, text))
     s = decontam.Settings()
     df, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")
-    got = {(r.doc_id, r.item_id): r for r in decontam.matches(df, bench).collect()}
+    got = {(r.doc_id, r.item_id, r.part): r for r in decontam.matches(df, bench).collect()}
+    parts = 0
     for key, text in docs:
         for item, passage in items:
-            p = decontam.plain(passage)
-            budget = int(s.rate * len(p))
-            least = edits_of_best_place(p, decontam.plain(text))
-            assert ((key, item) in got) == (least <= budget), (key, item, least, budget)
-            if (key, item) in got:
-                r = got[key, item]
-                assert r.edits == least
-                assert abs(len(decontam.plain(text[r.start : r.stop])) - len(p)) <= budget
+            whole = (key, item, 0) in got
+            for part, p in enumerate(decontam.windows(decontam.plain(passage), s)):
+                budget = int(s.rate * len(p)) if len(p) >= s.shortest else 0
+                least = edits_of_best_place(p, decontam.plain(text))
+                there = (key, item, part) in got
+                assert there == (least <= budget and not (part and whole)), (key, item, part, least, budget)
+                if there:
+                    r = got[key, item, part]
+                    parts += part > 0
+                    assert r.edits == least
+                    assert abs(len(decontam.plain(text[r.start : r.stop])) - len(p)) <= budget
+    assert parts > 0
     kept = {r.doc_id for r in decontam.without_matches(df, bench).collect()}
-    assert kept == {k for k, _ in docs} - {k for k, _ in got}
+    assert kept == {k for k, _ in docs} - {k for k, *_ in got}
 
 
 def test_decontamination_defined_cases(spark):
@@ -265,15 +270,57 @@ def test_long_items_are_found_by_parts_and_in_blocks(spark):
     assert [r.doc_id for r in decontam.without_matches(df, bench, small).collect()] == [2]
 
 
+def words_of(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+
+
 def test_parts_of_short_items_are_found(spark):
     rng = random.Random(11)
-    make = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
-    item, short = make(67), make(30)  # 401 and 179 characters
-    bench = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
-    texts = [f"{make(20)} {item[a : a + 320]} {make(20)}" for a in (0, 37, 81)]
-    texts += [item, f"{make(9)} {item[:150]} {make(9)}", short, short[:150], make(90)]
+    item, short, least = words_of(rng, 67), words_of(rng, 30), words_of(rng, 12)  # 401, 179 and 71 characters
+    bench = spark.createDataFrame([(1, item), (2, short), (3, least)], "item_id long, text string")
+    texts = [f"{words_of(rng, 20)} {item[a : a + 320]} {words_of(rng, 20)}" for a in (0, 37, 81)]
+    texts += [item, f"{words_of(rng, 9)} {item[:150]} {words_of(rng, 9)}", short, short[20:164], words_of(rng, 90), least, least[:60]]
     df = spark.createDataFrame(list(enumerate(texts)), DOCS)
     got = {(r.doc_id, r.item_id, r.part) for r in decontam.matches(df, bench).collect()}
-    assert {(k, i) for k, i, _ in got} == {(0, 1), (1, 1), (2, 1), (3, 1), (5, 2)}
-    assert all((part == 0) == (key in (3, 5)) for key, _, part in got)  # an item found whole is one row
-    assert sorted(r.doc_id for r in decontam.without_matches(df, bench).collect()) == [4, 6, 7]
+    assert {(k, i) for k, i, _ in got} == {(0, 1), (1, 1), (2, 1), (3, 1), (5, 2), (6, 2), (8, 3)}
+    assert all((part == 0) == (key in (3, 5, 8)) for key, _, part in got)  # an item found whole is one row
+    assert sorted(r.doc_id for r in decontam.without_matches(df, bench).collect()) == [4, 7, 9]
+
+
+def test_quotes_of_items_of_every_length_are_found():
+    """80 % of an item, from 75 characters on, and one and a half windows of a long one; a few words are changed."""
+    rng = random.Random(13)
+    s = decontam.Settings()
+    missed = asked = 0
+    for n in [*range(75, 540, 5), 511, 512, 513, 520, 700, 1023, 1024, 1025, 1400, 3000]:
+        item = decontam.plain(words_of(rng, n // 5))[:n].strip()
+        size = min(-(-len(item) * 4 // 5), s.window * 3 // 2)
+        texts = []
+        for _ in range(4):
+            at = rng.randint(0, len(item) - size)
+            quote = list(item[at : at + size])
+            for _ in range(size // 100):
+                quote[rng.randrange(size)] = "z"
+            texts.append(decontam.plain(f"{words_of(rng, 20)} {''.join(quote)} {words_of(rng, 20)}"))
+        found = {t for t, *_ in decontam.Index([(1, item)], s).search([*texts, words_of(rng, 200)])}
+        assert 4 not in found
+        asked, missed = asked + 4, missed + 4 - len(found)
+    assert missed <= 0.1 * asked
+    exact = decontam.Index([(1, item)], s)
+    assert {t for t, *_ in exact.search([item[a : a + 768] for a in range(0, len(item) - 768, 97)], any_one=True)} == set(range(-(-(len(item) - 768) // 97)))
+
+
+@pytest.mark.parametrize("token, text", [("0 ", "0 " * 500_000), ("ab ab ", "ab " * 200_000), ("0 0 0 1 ", "0 " * 300_000), ("xyz ", "a" * 400_000)])
+def test_repetitive_texts_cost_as_much_as_others(token, text):
+    import time
+    import tracemalloc
+
+    index = decontam.Index([(1, decontam.plain(token * 100))], decontam.Settings())
+    plain = decontam.plain(text)
+    tracemalloc.start()
+    began = time.process_time()
+    found = list(index.search([plain]))
+    taken, most = time.process_time() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(f[0], f[2]) for f in found} == ({(0, 0)} if decontam.plain(token * 100) in plain else set())
+    assert taken < 30 and most < 500e6
