@@ -202,7 +202,7 @@ def test_a_long_transcript_is_dealt_to_many_tasks(spark, monkeypatch, toy_model)
     rng = random.Random(5)
     turns = [("7", k, rng.choice(["user", "assistant"]), rng.choice(["hi?", "yes.", "and so on.", ""])) for k in range(300)] + [("8", 0, "user", "x")]
     lines = transcripts.raw_lines(spark.createDataFrame(turns, "conv_id string, turn long, role string, text string")).repartition(5).cache()
-    whole = transcripts.decode(lines, toy_model).orderBy("conv", "line").collect()
+    whole = transcripts.decode(lines, toy_model).orderBy("conv", "turn", "line").collect()
     held = [(r.conv, r.line, r.text) for r in whole if r.conv == "7"]
     front, came = None, []
     for k, (_, _, text) in enumerate(held):
@@ -210,7 +210,7 @@ def test_a_long_transcript_is_dealt_to_many_tasks(spark, monkeypatch, toy_model)
         came.append(way)
     path = [(r.role, r.first) for r in whole if r.conv == "7"]
     assert path_score(toy_model, [t for *_, t in held], path) == pytest.approx(front.max())
-    places = transcripts.numbered(lines.select("conv", "line", "text")).orderBy("conv", "line").collect()
+    places = transcripts.numbered(lines).orderBy("conv", "turn", "line").collect()
     assert [r["at"] for r in places] == [*range(len(held)), *range(len(places) - len(held))] and len(held) >= 300
 
     monkeypatch.setattr(transcripts, "SEGMENT", 8)
@@ -224,7 +224,7 @@ def test_a_long_transcript_is_dealt_to_many_tasks(spark, monkeypatch, toy_model)
         return out
 
     monkeypatch.setattr(transcripts, "stored", counted)
-    again = transcripts.decode(lines, toy_model).orderBy("conv", "line").collect()
+    again = transcripts.decode(lines, toy_model).orderBy("conv", "turn", "line").collect()
     want = [-(-len(held) // 8)]  # segments of 8 lines, then runs of 4
     while want[-1] > 4:
         want.append(-(-want[-1] // 4))
@@ -251,6 +251,24 @@ def test_transcript_defined_cases(spark, toy_model):
     assert transcripts.fit(empty.select("conv", "line", "text", F.lit("u").alias("role"), F.lit(True).alias("first"))).states[0] == ("user", True)
 
 
+def test_lines_of_any_turns_keep_their_order(spark, toy_model):
+    """Two rows of one turn, equal rows, null and huge turns, and a turn of very many lines."""
+    far, many = 2**43, "\n".join(f"l{i}" for i in range(3000))
+    rows = [(1, 5, "user", "a1\na2\na3"), (1, 5, "user", "b1\nb2\nb3"), (1, far, "user", "c1\nc2"), (1, None, "user", "n1\nn2")]
+    rows += [(1, 6, "user", "e1\ne2")] * 3 + [(1, 4, "user", many), (None, 1, None, None)]
+    lines = transcripts.raw_lines(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)).cache()
+    placed = transcripts.numbered(lines).where("conv = '1'").orderBy("at").collect()
+    texts = [r.text.split(" ")[-1].split("\t")[-1] for r in placed if not r.text.startswith("###")]
+    pairs = [["a1", "a2", "a3"], ["b1", "b2", "b3"]]
+    between = texts[3002:3008]
+    assert texts[:2] == ["n1", "n2"] and texts[2:3002] == many.split("\n")
+    assert between in (sum(pairs, []), sum(reversed(pairs), []))
+    assert texts[3008:] == ["e1", "e2"] * 3 + ["c1", "c2"]
+    found = transcripts.decode(transcripts.numbered(lines), toy_model)
+    assert found.count() == lines.count() and found.where(f"turn = {far}").count() == lines.where(f"turn = {far}").count()
+    assert found.where("turn is null").count() == lines.where("turn is null").count() > 0
+
+
 def test_chat_held_out_accuracy(spark):
     turns = spark.read.parquet(f"{SF_MID}/conversations.parquet").select("conv_id", "turn", "role")
     got = queries.op10_chat(spark, SF_MID)
@@ -259,6 +277,41 @@ def test_chat_held_out_accuracy(spark):
     assert r.a > 0.85
 
 
+def test_numbers_that_are_no_digits_are_no_letters(spark):
+    profiles = {"aa": [ord("a")], "bb": [ord("b")]}
+    identifier = langid.Identifier(profiles)
+    for text in ("½ ²", "①②", "Ⅷ", "12 3", "_ _", "", None):
+        assert identifier.predict(text) == ("und", 0.0)
+    assert langid.words_of("m² Ⅷb ab½cd é") == ["m", "b", "ab", "cd", "é"]
+
+
+def test_training_does_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(6)
+    docs = [(i, f"good fine text number {i} {rng.random()}" if i % 2 else f"bad bad junk {i} {rng.random()}") for i in range(60)]
+    docs += [(i, f"another text of {i}") for i in range(0, 60, 3)]
+    labels = [(i, i % 2) for i in range(60)] + [(i, 1 - i % 2) for i in range(0, 60, 5)] + [(1000 + i, 1) for i in range(500)]
+    s = quality.Settings(pairs=True, sample_docs=40)
+    models = []
+    for seed in range(3):
+        rng.shuffle(docs)
+        rng.shuffle(labels)
+        of = lambda rows, kind: spark.createDataFrame(rows, kind).repartition(1 + seed)  # noqa: B023, E731
+        models.append(quality.fit(of(docs, DOCS), of(labels, "doc_id long, label int"), s))
+    assert all(np.array_equal(m.vectors, models[0].vectors) and np.array_equal(m.layer, models[0].layer) for m in models)
+    assert np.abs(models[0].vectors).sum() > 0  # labels without documents do not crowd out the others
+
+
+def test_columns_of_documents_stay_whatever_their_names(spark):
+    from tracewright.llm import simhash
+
+    rows = [(1, "a b c d e", "x", 1.0, "y"), (1, "a b c d e", "x", 1.0, "y"), (2, "a b c d e", "z", 2.0, "w"), (3, "other words are here", "q", 3.0, "r")]
+    for some in (rows, rows[1:]):  # with and without repeated ids
+        docs = spark.createDataFrame(some, "doc_id long, text string, __fp string, fp double, row string")
+        kept = simhash.keep_one(docs)
+        assert kept.columns == docs.columns
+        assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[3]]
+
+
 # --- pipeline ----------------------------------------------------------------
 
 

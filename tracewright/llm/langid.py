@@ -33,12 +33,16 @@ HELD_WORDS = 200_000
 #: Border of a word.
 _BORDER = ord("_")
 
+#: Letters, and numbers that are no decimal digits, such as fractions and Roman numerals.
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    """The lower-case letter runs of a whole text."""
-    return _WORD.findall(text.lower())
+    """The lower-case letter runs of a whole text; a letter is what Unicode has as one."""
+    words = _WORD.findall(text.lower())
+    if all(map(str.isalpha, words)):
+        return words
+    return [part for w in words for part in "".join(c if c.isalpha() else " " for c in w).split()]
 
 
 def _codes(words: list[str]) -> list[np.ndarray]:

@@ -143,19 +143,25 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     """Trains on a bounded sample of ``labels (doc_id, label)`` joined with ``docs (doc_id, text)``.
 
     Only ids and labels are ranked; the at most ``sample_docs`` texts chosen then
-    go to one task, which trains and returns the model.
+    go to one task, which trains and returns the model. An id counts if one of its
+    texts is there and not longer than ``sample_bytes``; of several labels of an id
+    the smallest counts, of several such texts the one with the smallest hash.
     """
     s = settings
+    short = docs.where((F.octet_length("text") <= s.sample_bytes) & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     chosen = (
         labels.where("label in (0, 1) and doc_id is not null")
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", F.col("label").cast("int").alias("label"), F.xxhash64("doc_id").alias("h"))
+        .groupBy("doc_id")
+        .agg(F.min(F.col("label").cast("int")).alias("label"))
+        .join(short.select("doc_id"), "doc_id", "left_semi")
+        .select("doc_id", "label", F.xxhash64("doc_id").alias("h"))
         .orderBy("h", "doc_id")
         .limit(s.sample_docs)
         .select("doc_id", "label")
     )
-    short = docs.where((F.octet_length("text") <= s.sample_bytes) & F.col("text").isNotNull()).select("doc_id", "text")
-    sample = short.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])  # bounded by sample_docs
+    texts = short.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by sample_docs
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))
+    sample = texts.groupBy("doc_id", "label").agg(least.alias("t")).select("doc_id", "label", "t.text")
 
     def run(parts):
         rows = pd.concat(list(parts), ignore_index=True)

@@ -106,15 +106,15 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The model is learned from the conversations whose crc32(conv_id as text) mod 4 is not 2.
     """
-    lines = stored(transcripts.raw_lines(table(spark, sf_dir, "conversations")), "transcript-lines")
+    raw = stored(transcripts.raw_lines(table(spark, sf_dir, "conversations")), "transcript-lines")
+    lines = transcripts.numbered(raw)
     model = transcripts.fit(lines.where(fold("conv", 4) != 2))
     found = transcripts.rendered(transcripts.decode(lines, model))
     held_out = F.coalesce(fold("conv", 4) == 2, F.lit(False))
-    turn = F.floor(F.col("line") / transcripts.LINES_A_TURN)
     return found.select(
         F.col("conv").cast("long").alias("conv_id"),
-        turn.alias("turn"),
-        F.pmod("line", F.lit(transcripts.LINES_A_TURN)).alias("line"),
+        "turn",
+        "line",
         held_out.alias("held_out"),
         F.col("role").alias("role_pred"),
         F.col("first").alias("begins_turn"),

@@ -79,5 +79,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
 def write_shards(docs: DataFrame, path: str, shards: int = 16, files_per_shard: int = 1, id_col: str = "doc_id") -> None:
     """Writes ``docs`` under ``path/shard=n``; each shard is spread over ``files_per_shard`` tasks by its key."""
     spread = F.pmod(F.xxhash64(F.col(id_col), F.lit(1)), F.lit(files_per_shard))
-    rows = docs.withColumn("shard", shard_of(F.col(id_col).cast("long"), shards)).withColumn("__spread", spread)
-    rows.repartition(shards * files_per_shard, "shard", "__spread").drop("__spread").write.partitionBy("shard").parquet(path)
+    if "shard" in docs.columns:
+        raise ValueError("documents have a column shard, which is the name of the folders")
+    shard = shard_of(F.col(id_col).cast("long"), shards)
+    rows = docs.select(F.struct("*").alias("row"), shard.alias("shard"), spread.alias("spread"))
+    rows.repartition(shards * files_per_shard, "shard", "spread").select("row.*", "shard").write.partitionBy("shard").parquet(path)

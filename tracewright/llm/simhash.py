@@ -186,6 +186,8 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     def print_of(text: pd.Series) -> pd.Series:
         return pd.Series([_signed(simhash(t, shingle)) for t in text], dtype="int64")
 
-    marked = docs.withColumn("__fp", print_of(F.col("text").cast("string").cast("binary")))
-    same = same_id & (F.col("d.__fp") == F.col("k.fp"))
-    return marked.alias("d").join(staying.alias("k"), same, "left_semi").dropDuplicates(["doc_id", "__fp"]).drop("__fp")
+    # columns of documents go as one value, so that none of them can clash
+    marked = docs.select(F.struct("*").alias("row"), print_of(F.col("text").cast("string").cast("binary")).alias("fp"))
+    same = F.col("d.row.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.fp") == F.col("k.fp"))
+    kept = marked.alias("d").join(staying.alias("k"), same, "left_semi").withColumn("id", F.col("row.doc_id"))
+    return kept.dropDuplicates(["id", "fp"]).select("row.*")

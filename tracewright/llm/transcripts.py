@@ -15,11 +15,15 @@ is found from the last round down to the segments, which are then decoded on
 their own. No task sees a whole transcript, and the result is that of one pass
 over it.
 
-Defined cases: a null text is an empty line without marker; null line numbers
-come first; lines of one number are ordered by their text; a null transcript id
+Lines are in order of ``turn, row, copy, line``, of which a table need have
+``line`` only: rows of one turn stand one after the other, by their hash, and
+equal rows too.
+
+Defined cases: a null text is an empty line without marker; null numbers come
+first; lines of equal numbers are ordered by their text; a null transcript id
 is an id of its own; unlabelled lines are not learned from; with nothing learned
 every line is a first line of the first role by name; an empty table gives no
-rows.
+rows; a line or turn may be of any length.
 """
 
 from __future__ import annotations
@@ -36,6 +40,10 @@ from pyspark.sql import types as T
 
 from tracewright.llm.common import in_arrow, shuffle_width, stored
 
+#: What lines of a transcript are ordered by, as far as a table has it.
+ORDER = ("turn", "row", "copy", "line")
+#: Stands for a null number while lines are put in order.
+_NONE = -(2**63)
 #: Lines of a segment.
 SEGMENT = 1024
 #: Matrices that one task multiplies in a round.
@@ -121,10 +129,13 @@ def smoothed(roles: list[str], starts: Counter, moves: Counter, emits: Counter)
 def fit(lines: DataFrame) -> Model:
     """Counts over all labelled lines ``(conv, line, text, role, first)``; a table of states and features comes back.
 
+    Lines that are :func:`numbered` already keep their places.
+
     Within a segment lines are read in order; moves across a segment's end come
     from its last state and the first of the next segment, joined on its number.
     """
-    labelled = lines.where(F.col("role").isNotNull()).select("conv", "line", "text", "role", "first")
+    place = [c for c in ("at",) if c in lines.columns]
+    labelled = lines.where(F.col("role").isNotNull()).select("conv", *order_of(lines), "text", "role", "first", *place)
 
     def work(source: Iterable[dict]) -> Iterator[tuple]:
         counts: Counter = Counter()
@@ -165,17 +176,22 @@ def fit(lines: DataFrame) -> Model:
     return smoothed(roles, starts, moves, emits)
 
 
+def order_of(lines: DataFrame) -> list[str]:
+    return [c for c in ORDER if c in lines.columns]
+
+
 def numbered(lines: DataFrame) -> DataFrame:
     """Adds ``at``: the place of each line in its transcript, from 0 and without gaps.
 
-    Lines are dealt to ranges of (transcript, line, text) and numbered within
+    Lines are dealt to ranges of (transcript, order, text) and numbered within
     their range; only the first transcript of a range can have begun before it.
     The first and last line of each range come to the driver.
     """
     spark = lines.sparkSession
-    rows = lines.withColumn("line", F.coalesce(F.col("line").cast("long"), F.lit(-(2**63))))
-    dealt = rows.repartitionByRange(shuffle_width(spark), "conv", "line", F.substring("text", 1, 32)).withColumn("range", F.spark_partition_id())
-    rest = [c for c in lines.columns if c not in ("conv", "line", "text")]
+    order = order_of(lines)
+    rows = lines.withColumns({c: F.coalesce(F.col(c).cast("long"), F.lit(_NONE)) for c in order})
+    dealt = rows.repartitionByRange(shuffle_width(spark), "conv", *order, F.substring("text", 1, 32)).withColumn("range", F.spark_partition_id())
+    rest = [c for c in lines.columns if c not in ("conv", "text", *order)]
 
     def work(source: Iterable[dict]) -> Iterator[tuple]:
         here, n = None, 0
@@ -185,7 +201,7 @@ def numbered(lines: DataFrame) -> DataFrame:
             yield *r.values(), n - 1
 
     schema = T.StructType([*dealt.schema.fields, T.StructField("local", T.LongType())])
-    held = stored(in_arrow(dealt.sortWithinPartitions("conv", "line", "text", *rest), schema, work), "transcript-places")
+    held = stored(in_arrow(dealt.sortWithinPartitions("conv", *order, "text", *rest), schema, work), "transcript-places")
     border = F.struct("conv", "local")
     carried, before = [], None
     for r in held.groupBy("range").agg(F.min(border).alias("first"), F.max(border).alias("last")).orderBy("range").collect():
@@ -199,8 +215,8 @@ def numbered(lines: DataFrame) -> DataFrame:
 
 
 def _segments(lines: DataFrame) -> DataFrame:
-    """Lines by segment and in order, with ``opens``: whether a line is the transcript's first."""
-    key = numbered(lines).withColumn("seg", F.floor(F.col("at") / SEGMENT)).withColumn("opens", F.col("at") == 0)
+    """Lines by segment and in order, with ``opens``: whether a line is the transcript's first; those that have places keep them."""
+    key = (lines if "at" in lines.columns else numbered(lines)).withColumn("seg", F.floor(F.col("at") / SEGMENT)).withColumn("opens", F.col("at") == 0)
     return key.repartition("conv", "seg").sortWithinPartitions("conv", "seg", "at")
 
 
@@ -215,8 +231,12 @@ def advance(model: Model, front: np.ndarray, line: str | None, opens: bool) -> t
 
 
 def decode(lines: DataFrame, model: Model) -> DataFrame:
-    """``conv, line, text, role, first`` of every line by the most likely states; columns of ``lines`` that clash are replaced."""
-    rows = _segments(lines.select("conv", "line", "text"))
+    """``conv, line, text, role, first`` of every line by the most likely states, with what else it is ordered by.
+
+    Columns of ``lines`` that clash are replaced; lines that are :func:`numbered` already keep their places.
+    """
+    order = order_of(lines)
+    rows = _segments(lines.select("conv", *order, "text", *[c for c in ("at",) if c in lines.columns]))
     n = len(model.states)
     unit = np.where(np.eye(n, dtype=bool), 0.0, -np.inf)
 
@@ -297,15 +317,16 @@ def decode(lines: DataFrame, model: Model) -> DataFrame:
         at, held = None, []
         for r in source:
             if (r["conv"], r["seg"]) != at:
-                yield from _path(model, held)
+                yield from _path(model, held, order)
                 at, held = (r["conv"], r["seg"]), []
             held.append(r)
-        yield from _path(model, held)
+        yield from _path(model, held, order)
 
-    return in_arrow(dealt, "conv string, line long, text string, role string, first boolean", states)
+    places = "".join(f"{c} long, " for c in order)
+    return in_arrow(dealt, f"conv string, {places}text string, role string, first boolean", states)
 
 
-def _path(model: Model, held: list[dict]) -> Iterator[tuple]:
+def _path(model: Model, held: list[dict], order: list[str]) -> Iterator[tuple]:
     """The best states of a segment's lines given the state before it and the one it ends in."""
     if not held:
         return
@@ -324,8 +345,7 @@ def _path(model: Model, held: list[dict]) -> Iterator[tuple]:
         path.append(state)
         state = int(way[state])
     for r, s in zip(held, reversed(path)):
-        line = None if r["line"] == -(2**63) else r["line"]
-        yield r["conv"], line, r["text"], *model.states[s]
+        yield r["conv"], *(None if r[c] == _NONE else r[c] for c in order), r["text"], *model.states[s]
 
 
 def rendered(lines: DataFrame) -> DataFrame:
@@ -354,22 +374,22 @@ def raw_lines(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn",
     """Turns as a transcript: one row a line, the first of a turn behind a marker of the transcript's style.
 
     Two of seven turns go without their marker, by a hash of transcript and turn, and so
-    do all turns of an unknown role; ``role, first`` are the labels.
+    do all turns of an unknown role; ``role, first`` are the labels. ``turn, row, copy, line`` order the lines: ``line``
+    counts within its row, ``row`` is the hash of the row's role and text, and ``copy`` tells equal rows apart.
     """
     conv, turn = F.col(id_col).cast("string"), F.col(turn_col).cast("long")
     style = F.element_at(F.array(*[F.lit(s) for s in STYLES]), (F.pmod(F.xxhash64(conv), F.lit(len(STYLES) - 1)) + 1).cast("int"))
     written = F.pmod(F.xxhash64(conv, turn), F.lit(7)) > 1
     which = F.when(F.col(role_col) == "user", 0).when(F.col(role_col) == "assistant", 1).when(F.col(role_col) == "system", 2)
     mark = F.when(written & which.isNotNull(), F.get(F.split(style, r"\|"), which)).otherwise(F.lit(""))
-    lines = turns.select(
+    role, body = F.col(role_col).cast("string"), F.col(text_col).cast("string")
+    rows = turns.select(
         conv.alias("conv"),
         turn.alias("turn"),
-        F.col(role_col).cast("string").alias("role"),
-        F.posexplode(F.split(F.concat(F.regexp_replace(mark, "\t", "\n"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))), "\n")).alias("k", "text"),
+        F.xxhash64(role, body).alias("row"),
+        F.monotonically_increasing_id().alias("copy"),
+        role.alias("role"),
+        F.concat(F.regexp_replace(mark, "\t", "\n"), F.coalesce(body, F.lit(""))).alias("written"),
     )
-    number = F.col("turn") * LINES_A_TURN + F.col("k")
-    return lines.select("conv", number.alias("line"), "turn", "text", "role", (F.col("k") == 0).alias("first"))
-
-
-#: Line numbers set aside for a turn; longer turns run on into the next turn's numbers and keep their order by text.
-LINES_A_TURN = 1 << 20
+    lines = rows.select("conv", "turn", "row", "copy", "role", F.posexplode(F.split("written", "\n")).alias("line", "text"))
+    return lines.select("conv", "turn", "row", "copy", F.col("line").cast("long"), "text", "role", (F.col("line") == 0).alias("first"))
