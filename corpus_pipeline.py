@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.llm import decontam, langid, quality, queries, simhash
-from tracewright.llm.common import fold, stored
+from tracewright.llm.common import stored
 
 StageFn = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -20,11 +20,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Profiles are those of the language query; the floor is that of the scores of the labelled documents outside its held-out fold.
     """
     found = langid.predicted(F.col("text"), queries.language_profiles(spark, sf_dir))
-    scored = stored(docs.withColumn("__found", found), "pipeline-language-scores")
-    known = F.col("__found.lang_pred") != langid.UNKNOWN
-    training = scored.where(known & F.col("lang").isNotNull() & (fold("doc_id", 3) != 1))
-    floor = langid.score_floor(training.select("__found.score"))
-    return scored.where(known & (F.col("__found.score") >= floor)).drop("__found")
+    # columns of documents go as one value, so that none of them can clash
+    scored = stored(docs.select(F.struct("*").alias("row"), found.alias("found")), "pipeline-language-scores")
+    known = F.col("found.lang_pred") != langid.UNKNOWN
+    key = F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 3
+    training = scored.where(known & F.col("row.lang").isNotNull() & (key != 1))
+    floor = langid.score_floor(training.select("found.score"))
+    return scored.where(known & (F.col("found.score") >= floor)).select("row.*")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
