@@ -241,3 +241,50 @@ def test_pack_places_all_pieces(spark):
     stored = packing.packed_sequences(packing.pack(pieces, capacity=64)).collect()
     assert sum(len(r.ids) for r in stored) == 4 * total and all(len(r.ids) <= 256 for r in stored)
     assert packing.pack(packing.token_pieces(df.where("false"), capacity=64), capacity=64).count() == 0
+
+
+def fewest_sequences(lengths, capacity):
+    """Exact optimum, by trying all ways to place each piece."""
+    best = len(lengths)
+
+    def place(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(lengths):
+            best = len(rooms)
+            return
+        for i in range(len(rooms)):
+            if rooms[i] >= lengths[k] and rooms[i] not in rooms[:i]:
+                place(k + 1, [*rooms[:i], rooms[i] - lengths[k], *rooms[i + 1 :]])
+        place(k + 1, [*rooms, capacity - lengths[k]])
+
+    lengths = sorted(lengths, reverse=True)
+    place(0, [])
+    return best
+
+
+def test_search_finds_the_optimum_of_small_cases(spark):
+    rng = random.Random(3)
+    s = packing.Settings()
+    for _ in range(40):
+        lengths = [rng.randint(15, 60) for _ in range(rng.randint(5, 11))]
+        demand = Counter(lengths)
+        people = [packing.evolve([packing.best_fit(demand, 100)], demand, 100, s, s.seed + i)[0] for i in range(s.islands)]
+        assert all(packing._held(p) == demand for p in people)
+        assert min(map(packing.sequences, people)) == fewest_sequences(lengths, 100)
+    demand = Counter([44, 24, 24, 22, 21, 17, 8, 8, 6, 6] * 3)  # 9 full sequences of 60, which plain best fit does not find
+    assert packing.sequences(packing.best_fit(demand, 60)) == 10
+    found = packing.search(spark, demand, 60)
+    assert packing._held(found) == demand and packing.sequences(found) == 9
+
+
+def test_islands_are_partitions_of_their_own(spark):
+
+    demand = Counter({30: 50, 45: 50, 36: 40})
+    plan = packing.best_fit(demand, 100)
+    for n in (1, 2):
+        table = packing.island_table(spark, {i: [plan] * n for i in range(4)})
+        assert [{r.island for r in part} for part in table.rdd.glom().collect()] == [{0}, {1}, {2}, {3}]
+    found = packing.search(spark, demand, 100)
+    assert packing._held(found) == demand and packing.sequences(found) <= packing.sequences(plan)

@@ -50,10 +50,11 @@ def component_labels(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # tables on both sides of a join: Spark splits the partition of a node with very many links
+        low = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "links")
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        down = stored(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+        least = stored(down.groupBy("a").agg(F.min("b").alias("m")), "links")
         small = (
             down.join(least, "a")
             .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("e"))

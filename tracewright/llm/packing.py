@@ -50,8 +50,8 @@ class Settings:
     """Size of the search. An era is ``steps`` new individuals on each island, then elites migrate."""
 
     islands: int = 4
-    eras: int = 3
-    steps: int = 12
+    eras: int = 4
+    steps: int = 40
     population: int = 6
     inject: float = 0.5
     disturb: float = 0.1
@@ -236,17 +236,27 @@ def _to_plan(patterns, counts) -> Plan:
 
 
 def _island_era(era: int, demand: Counter, capacity: int, s: Settings):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        island = int(group["island"].iloc[0])
-        start = [_to_plan(p, c) for p, c in zip(group["patterns"], group["counts"])]
-        best = evolve(start, demand, capacity, s, s.seed + 1000 * era + island)[0]
-        return pd.DataFrame([_to_row(island, best)])
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [part for part in parts if len(part)]
+        for island, group in pd.concat(rows).groupby("island") if rows else ():
+            start = [_to_plan(p, c) for p, c in zip(group["patterns"], group["counts"])]
+            best = evolve(start, demand, capacity, s, s.seed + 1000 * era + int(island))[0]
+            yield pd.DataFrame([_to_row(int(island), best)])
 
     return run
 
 
+ISLANDS = "island int, patterns array<array<int>>, counts array<long>"
+
+
+def island_table(spark, elites: dict[int, list[Plan]]) -> DataFrame:
+    """The elites of each island, an island a partition: all islands have as many, so equal runs of rows are islands."""
+    rows = [tuple(_to_row(i, p).values()) for i, group in sorted(elites.items()) for p in group]
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, len(elites)), ISLANDS)
+
+
 def search(spark, demand: Counter, capacity: int, s: Settings = Settings()) -> Plan:
-    """The best plan of all islands after all eras.
+    """The best plan of all islands after all eras; eras end early once a plan needs no more sequences than the bound.
 
     What travels is plans: a plan has no more rows than patterns, a few for each
     length, whatever the number of pieces.
@@ -256,14 +266,10 @@ def search(spark, demand: Counter, capacity: int, s: Settings = Settings()) -> P
     first = best_fit(demand, capacity)
     floor = -(-sum(length * n for length, n in demand.items()) // capacity)
     elites = {i: [first] for i in range(s.islands)}
-    schema = "island int, patterns array<array<int>>, counts array<long>"
     for era in range(s.eras):
-        if min(sequences(p) for group in elites.values() for p in group) == floor:
+        if era and min(sequences(p) for group in elites.values() for p in group) == floor:
             break
-        rows = [_to_row(i, p) for i, group in elites.items() for p in group]
-        people = spark.createDataFrame([(r["island"], r["patterns"], r["counts"]) for r in rows], schema)
-
-        found = people.groupBy("island").applyInPandas(_island_era(era, demand, capacity, s), schema).collect()  # a plan for each island
+        found = island_table(spark, elites).mapInPandas(_island_era(era, demand, capacity, s), ISLANDS).collect()  # a plan for each island
         best = {r.island: _to_plan(r.patterns, r.counts) for r in found}
         elites = {i: [best[i], best[(i - 1) % s.islands]] for i in best}  # the neighbour's elite migrates here
     people = [p for group in elites.values() for p in group] + [first]

@@ -155,11 +155,11 @@ def rooted_prints(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "d
     prints = stored(fingerprints(docs, shingle, id_col, text_col), "simhash")
     firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     labels = component_labels(links(firsts.select("fp"), max_bits))
-    # Of each component the smallest first id; a fingerprint without links is its own component.
-    rooted = firsts.join(labels, firsts.fp == labels.node, "left").select(
-        "fp", "first", F.coalesce("label", "fp").alias("root")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Of each component the smallest first id; a fingerprint without links is its own component. Both sides of the join
+    # are tables, so that Spark can split the partition of a component with very many fingerprints.
+    rooted = firsts.join(labels, firsts.fp == labels.node, "left").select("fp", "first", F.coalesce("label", "fp").alias("root"))
+    rooted = stored(rooted, "simhash-roots")
+    smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-components")
     return prints.join(rooted.join(smallest, "root").select("fp", "component_id", "root"), "fp").select("doc_id", "fp", "component_id", "root")
 
 
