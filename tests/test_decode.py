@@ -152,3 +152,16 @@ def test_deeply_nested_unknown_fields_are_skipped():
     reader = _Reader(b"\x0c\x00\x01" * depth + b"\x00" * (depth + 1) + b"tail")
     reader.skip(T_STRUCT)
     assert reader.take(4) == b"tail"
+
+
+def test_names_and_numbers_are_strict(spark):
+    good = [dict(GOOD, name=5), dict(GOOD, name=None), dict(GOOD, timestamp="1442493420635000"), dict(GOOD, name='{"a":1}')]
+    spans, dead = _decode(spark, [json.dumps([s]).encode() for s in good])
+    assert [s["name"] for s in spans] == ["5", "", "get", '{"a":1}'] and dead == []
+    assert spans[2]["timestamp"] == 1442493420635000
+    ep = {"serviceName": "a", "port": " 9411"}
+    bad = [dict(GOOD, name={"a": 1}), dict(GOOD, name=["x"]), dict(GOOD, name=True), dict(GOOD, timestamp=" 5 "), dict(GOOD, duration="5 ")]
+    bad += [dict(GOOD, duration="1e3"), dict(GOOD, timestamp="9" * 25), dict(GOOD, annotations=[{"timestamp": "5 ", "value": "x"}])]
+    bad += [dict(GOOD, annotations=[{"timestamp": 5, "value": "x", "endpoint": ep}])]
+    spans, dead = _decode(spark, [json.dumps([s]).encode() for s in bad])
+    assert spans == [] and dead == ["bad_json"] * len(bad)

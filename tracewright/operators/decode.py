@@ -4,6 +4,8 @@
 * K3 JSON: ``from_json`` with every scalar read as a string, then validated
   with patterns / ``try_cast`` by a ``forall`` over the message's array, so a
   single bad field drops the *whole message* (K6), as the reference does.
+  Numbers may be quoted but not padded; a name is text (or a number, or null).
+  Bytes that are no UTF-8 become the replacement character, in both formats.
   No shuffle: a message is decoded within its row.
 * K4/K5 thrift: an Arrow UDF in the same projection; only thrift rows send
   their bytes (other rows send null). Failures become dead letters, never
@@ -50,14 +52,15 @@ def format_counts(messages: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- JSON ------
 _EP = "struct<serviceName:string,ipv4:string,port:string>"
 JSON_SCHEMA = (
-    "array<struct<traceId:string,id:string,parentId:string,name:string,timestamp:string,duration:string,"
+    "array<struct<traceId:string,id:string,parentId:string,name:variant,timestamp:string,duration:string,"
     f"annotations:array<struct<timestamp:string,value:string,endpoint:{_EP}>>,"
     f"binaryAnnotations:array<struct<key:string,value:variant,type:string,endpoint:{_EP}>>>>"
 )
 
 
 def _is_long(c: Column) -> Column:
-    return c.try_cast("bigint").isNotNull()
+    """A whole number of 64 bits, bare or quoted, with nothing around it."""
+    return c.rlike("^-?[0-9]+$") & c.try_cast("bigint").isNotNull()
 
 
 def _opt_long(c: Column) -> Column:
@@ -65,7 +68,7 @@ def _opt_long(c: Column) -> Column:
 
 
 def _ep_ok(ep: Column) -> Column:
-    return ep.isNull() | ep["port"].isNull() | ep["port"].try_cast("int").isNotNull()
+    return ep.isNull() | ep["port"].isNull() | (ep["port"].rlike("^-?[0-9]+$") & ep["port"].try_cast("int").isNotNull())
 
 
 def _tag_kind(b: Column) -> Column:
@@ -115,6 +118,7 @@ def _span_ok(s: Column) -> Column:
         & s["traceId"].rlike("^[0-9a-f]{1,32}$")
         & s["id"].rlike("^[0-9a-f]{1,16}$")
         & (s["parentId"].isNull() | s["parentId"].rlike("^[0-9a-f]{1,16}$"))
+        & (s["name"].isNull() | ~F.schema_of_variant(s["name"]).rlike("^(OBJECT|ARRAY|BOOLEAN)"))
         & _opt_long(s["timestamp"])
         & _opt_long(s["duration"])
         & anns_ok
@@ -150,7 +154,7 @@ def _span_typed(s: Column) -> Column:
         low.alias("trace_id"),
         _hex_long(s["id"]).alias("id"),
         _hex_long(s["parentId"]).alias("parent_id"),
-        F.coalesce(s["name"], F.lit("")).alias("name"),
+        F.coalesce(F.try_variant_get(s["name"], "$", "string"), F.lit("")).alias("name"),
         s["timestamp"].try_cast("bigint").alias("timestamp"),
         s["duration"].try_cast("bigint").alias("duration"),
         F.transform(

@@ -15,11 +15,12 @@ from tracewright.schema import SPAN_COLUMNS, SPAN_SCHEMA
 from tracewright.session import scratch_path
 from tracewright.sources.files import span_stream
 from tracewright.sources.fixtures import stored_messages
+from tracewright.sources.framed import segment_stream, write_segments
 from tracewright.sources.shared import Records
 from tracewright.streaming import connections, layouts
-from tracewright.streaming.job import process_batch
+from tracewright.streaming.job import JobConfig, StreamingJob, process_batch
 from tracewright.streaming.live import LatencyReport, LiveLinks, LiveSessions, TailSampler, run_live
-from tracewright.streaming.sinks import SinkConfig, check_sink, read_dead_letters, write_spans
+from tracewright.streaming.sinks import SinkConfig, check_sink, read_dead_letters, read_sink, write_spans
 
 FILE_STORE = "tracewright.streaming.connections:FileStore"
 HALFWAY_STORE = "tracewright.streaming.connections:HalfwayStore"
@@ -100,6 +101,29 @@ def layout_lookup(spark, sf_dir):
     return flat_spans(layouts.spans_of(spark, root, traces).select(*SPAN_COLUMNS))
 
 
+# -------------------------------------------------------------- sources -----
+@query("framed_stream", O.with_spans("adj AS (" + O.backfill_select(_DECODED, O.FINAGLE_PRED) + ")") + O.flat_select("adj"))
+def framed_stream(spark, sf_dir):
+    """S1 + S5 + C1: message segments as a stream in micro-batches of limited size, stopped and started again, new segments coming."""
+    root = scratch_path(spark, "framed")
+    messages = stored_messages(spark, sf_dir).select("value")
+    first = F.pmod(F.xxhash64("value"), F.lit(3)) > 0
+    sink = SinkConfig("parquet", f"{root}/out")
+
+    def job():
+        source = lambda s: segment_stream(s, f"{root}/in", 4 << 20, f"{root}/progress")
+        cfg = JobConfig(source, sink, [A.finagle_adjuster()], SinkConfig("parquet", f"{root}/dead"), batch_interval_ms=0, checkpoint_location=f"{root}/checkpoint")
+        with StreamingJob(spark, cfg) as running:
+            running.query.processAllAvailable()
+
+    write_segments(messages.where(first), f"{root}/in", 1 << 20)
+    job()
+    write_segments(messages.where(~first), f"{root}/in", 1 << 20)
+    job()
+    job()  # nothing new
+    return flat_spans(read_sink(spark, sink).select(*SPAN_COLUMNS))
+
+
 # ------------------------------------------------------------ adjusters -----
 def _raising(df):
     """A column adjuster: doubles durations and raises an error for spans whose id is divisible by 50."""
