@@ -288,3 +288,19 @@ def test_islands_are_partitions_of_their_own(spark):
         assert [{r.island for r in part} for part in table.rdd.glom().collect()] == [{0}, {1}, {2}, {3}]
     found = packing.search(spark, demand, 100)
     assert packing._held(found) == demand and packing.sequences(found) <= packing.sequences(plan)
+
+
+def test_files_of_attempts_that_did_not_count_are_not_read(spark, tmp_dir):
+    pages = spark.createDataFrame([(i, f"http://u/{i}", f"<p>{i % 3}</p>") for i in range(20)], "page_id long, url string, html string")
+    warc.write_archives(pages.repartition(3), f"{tmp_dir}/a")
+    names = warc.manifest(f"{tmp_dir}/a")
+    assert len(names) >= 1 and all(n.endswith(".warc") for n in names)
+    with open(f"{tmp_dir}/a/{sorted(names)[0]}", "rb") as f:
+        again = f.read()
+    for lost in ("part-000000-000000-999.warc", "part-000009-000000-7.warc"):
+        with open(f"{tmp_dir}/a/{lost}", "wb") as f:
+            f.write(again)
+    assert sorted(r.page_id for r in warc.read_archives(spark, f"{tmp_dir}/a").collect()) == list(range(20))
+    with open(f"{tmp_dir}/plain.warc", "wb") as f:  # a folder without a manifest is read whole
+        f.write(again)
+    assert warc.read_archives(spark, tmp_dir).count() > 0

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 from collections.abc import Iterator
 
 import pandas as pd
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull
 
 from tracewright.llm.common import stored
-from tracewright.llm.shared_files import Appender, listed, open_random
+from tracewright.llm.shared_files import Appender, listed, open_input, open_random, write_atomically
 from tracewright.session import scratch_path
 
 VERSION = b"WARC/1.1\r\n"
@@ -94,6 +95,9 @@ def write_archives(
     written out before pages meet it by digest: its size is then known, so
     Spark sends it to all tasks if it is small, and else moves page bytes once
     in a join whose skewed keys it splits.
+
+    Each attempt of a task writes files of its own, and a manifest names those of
+    the attempts that counted, so repeated or lost attempts leave no record twice.
     """
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
@@ -114,26 +118,38 @@ def write_archives(
 
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
-        number, out, made = 0, None, 0
+        names, out = [], None
         for batch in batches:
             for r in batch.to_pylist():
                 if out is None:
-                    out = Appender(f"{path}/part-{part:06d}-{number:06d}.warc", attempt)
+                    names.append(f"part-{part:06d}-{len(names):06d}-{attempt}.warc")
+                    out = Appender(f"{path}/{names[-1]}", attempt)
                 revisit = r["first"] is not None and r["page_id"] != r["first"]
                 out.write(record(r["page_id"], r["url"], r["payload"], r["digest"], r["first"] if revisit else None, revisit))
-                made += 1
                 if out.size >= file_bytes:
                     out.close()
-                    number, out = number + 1, None
+                    out = None
         if out is not None:
             out.close()
-        yield pa.RecordBatch.from_pydict({"n": pa.array([made], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string())})
 
-    marked.mapInArrow(run, "n long").agg(F.sum("n")).collect()
+    names = [r["name"] for r in marked.mapInArrow(run, "name string").collect()]  # a name for each file of ``file_bytes``
+    write_atomically(f"{path}/{MANIFEST}", "\n".join(sorted(names)).encode(), 0)
 
 
 # --- reading -----------------------------------------------------------------
 
+#: Names the files of a folder that :func:`write_archives` has written; folders without one are read whole.
+MANIFEST = "manifest.txt"
+#: Bytes that a reader takes at once.
+BUFFER = 256 << 10
+
+
+def manifest(path: str) -> set[str] | None:
+    if not listed(path, MANIFEST):
+        return None
+    return set(open_input(f"{path}/{MANIFEST}").decode().split())
+
 
 class _Range(InputPartition):
     def __init__(self, uri: str, start: int, stop: int):
@@ -175,14 +191,18 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[_Range]:
         found = []
+        named = manifest(self.path)
         for uri, size in listed(self.path, ".warc"):
+            if named is not None and uri.rpartition("/")[2] not in named:
+                continue  # of an attempt that did not count
             found += [_Range(uri, a, min(a + self.range_bytes, size)) for a in range(0, size, self.range_bytes)]
         return found or [_Range("", 0, 0)]
 
     def read(self, partition: _Range) -> Iterator[tuple]:
         if not partition.uri:
             return
-        with open_random(partition.uri) as f:
+        with open_random(partition.uri) as raw:
+            f = io.BufferedReader(raw, BUFFER)
             at = _first_record(f, partition.start, partition.stop)
             while at < partition.stop:
                 f.seek(at)
@@ -193,7 +213,7 @@ class WarcReader(DataSourceReader):
                     yield row
                 at += head_bytes + length + 4
 
-    def _row(self, f: pa.NativeFile, headers: dict[str, str], length: int) -> tuple | None:
+    def _row(self, f: io.BufferedReader, headers: dict[str, str], length: int) -> tuple | None:
         kind = headers["warc-type"]
         row = {
             "record_id": headers.get("warc-record-id"),
@@ -217,7 +237,7 @@ class WarcReader(DataSourceReader):
         return (*row.values(), body)
 
 
-def _lines(f: pa.NativeFile, limit: int | None = None) -> tuple[list[bytes], int]:
+def _lines(f: io.BufferedReader, limit: int | None = None) -> tuple[list[bytes], int]:
     """Header lines up to the empty one, and their bytes; the file stands after them."""
     start, held = f.tell(), b""
     while (end := held.find(b"\r\n\r\n")) < 0:
@@ -234,14 +254,14 @@ def _fields(lines: list[bytes]) -> dict[str, str]:
     return {name.strip().lower(): value.strip() for name, _, value in pairs}
 
 
-def _headers(f: pa.NativeFile) -> tuple[dict[str, str], int]:
+def _headers(f: io.BufferedReader) -> tuple[dict[str, str], int]:
     lines, size = _lines(f)
     if lines[0] + b"\r\n" != VERSION:
         raise ValueError(f"not a record: {lines[0][:40]!r}")
     return _fields(lines), size
 
 
-def _http_head(f: pa.NativeFile, length: int) -> tuple[dict[str, str], int]:
+def _http_head(f: io.BufferedReader, length: int) -> tuple[dict[str, str], int]:
     lines, size = _lines(f, length)
     return _fields(lines), size
 
@@ -251,7 +271,7 @@ def _page(urn: str | None) -> int | None:
     return int(number) if number else None
 
 
-def _first_record(f: pa.NativeFile, start: int, stop: int) -> int:
+def _first_record(f: io.BufferedReader, start: int, stop: int) -> int:
     """Where the first record that starts at or after ``start`` begins (``stop`` if there is none before it).
 
     A version line within a payload is told apart by walking on from it: what
@@ -260,7 +280,7 @@ def _first_record(f: pa.NativeFile, start: int, stop: int) -> int:
     if start == 0:
         return 0
     mark = b"\r\n\r\n" + VERSION
-    total = f.size()
+    total = f.raw.size()
     at = max(0, start - 4)
     while at < stop:
         f.seek(at)
@@ -280,7 +300,7 @@ def _first_record(f: pa.NativeFile, start: int, stop: int) -> int:
     return stop
 
 
-def _is_record(f: pa.NativeFile, at: int, total: int) -> bool:
+def _is_record(f: io.BufferedReader, at: int, total: int) -> bool:
     try:
         f.seek(at)
         headers, size = _headers(f)
