@@ -158,6 +158,20 @@ QUERIES: dict[str, QueryFn] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op8_warc": """
+        WITH sums AS (SELECT CAST(page_id AS BIGINT) AS page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+        fives AS (SELECT *, list_transform(range(0, 8), lambda i: CAST('0x' || substr(hex, CAST(i * 5 + 1 AS INTEGER), 5) AS BIGINT)) AS parts,
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS letters FROM sums),
+        digests AS (
+            SELECT page_id, payload_bytes, min(page_id) OVER (PARTITION BY hex) AS first,
+                   array_to_string(list_transform(parts, lambda v: letters[1 + (v >> 15) % 32] || letters[1 + (v >> 10) % 32]
+                       || letters[1 + (v >> 5) % 32] || letters[1 + v % 32]), '') AS payload_digest
+            FROM fives
+        )
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM digests
+    """,
     "op12_hard_negatives": """
         WITH whole AS (
             SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
