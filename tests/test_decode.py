@@ -165,3 +165,50 @@ def test_names_and_numbers_are_strict(spark):
     bad += [dict(GOOD, annotations=[{"timestamp": 5, "value": "x", "endpoint": ep}])]
     spans, dead = _decode(spark, [json.dumps([s]).encode() for s in bad])
     assert spans == [] and dead == ["bad_json"] * len(bad)
+
+
+def _one_by_one(payloads):
+    """What the reader of single messages makes of them."""
+    out = []
+    for p in payloads:
+        try:
+            out.append({"spans": None if p is None else read_spans(p), "reason": None})
+        except ThriftError:
+            out.append({"spans": None, "reason": "bad_thrift"})
+    return out
+
+
+def test_messages_read_together_are_those_read_one_by_one(spark):
+    import random
+
+    import pyarrow as pa
+
+    from tracewright.sources.fixtures import stored_spans
+
+    rng = random.Random(4)
+    odd = [span(id=1), span(id=2, name="x" * 300, annotations=[ann(5, ""), ann(-1, "é")], tags=[tag("", b"", kind="BYTES"), tag("k", b"\xff", kind="I16")])]
+    odd += [span(id=i, annotations=[ann(i, "v", None)] * i, tags=[tag("k", "v", None)] * i) for i in range(3, 9)]
+    encoded = stored_spans(spark, "/root/testdata/sf0.001").unionByName(df_of(spark, odd)).select(span_thrift().alias("v")).collect()
+    singles = [bytes(r.v) for r in encoded]
+    payloads = [None, b"", b"\x0c", b"\x00", b"\x0c\x0c\x00\x00\x00\x00"] + singles
+    payloads += [b"\x0c" + struct.pack(">i", n) + b"".join(rng.sample(singles, n)) for n in range(1, 40)]
+    payloads += [b"\x0c" + struct.pack(">i", n + d) + b"".join(rng.sample(singles, n)) for n in (1, 5) for d in (-1, 1, 2**30)]
+    flag, unknown = b"\x02\x00\x09\x01", b"\x0c\x00\x63\x0b\x00\x01\x00\x00\x00\x01z\x00"
+    payloads += [extra + s for extra in (flag, unknown, b"\x0b\x00\x63\x00\x00\x00\x02zz", b"\x0a\x00\x01" + bytes(8)) for s in singles[:20]]
+    lists = b"\x0f\x00\x06\x0c\x00\x00\x00\x00"
+    payloads += [lists + s for s in singles[:20]]  # annotations given twice
+    for p in rng.sample(payloads[5:], 300):
+        cut = bytearray(p)
+        if rng.random() < 0.4:
+            del cut[rng.randrange(len(cut)) :]
+        else:
+            for _ in range(rng.randint(1, 3)):
+                cut[rng.randrange(len(cut))] = rng.randrange(256)
+        payloads.append(bytes(cut))
+    rng.shuffle(payloads)
+    want = _one_by_one(payloads)
+    assert D._decode_thrift_array(pa.array(payloads, pa.binary())).to_pylist() == want
+    part = pa.array(payloads, pa.binary()).slice(11, 200)
+    assert D._decode_thrift_array(part).to_pylist() == want[11:211]
+    for none in ([], [None], [b""], [None, b"\x0c"]):
+        assert D._decode_thrift_array(pa.array(none, pa.binary())).to_pylist() == _one_by_one(none)

@@ -7,8 +7,8 @@
   Numbers may be quoted but not padded; a name is text (or a number, or null).
   Bytes that are no UTF-8 become the replacement character, in both formats.
   No shuffle: a message is decoded within its row.
-* K4/K5 thrift: an Arrow UDF in the same projection; only thrift rows send
-  their bytes (other rows send null). Failures become dead letters, never
+* K4/K5 thrift: an Arrow UDF in the same projection that reads all messages of a
+  batch together; only thrift rows send their bytes (other rows send null). Failures become dead letters, never
   exceptions.
 
 The message table is scanned once. Each message yields ``(value, spans
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewright.operators.thrift import ThriftError, read_spans
+from tracewright.operators import thrift_columns
 from tracewright.schema import SPAN_COLUMNS, SPAN_SCHEMA
 from tracewright.session import ship_package
 
@@ -199,22 +199,7 @@ def _arrow_type(dt: T.DataType) -> pa.DataType:
 
 def _decode_thrift_array(values: pa.Array) -> pa.Array:
     """Arrow batch of payloads (null = not a thrift row) -> struct(spans, reason)."""
-    spans, reasons = [], []
-    for v in values.to_pylist():
-        if v is None:
-            spans.append(None)
-            reasons.append(None)
-            continue
-        try:
-            spans.append(read_spans(v))
-            reasons.append(None)
-        except ThriftError:
-            spans.append(None)
-            reasons.append(BAD_THRIFT)
-    return pa.StructArray.from_arrays(
-        [pa.array(spans, type=_arrow_type(_SPANS_TYPE)), pa.array(reasons, type=pa.string())],
-        names=["spans", "reason"],
-    )
+    return thrift_columns.decode(values, _arrow_type(_SPANS_TYPE).value_type, BAD_THRIFT)
 
 
 _thrift_udf = F.arrow_udf(_decode_thrift_array, _THRIFT_RESULT)
