@@ -105,13 +105,14 @@ def _tag_value(b: Column) -> Column:
 
 
 def _span_ok(s: Column) -> Column:
+    """All of a span but its tags' values, which :func:`_tags_ok` sees once they are typed."""
     anns_ok = F.forall(
         F.coalesce(s["annotations"], F.array()),
         lambda a: a.isNotNull() & _is_long(a["timestamp"]) & a["value"].isNotNull() & _ep_ok(a["endpoint"]),
     )
     tags_ok = F.forall(
         F.coalesce(s["binaryAnnotations"], F.array()),
-        lambda b: b.isNotNull() & b["key"].isNotNull() & _tag_value(b).isNotNull() & _ep_ok(b["endpoint"]),
+        lambda b: b.isNotNull() & b["key"].isNotNull() & _ep_ok(b["endpoint"]),
     )
     return F.coalesce(
         s.isNotNull()
@@ -127,6 +128,11 @@ def _span_ok(s: Column) -> Column:
     )
 
 
+def _tags_ok(s: Column) -> Column:
+    """Every tag of a typed span has a value: one that does not fit its kind is null."""
+    return F.forall(s["binary_annotations"], lambda b: b["value"].isNotNull())
+
+
 def _ep_typed(ep: Column) -> Column:
     return F.when(
         ep.isNotNull(),
@@ -269,8 +275,11 @@ def decode_messages(messages: DataFrame, formats: tuple[str, ...] = (FMT_JSON, F
         cols.append(_thrift_udf(F.when(is_thrift, F.col("value"))).alias("_t"))
     parsed = messages.select("value").withColumn("_fmt", message_format()).select(*cols)
 
-    ok = F.coalesce(F.col("_p").isNotNull() & F.forall("_p", _span_ok), F.lit(False))
-    spans = F.when(is_json & ok, F.transform("_p", _span_typed))
+    # staged, so that each message is checked and typed once
+    checked = parsed.withColumn("_ok", is_json & F.coalesce(F.col("_p").isNotNull() & F.forall("_p", _span_ok), F.lit(False)))
+    parsed = checked.withColumn("_s", F.when(F.col("_ok"), F.transform("_p", _span_typed)))
+    ok = F.coalesce(F.forall("_s", _tags_ok), F.lit(False))
+    spans = F.when(is_json & ok, F.col("_s"))
     reason = F.when(is_json & ~ok, F.lit(BAD_JSON))
     if thrift_fmts:
         spans = spans.when(is_thrift, F.col("_t.spans"))
