@@ -128,8 +128,10 @@ class LatencyReport:
 
     def current(self, upto: int) -> DataFrame:
         rows = self.tables.all("report", self.REPORT, upto)
-        newest = Window.partitionBy("service", "bucket").orderBy(F.desc("batch_id"))
-        return rows.withColumn("__r", F.row_number().over(newest)).where("__r = 1").drop("__r", "batch_id")
+        group = ["service", "bucket"]
+        values = [c for c in rows.columns if c not in (*group, "batch_id")]
+        newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
+        return rows.groupBy(*group).agg(newest).select(*group, "newest.*")
 
 
 class LiveLinks:
