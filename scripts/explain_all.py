@@ -1,4 +1,4 @@
-"""Write the final (AQE re-optimised) physical plan of every query to docs/PLANS.md.
+"""Write the physical plan, before adaptive re-planning, of every query of the catalog to docs/PLANS.md.
 
     python scripts/explain_all.py [sf_dir]
 """
@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tracewright.plans.catalog import QUERIES  # noqa: E402
 from tracewright.session import build_session  # noqa: E402
 
 
@@ -19,11 +19,10 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
-    out = [f"# Physical plans (AQE final plans, {os.path.basename(sf_dir)}, local[8])", ""]
+    out = [f"# Physical plans before adaptive re-planning ({os.path.basename(sf_dir)}, local[8])", ""]
     out.append("Generated by `scripts/explain_all.py`. Lines are cut at 400 characters; `#id` suffixes removed.")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         plan = re.sub(r"#\d+L?", "", plan)
         n_ex = len(re.findall(r"Exchange hashpartitioning|Exchange RoundRobin|Exchange SinglePartition", plan))
