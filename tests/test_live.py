@@ -241,3 +241,23 @@ def test_plans_read_spans_once(spark):
     assert counts.count("FileScan") == 1 and counts.count("aggregate(annotations") <= 2
     report = plan(service_latency(A.backfill_timestamp_duration(spans)))
     assert "aggregate(" not in report and report.count("FileScan") <= 3
+
+
+def test_a_live_batch_is_written_and_read_by_many_tasks(spark, tmp_dir, monkeypatch):
+    from tracewright.plans import live
+
+    spans = df_of(spark, [span(id=i) for i in range(1, 61)]).repartition(4)
+    monkeypatch.setattr(live, "_spans", lambda spark, sf_dir: spans)
+    seen = {}
+
+    def operator():
+        made = len(made_in)
+        made_in.append(made)
+        return lambda batch, number: seen.update({number: (made, batch.rdd.getNumPartitions(), sorted(r.id for r in batch.select("id").collect()))})
+
+    made_in = []
+    live._in_three_batches(spark, "", tmp_dir, operator)
+    assert made_in == [0, 1, 2]
+    for k in range(3):
+        made, tasks, ids = seen[k]
+        assert made == k and tasks > 1 and ids == [i for i in range(1, 61) if i % 3 == k]

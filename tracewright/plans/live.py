@@ -219,50 +219,47 @@ def trace_adjust(spark, sf_dir):
 
 
 # --------------------------------------------------------- live streams -----
-def _in_three_files(spark, sf_dir, root: str, only=(0, 1, 2)) -> None:
-    """The span table as three files, by ``id % 3``, so that a trace is split over three micro-batches."""
-    for k in only:
-        _spans(spark, sf_dir).where(F.col("id") % 3 == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
-
-
 def _drain(spark, root: str, operators) -> None:
-    """Runs live operators over all files that are there, a file for each batch."""
-    q = run_live(span_stream(spark, f"{root}/in", max_files_per_trigger=1), operators, f"{root}/checkpoint", available_now=True)
+    """Runs live operators over the files that are new since the last time, as one batch."""
+    q = run_live(span_stream(spark, f"{root}/in"), operators, f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
 
+def _in_three_batches(spark, sf_dir, root: str, operator):
+    """The span table through a stream in three batches by ``id % 3``, so that a trace is split over them; the last operator.
+
+    Each third is written by as many tasks as read the table. The stream is stopped after each batch and started again
+    with an operator that ``operator`` makes anew, so all that goes on from batch to batch is in its tables.
+    """
+    for k in range(3):
+        _spans(spark, sf_dir).where(F.col("id") % 3 == k).write.mode("append").parquet(f"{root}/in")
+        last = operator()
+        _drain(spark, root, [last])
+    return last
+
+
 @query("live_latency", ORACLE["latency_overall"].replace(str(EVER), str(DAY)))
 def live_latency(spark, sf_dir):
-    """The latency report of a live stream after three batches, with a restart between the second and the third."""
+    """The latency report of a live stream after three batches, with a restart after each of them."""
     root = scratch_path(spark, "live-latency")
-    _in_three_files(spark, sf_dir, root, (0, 1))
-    _drain(spark, root, [LatencyReport(spark, f"{root}/state", DAY)])
-    _in_three_files(spark, sf_dir, root, (2,))
-    report = LatencyReport(spark, f"{root}/state", DAY)
-    _drain(spark, root, [report])
-    return report.current(2)
+    return _in_three_batches(spark, sf_dir, root, lambda: LatencyReport(spark, f"{root}/state", DAY)).current(2)
 
 
 @query("live_links", ORACLE["dependency_links"])
 def live_links(spark, sf_dir):
     """Callers and calls of a live stream that come in different batches; the counts are those of the whole table."""
     root = scratch_path(spark, "live-links")
-    _in_three_files(spark, sf_dir, root)
-    links = LiveLinks(spark, f"{root}/state")
-    _drain(spark, root, [links])
-    return links.current(2)
+    return _in_three_batches(spark, sf_dir, root, lambda: LiveLinks(spark, f"{root}/state")).current(2)
 
 
 @query("live_sampling", ORACLE["sample_traces"])
 def live_sampling(spark, sf_dir):
     """Traces split over three batches are kept whole if a span of any batch is slow or has an error."""
     root = scratch_path(spark, "live-sampling")
-    _in_three_files(spark, sf_dir, root)
     fits = lambda: (F.col("duration") >= SAMPLE_MIN_DURATION) | has_error_tag()
-    sampler = TailSampler(spark, f"{root}/state", fits)
-    _drain(spark, root, [sampler])
+    sampler = _in_three_batches(spark, sf_dir, root, lambda: TailSampler(spark, f"{root}/state", fits))
     return flat_spans(sampler.tables.all("kept", SPAN_SCHEMA, 2).select(*SPAN_COLUMNS))
 
 
@@ -282,9 +279,7 @@ UNION ALL SELECT 'in sessions', NULL, count(*) FROM y WHERE NOT late""",
 def live_sessions(spark, sf_dir):
     """Sessions of a live stream behind a watermark; spans behind it lie apart, and every span is in one or the other."""
     root = scratch_path(spark, "live-sessions")
-    _in_three_files(spark, sf_dir, root)
-    sessions = LiveSessions(spark, f"{root}/state", SESSION_GAP, LIVE_DELAY)
-    _drain(spark, root, [sessions])
+    sessions = _in_three_batches(spark, sf_dir, root, lambda: LiveSessions(spark, f"{root}/state", SESSION_GAP, LIVE_DELAY))
     tables = sessions.tables
     late = tables.all("late", SPAN_SCHEMA, 2).groupBy(F.lit("late").alias("kind"), "batch_id").agg(F.count(F.lit(1)).alias("n_spans"))
     still = tables.before("open", LiveSessions.BUCKETS, 3).select(F.col("_n").alias("n_spans"))
