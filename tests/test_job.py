@@ -232,3 +232,18 @@ def test_file_sources_and_trace_key(spark, tmp_dir):
     q.stop()
     keys = {r[0] for r in spark.sql("SELECT trace_key FROM tw_span_stream").collect()}
     assert keys == {"0000000000000001"}
+
+
+def test_a_message_file_is_read_by_many_tasks(spark, tmp_dir):
+    import uuid
+
+    from tracewright.sources.files import write_messages
+
+    rows = [((uuid.uuid4().bytes) * 64,) for _ in range(8)]
+    n = 40_000
+    messages = spark.createDataFrame(rows, "value binary").crossJoin(spark.range(n // 8)).select(F.concat("value", F.sha2(F.col("id").cast("string"), 512).cast("binary"), F.sha2(F.concat("value", F.col("id").cast("string")), 512).cast("binary")).alias("value"))
+    write_messages(messages.coalesce(1), f"{tmp_dir}/in")
+    found = spark.read.parquet(f"{tmp_dir}/in")
+    assert len(found.inputFiles()) == 1
+    sizes = [s for s in found.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect() if s]
+    assert sum(sizes) == n and len(sizes) > 1

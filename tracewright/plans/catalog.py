@@ -21,7 +21,7 @@ from tracewright.operators.flat import flat_spans
 from tracewright.plans import oracle as O
 from tracewright.schema import SPAN_COLUMNS
 from tracewright.session import scratch_path
-from tracewright.sources.files import message_stream, read_spans
+from tracewright.sources.files import message_stream, read_spans, write_messages
 from tracewright.sources.fixtures import stored_messages, stored_spans
 from tracewright.streaming.job import JobConfig, process_batch, run_to_completion
 from tracewright.streaming.sinks import SinkConfig, check_sink, read_sink, write_spans
@@ -454,7 +454,7 @@ def stream_equals_batch(spark, sf_dir):
     through decode -> Finagle -> Issue 343 -> parquet sink; the sink then holds
     exactly what the batch job gives."""
     root = scratch_path(spark, "stream")
-    stored_messages(spark, sf_dir).select("value").write.mode("overwrite").parquet(f"{root}/in")
+    write_messages(stored_messages(spark, sf_dir).select("value"), f"{root}/in")
     sink = SinkConfig("parquet", f"{root}/out")
     cfg = JobConfig(
         source=lambda s: message_stream(s, f"{root}/in", max_files_per_trigger=1),

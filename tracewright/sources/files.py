@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tracewright.schema import MESSAGE_SCHEMA, SPAN_COLUMNS, SPAN_SCHEMA
 
+#: Bytes of a message file that only one task can read.
+ROW_GROUP = 4 << 20
+
 
 def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Message table (``value`` BINARY) from parquet/orc, or raw files.
@@ -32,6 +35,11 @@ def message_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_fil
     return reader.format(fmt).schema(MESSAGE_SCHEMA).load(path)
 
 
+def write_messages(messages: DataFrame, path: str) -> None:
+    """Message files whose parts are small, so that one that is a micro-batch on its own is read by all cores, not by one task."""
+    messages.write.mode("overwrite").option("parquet.block.size", ROW_GROUP).parquet(path)
+
+
 def read_spans(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """An already-decoded span table; the schema is declared, not inferred."""
     return spark.read.format(fmt).schema(SPAN_SCHEMA).load(path).select(*SPAN_COLUMNS)
