@@ -100,3 +100,31 @@ def test_stream_goes_on_after_a_restart(spark, tmp_dir):
     run()
     found = sorted(bytes(r.value) for r in spark.read.schema("value binary").parquet(f"{tmp_dir}/out").collect())
     assert found == sorted([*first, b"more", b"next"])
+
+
+def test_whole_segments_are_looked_for_once(tmp_dir, monkeypatch):
+    for k in range(40):
+        put(tmp_dir, f"segment-{k:02d}", frame(b"x" * 46))
+    looked = []
+    monkeypatch.setattr(framed, "segments", lambda folder: looked.append(folder) or segments(folder))
+    reader = framed._StreamReader(tmp_dir, 100, f"{tmp_dir}/progress")
+    seen, offset = [], reader.initialOffset()
+    while (end := reader.latestOffset()) != offset:
+        seen += [p.segment for p in reader.partitions(offset, end)]
+        offset = end
+    assert seen == [f"segment-{k:02d}" for k in range(40)] and len(looked) <= 4  # of 20 batches
+    put(tmp_dir, "segment-40", frame(b"new"))
+    end = reader.latestOffset()
+    assert [p.segment for p in reader.partitions(offset, end)] == ["segment-40"]
+    again = [p.segment for p in reader.partitions(reader.initialOffset(), end)]  # a batch from before
+    assert again == [f"segment-{k:02d}" for k in range(41)]
+
+
+def test_columns_of_the_decoder_are_built_once(spark):
+    from tracewright.operators import decode
+
+    decode_messages(spark.createDataFrame([(b"[]",)], "value binary"))
+    hits = decode._decoding.cache_info().hits
+    found = decode_messages(spark.createDataFrame([(b"not spans",)], "value binary"))
+    assert decode._decoding.cache_info().hits == hits + 1
+    assert [r.reason for r in found.dead_letters.collect()] == ["bad_thrift"]

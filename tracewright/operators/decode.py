@@ -18,6 +18,7 @@ become ``(value, reason)``.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -258,13 +259,24 @@ def decode_messages(messages: DataFrame, formats: tuple[str, ...] = (FMT_JSON, F
     are parsed in the JVM, and only thrift rows' bytes reach the Arrow UDF
     (other rows send null). Empty payloads yield no spans and no dead letter
     (K2). ``formats`` restricts which formats are decoded (others vanish)."""
+    sc = messages.sparkSession.sparkContext
+    if FMT_THRIFT_LIST in formats or FMT_THRIFT in formats:
+        ship_package(messages.sparkSession)
+    cols, ok_col, typed, spans, reason = _decoding(sc.applicationId, tuple(formats))
+    parsed = messages.select("value").withColumn("_fmt", message_format()).select(*cols)
+    # staged, so that each message is checked and typed once
+    parsed = parsed.withColumn("_ok", ok_col).withColumn("_s", typed)
+    return Decoded(parsed.select("value", spans.alias("spans"), reason.alias("reason")))
+
+
+@functools.lru_cache(maxsize=8)
+def _decoding(app: str, formats: tuple[str, ...]) -> tuple[list[Column], Column, Column, Column, Column]:
+    """The columns of :func:`decode_messages`, built once for an application ``app``: a stream decodes every micro-batch by them."""
     fmt = F.col("_fmt")
     is_json = fmt == FMT_JSON if FMT_JSON in formats else F.lit(False)
     thrift_fmts = [f for f in (FMT_THRIFT_LIST, FMT_THRIFT) if f in formats]
     is_thrift = fmt.isin(*thrift_fmts) if thrift_fmts else F.lit(False)
 
-    if thrift_fmts:
-        ship_package(messages.sparkSession)
     text = F.expr("make_valid_utf8(cast(value as string))")
     # The parser stops after the first value. A text that is one value both as a field and as the only element of a
     # list has nothing behind that value: whatever would end one of them early is an error in the other.
@@ -273,16 +285,13 @@ def decode_messages(messages: DataFrame, formats: tuple[str, ...] = (FMT_JSON, F
     cols = [F.col("value"), fmt, F.when(is_json & alone, field).alias("_p")]
     if thrift_fmts:
         cols.append(_thrift_udf(F.when(is_thrift, F.col("value"))).alias("_t"))
-    parsed = messages.select("value").withColumn("_fmt", message_format()).select(*cols)
 
-    # staged, so that each message is checked and typed once
-    checked = parsed.withColumn("_ok", is_json & F.coalesce(F.col("_p").isNotNull() & F.forall("_p", _span_ok), F.lit(False)))
-    parsed = checked.withColumn("_s", F.when(F.col("_ok"), F.transform("_p", _span_typed)))
+    checked = is_json & F.coalesce(F.col("_p").isNotNull() & F.forall("_p", _span_ok), F.lit(False))
+    typed = F.when(F.col("_ok"), F.transform("_p", _span_typed))
     ok = F.coalesce(F.forall("_s", _tags_ok), F.lit(False))
     spans = F.when(is_json & ok, F.col("_s"))
     reason = F.when(is_json & ~ok, F.lit(BAD_JSON))
     if thrift_fmts:
         spans = spans.when(is_thrift, F.col("_t.spans"))
         reason = reason.when(is_thrift, F.col("_t.reason"))
-    per_message = parsed.select("value", spans.alias("spans"), reason.alias("reason"))
-    return Decoded(per_message)
+    return cols, checked, typed, spans, reason

@@ -143,6 +143,7 @@ class _StreamReader(DataSourceStreamReader):
     def __init__(self, folder: str, limit: int | None, progress: str | None = None):
         self.folder, self.limit = folder, limit
         self.progress = Records(progress) if progress else None
+        self.found: list[tuple[str, int]] = []  # segments as they were when last looked for
         self.last: dict | None = None  # the end of the newest batch, as far as this query has told
         if self.progress:
             known = listed(progress, ".json")
@@ -152,9 +153,13 @@ class _StreamReader(DataSourceStreamReader):
         return {"segment": "", "at": 0}
 
     def latestOffset(self) -> dict:
+        """Where the next batch ends; the folder is looked into only if it may go beyond the segments that are known to be whole."""
         last = self.last or {"segment": "", "at": 0}
         left = self.limit if self.last is not None else None
-        found = [(n, s) for n, s in segments(self.folder) if n >= last["segment"]]
+        known = sum(s for n, s in self.found[:-1] if n >= last["segment"]) - last["at"]
+        if left is None or known < left:
+            self.found = [(n, s) for n, s in segments(self.folder) if n >= last["segment"]]
+        found = self.found = [(n, s) for n, s in self.found if n >= last["segment"]]
         end = last
         for i, (name, size) in enumerate(found):
             start = last["at"] if name == last["segment"] else 0
@@ -184,7 +189,9 @@ class _StreamReader(DataSourceStreamReader):
                 if old < f"{name}.json":
                     remove(f"{self.progress.uri}/{old}")
         found = []
-        for name, size in segments(self.folder):
+        # a replayed batch may begin or end elsewhere than in the segments that this reader has seen
+        seen = {n for n, _ in self.found} >= {start["segment"], end["segment"]}
+        for name, size in self.found if seen else segments(self.folder):
             if start["segment"] <= name <= end["segment"]:
                 a = start["at"] if name == start["segment"] else 0
                 b = end["at"] if name == end["segment"] else size
