@@ -324,3 +324,39 @@ def test_repetitive_texts_cost_as_much_as_others(token, text):
     tracemalloc.stop()
     assert {(f[0], f[2]) for f in found} == ({(0, 0)} if decontam.plain(token * 100) in plain else set())
     assert taken < 30 and most < 500e6
+
+
+def test_plain_form_is_letters_and_digits_with_single_spaces():
+    import re
+
+    def whole(text):
+        return re.sub(r"[\W_]+", " ", text.lower()).strip()
+
+    signs = [chr(i) for i in [*range(0x250), 0x130, 0x2028, 0x3000, 0x660, 0x1F600]]
+    rng = random.Random(3)
+    texts = [f"a{c}B" for c in signs] + ["".join(rng.choices(signs if k % 2 else signs[:128], k=9)) for k in range(2000)]
+    assert [decontam.plain(t) for t in texts] == [whole(t) for t in texts]
+    assert decontam.plain(None) == decontam.plain("") == decontam.plain(" _-") == ""
+
+
+def test_bands_counted_in_parts_are_those_counted_at_once():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abc", k=4)) for _ in range(12)]
+    items = [(i, " ".join(rng.choices(words, k=40))) for i in range(5)]
+    texts = [" ".join(rng.choices(words, k=80)) + " " + items[i % 5][1] for i in range(6)] + ["zzzzzzzz " * 20]
+    found = [list(decontam.Index(items, decontam.Settings(entries=n)).search(texts)) for n in (7, 500_000)]
+    assert found[0] == found[1] and {f[0] for f in found[0]} == set(range(6))
+    assert not list(decontam.Index(items, decontam.Settings()).search(["zzzzzzzz " * 20]))
+
+
+def test_links_of_many_partitions_need_few_rounds(spark, monkeypatch):
+    from tracewright.llm import components
+
+    n, written = 2000, []
+    path = [(i, i + 1) for i in range(n)] + [(n + 10, n + 11)]
+    random.Random(5).shuffle(path)
+    kept = components.stored
+    monkeypatch.setattr(components, "stored", lambda df, name: written.append(name) or kept(df, name))
+    found = component_labels(spark.createDataFrame(path, "a long, b long").repartition(16))
+    assert {r.node: r.label for r in found.collect()} == {i: 0 for i in range(n + 1)} | {n + 10: n + 10, n + 11: n + 10}
+    assert len(written) <= 14

@@ -153,7 +153,7 @@ def near_duplicates(
 def rooted_prints(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """:func:`near_duplicates` with ``root``, a fingerprint that names the component; two components may have one smallest id."""
     prints = stored(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    firsts = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-firsts")
     labels = component_labels(links(firsts.select("fp"), max_bits))
     # Of each component the smallest first id; a fingerprint without links is its own component. Both sides of the join
     # are tables, so that Spark can split the partition of a component with very many fingerprints.
