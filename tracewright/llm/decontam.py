@@ -61,7 +61,9 @@ class Settings:
     batch_chars: int = 1 << 20
 
 
-_GAP = re.compile(r"[\W_]+")
+_GAP = re.compile(r"(?:[^\w ]|_)+")
+#: What each ASCII character is in plain form.
+_ASCII = bytes(ord(chr(i).lower()) if chr(i).isascii() and chr(i).isalnum() else 32 for i in range(256))
 _RUN = re.compile(r"[^\W_]+")
 #: Multiplier of the rolling q-gram code.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -69,7 +71,11 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 def plain(text: str | None) -> str:
     """Lower-case letters and digits, one space between runs."""
-    return _GAP.sub(" ", text.lower()).strip() if text else ""
+    if not text:
+        return ""
+    if text.isascii():
+        return b" ".join(text.encode().translate(_ASCII).split()).decode()
+    return " ".join(_GAP.sub(" ", text.lower()).split())
 
 
 def places(text: str) -> np.ndarray:
@@ -151,7 +157,7 @@ class Grams:
         same = self.codes[np.minimum(slot, len(self.codes) - 1)] == codes[at]
         at, slot = at[same], slot[same]
         many = self.stop[slot] - self.first[slot]
-        edges, changes = [none], [none]
+        found: list[tuple[np.ndarray, np.ndarray]] = []  # ends of intervals, and how much the count changes there
         for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(np.cumsum(many) // self.s.entries)) + 1):
             size = many[part]
             entry = np.repeat(self.first[slot[part]] - np.cumsum(size) + size, size) + np.arange(size.sum())
@@ -160,14 +166,18 @@ class Grams:
             shift, base = self.shift[owner], owner << 40
             opens = base + ((where - self.high[entry]) >> shift)  # band ``b`` is numbered b + 1 and covers the steps b, b + 1
             closes = base + ((where - self.low[entry]) >> shift) + 2
-            for found, sign in ((opens, 1), (closes, -1)):
-                edge, times = np.unique(found, return_counts=True)
-                edges.append(edge)
-                changes.append(sign * times)
-        edge, turn = np.unique(np.concatenate(edges), return_inverse=True)
+            ends = np.sort(np.concatenate([opens * 2, closes * 2 + 1]))
+            total = np.cumsum(1 - 2 * (ends & 1))
+            ends >>= 1
+            last = np.flatnonzero(np.append(ends[1:] != ends[:-1], True)[: len(ends)])
+            found.append((ends[last], np.diff(total[last], prepend=0)))
+        edge, change = found[0]
+        if len(found) > 1:
+            edge, turn = np.unique(np.concatenate([e for e, _ in found]), return_inverse=True)
+            change = np.bincount(turn, np.concatenate([c for _, c in found]), len(edge)).astype(np.int64)
         if not len(edge):
             return none, none, none
-        counts = np.cumsum(np.bincount(turn, np.concatenate(changes), len(edge)))[:-1]
+        counts = np.cumsum(change)[:-1]
         run = np.flatnonzero((counts >= self.bound[edge[:-1] >> 40]) & (counts > 0))
         long = edge[run + 1] - edge[run]
         band = np.repeat(edge[run] - np.cumsum(long) + long, long) + np.arange(long.sum())
