@@ -1,6 +1,9 @@
 """Operators across micro-batches, whole-trace adjusters in user code, and isolation of what fails at run time."""
 
+import os
+
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from helpers import ann, df_of, rows, span, tag
@@ -12,9 +15,10 @@ from tracewright.operators.trace import sample_traces, trace_sessions
 from tracewright.operators.whole_trace import TraceAdjuster, trace_adjuster
 from tracewright.plans.live import _merge_facts, _raising, _trace_facts
 from tracewright.schema import SPAN_COLUMNS, SPAN_SCHEMA
+from tracewright.sources.files import span_stream
 from tracewright.sources.fixtures import stored_spans
 from tracewright.streaming.job import process_batch
-from tracewright.streaming.live import BatchTables, LatencyReport, LiveLinks, LiveSessions, MergingLog, TailSampler
+from tracewright.streaming.live import BatchTables, LatencyReport, LiveLinks, LiveSessions, MergingLog, TailSampler, run_live
 from tracewright.streaming.sinks import SinkConfig, read_sink
 
 SF = "/root/testdata/sf0.001"
@@ -261,3 +265,29 @@ def test_a_live_batch_is_written_and_read_by_many_tasks(spark, tmp_dir, monkeypa
     for k in range(3):
         made, tasks, ids = seen[k]
         assert made == k and tasks > 1 and ids == [i for i in range(1, 61) if i % 3 == k]
+
+
+def test_a_live_batch_is_read_by_columns_and_not_from_memory(spark, tmp_dir):
+    """A cached batch is read whole by as many tasks as there are cached partitions, however large they are."""
+    df_of(spark, [span(id=i, name=f"n{i}") for i in range(1, 61)]).coalesce(1).write.parquet(f"{tmp_dir}/in")
+    spark.catalog.clearCache()
+    seen = []
+
+    def operator(batch, number):
+        ids = batch.select("id")
+        plan = ids._jdf.queryExecution().executedPlan().toString()
+        seen.append((number, sorted(r.id for r in ids.collect()), plan, len(spark.sparkContext._jsc.sc().getRDDStorageInfo()), batch.inputFiles()))
+
+    def failing(batch, number):
+        seen.append(batch.inputFiles())
+        raise ValueError("no")
+
+    run_live(span_stream(spark, f"{tmp_dir}/in"), [operator, operator], f"{tmp_dir}/checkpoint", available_now=True).awaitTermination()
+    for number, ids, plan, cached, files in seen:
+        assert number == 0 and ids == list(range(1, 61))
+        assert cached == 0 and "InMemoryTableScan" not in plan and "ReadSchema: struct<id:bigint>" in plan
+        assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)  # gone after the batch
+    assert len(seen) == 2
+    with pytest.raises(StreamingQueryException):
+        run_live(span_stream(spark, f"{tmp_dir}/in"), [failing], f"{tmp_dir}/checkpoint-2", available_now=True).awaitTermination()
+    assert seen[-1] and not any(os.path.exists(f.removeprefix("file://")) for f in seen[-1])

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,11 +82,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared checkpoint folder and read back: computed once, and a lineage cut that outlives executors."""
+    return _written(df, scratch_path(df.sparkSession, name))
+
+
+@contextmanager
+def held(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` as :func:`stored` gives it, for a ``with`` block; its files go at the end.
+
+    A cached partition is read whole, as rows that take many times the bytes of their file, by one task. Of a stored one, tasks
+    read the columns they need, and several share a large file.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    try:
+        yield _written(df, path)
+    finally:
+        remove(df.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Takes away a folder of any file system, if it is there."""
+    old = spark._jvm.org.apache.hadoop.fs.Path(path)
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -22,7 +22,7 @@ from tracewright.functions.ids import trace_key
 from tracewright.functions.spans import has_error_tag, span_service
 from tracewright.operators.report import latency_counts, latency_of, merged_counts
 from tracewright.schema import SPAN_SCHEMA, TRACE_COLS
-from tracewright.session import stored
+from tracewright.session import held, remove, stored
 from tracewright.sources.shared import Records
 
 #: An operator takes the spans of a micro-batch and its number; numbers have no gaps.
@@ -58,8 +58,7 @@ class BatchTables:
 
     def forget(self, name: str, batch: int) -> None:
         """Takes away the version before the one that a replay of ``batch`` needs."""
-        old = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name, batch - 2))
-        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+        remove(self.spark, self.path(name, batch - 2))
 
 
 class MergingLog:
@@ -260,15 +259,12 @@ class TailSampler:
 
 # ------------------------------------------------------------------ run -----
 def run_live(spans: DataFrame, operators: Sequence[LiveOperator], checkpoint: str, available_now: bool = False, interval_ms: int = 10_000) -> StreamingQuery:
-    """Starts a query that gives each micro-batch of a stream of spans to all ``operators``."""
+    """Starts a query that gives each micro-batch of a stream of spans to all ``operators``, which read it while they run."""
 
     def consume(batch: DataFrame, number: int) -> None:
-        held = batch.persist()
-        try:
+        with held(batch, "live-batch") as stored_batch:
             for operator in operators:
-                operator(held, number)
-        finally:
-            held.unpersist()
+                operator(stored_batch, number)
 
     writer = spans.writeStream.foreachBatch(consume).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{interval_ms} milliseconds")
