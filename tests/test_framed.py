@@ -3,6 +3,7 @@
 import os
 import random
 import struct
+import time
 
 import pytest
 
@@ -36,6 +37,13 @@ def test_frames_of_any_range_and_size(tmp_dir, monkeypatch):
     assert whole_frames(tmp_dir, "segment-0", 0, size - 1) == found[-1][0] == whole_frames(tmp_dir, "segment-0", found[5][0], size - 1)
 
 
+def test_small_frames_cost_as_much_as_their_bytes(tmp_dir):
+    put(tmp_dir, "segment-0", frame(b"12345678") * 200_000)
+    began = time.process_time()
+    assert sum(1 for _ in frames(tmp_dir, Range("segment-0", 0, 2_400_000))) == 200_000
+    assert time.process_time() - began < 3  # a copy of what is left of the block for each frame takes far longer
+
+
 @pytest.mark.parametrize("tail", [struct.pack(">i", -5) + b"xyz", struct.pack(">i", 2**30) + b"xyz", struct.pack(">i", 50) + b"xyz", b"\x00\x00"])
 def test_a_broken_frame_ends_among_the_dead_letters(spark, tmp_dir, tail):
     put(tmp_dir, "segment-000", frame(b"[]") + tail)

@@ -75,6 +75,31 @@ def test_kafka_settings():
     assert KafkaSettings(bootstrap_servers="k:1", topic="", group_id="").options()["subscribe"] == "spans"
 
 
+def test_a_batch_is_three_jobs_of_the_group_that_stops_it(spark, tmp_dir):
+    sc = spark.sparkContext
+    msgs = spark.createDataFrame([(b'[{"traceId":"a","id":"b"}]',), (b"not spans",)], "value binary").repartition(2).localCheckpoint()
+    sc.setJobGroup("one-batch", "a batch")
+    try:
+        n = process_batch(msgs, 0, [A.finagle_adjuster()], SinkConfig("parquet", f"{tmp_dir}/s"), SinkConfig("parquet", f"{tmp_dir}/d"))
+    finally:
+        sc._jsc.clearJobGroup()
+    assert n == 1 and [r.reason for r in spark.read.parquet(f"{tmp_dir}/d").collect()] == ["bad_thrift"]
+    jobs = sc.statusTracker().getJobIdsForGroup("one-batch")
+    assert len(jobs) == 3  # one decodes and counts, one writes spans, one writes dead letters
+
+
+def test_a_job_decodes_in_the_plan_of_its_stream(spark, tmp_dir, monkeypatch):
+    from tracewright.streaming import job
+
+    decoded = []
+    monkeypatch.setattr(job, "decode_messages", lambda messages, f=job.decode_messages: decoded.append(messages.isStreaming) or f(messages))
+    for k in range(3):
+        spark.createDataFrame([(b'[{"traceId":"a","id":"%d"}]' % (k + 1),)], "value binary").write.mode("append").parquet(f"{tmp_dir}/in")
+    cfg = JobConfig(source=lambda s: message_stream(s, f"{tmp_dir}/in", max_files_per_trigger=1), sink=SinkConfig("parquet", f"{tmp_dir}/out"), checkpoint_location=f"{tmp_dir}/ck")
+    assert run_to_completion(spark, cfg).lastProgress["batchId"] >= 1
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 3 and decoded == [True]
+
+
 def test_process_batch_decodes_adjusts_and_writes(spark, tmp_dir):
     from tracewright.sources.messages import span_json_struct
 

@@ -73,26 +73,28 @@ def frames(folder: str, part: Range) -> Iterator[tuple[int, bytes]]:
     system, path = place(f"{folder}/{part.segment}")
     with system.open_input_file(path) as f:
         f.seek(part.start)
-        at, held = part.start, b""
+        at, held, used = part.start, b"", 0  # what was read from ``at`` on is held[used:]
 
         def filled(n: int) -> bool:
-            nonlocal held
-            while len(held) < n and f.tell() < part.stop:
+            nonlocal held, used
+            if len(held) - used < n:
+                held, used = held[used:], 0
+            while len(held) - used < n and f.tell() < part.stop:
                 more = f.read(min(max(BLOCK, n - len(held)), part.stop - f.tell()))
                 if not more:
                     break
                 held += more
-            return len(held) >= n
+            return len(held) - used >= n
 
         while at < part.stop:
-            length = _HEAD.unpack_from(held)[0] if filled(_HEAD.size) else -1
+            length = _HEAD.unpack_from(held, used)[0] if filled(_HEAD.size) else -1
             size = _HEAD.size + length
             if not 0 <= length <= MOST or at + size > part.stop or not filled(size):
                 filled(part.stop - at)
-                yield at, held
+                yield at, held[used:]
                 return
-            yield at, held[_HEAD.size : size]
-            at, held = at + size, held[size:]
+            yield at, held[used + _HEAD.size : used + size]
+            at, used = at + size, used + size
 
 
 def whole_frames(folder: str, segment: str, start: int, size: int) -> int:

@@ -14,11 +14,13 @@ from __future__ import annotations
 
 import functools
 import logging
+import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,7 +28,7 @@ from tracewright.operators.adjust import Adjuster, chain
 from tracewright.operators.decode import Decoded, decode_messages
 from tracewright.session import scratch_path
 from tracewright.streaming.live import LiveOperator
-from tracewright.streaming.sinks import SinkConfig, check_sink, write_dead_letters, write_spans
+from tracewright.streaming.sinks import FILE_BACKENDS, SinkConfig, check_sink, write_dead_letters, write_spans
 
 log = logging.getLogger(__name__)
 
@@ -64,48 +66,90 @@ def process_batch(
 
     ``live`` operators get every batch, also one without spans, as their tables go on from batch to batch.
     """
-    # Decoding is one pass; both writes read its persisted result, which keeps
-    # the payload of malformed messages only.
-    decoded = decode_messages(batch)
-    kept = decoded.per_message.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
-    per_message = kept.persist(StorageLevel.MEMORY_AND_DISK)
+    return process_decoded(_per_message(batch), batch_id, adjusters, sink, dead_letter_sink, span_filter, live)
+
+
+def _per_message(messages: DataFrame) -> DataFrame:
+    """Messages decoded in one pass, for both writes; the payload is kept of malformed ones only."""
+    decoded = decode_messages(messages).per_message
+    return decoded.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+
+
+def process_decoded(
+    decoded: DataFrame,
+    batch_id: int,
+    adjusters: Sequence[Adjuster],
+    sink: SinkConfig,
+    dead_letter_sink: SinkConfig | None = None,
+    span_filter: Callable[[], Column] | None = None,
+    live: Sequence[LiveOperator] = (),
+) -> int:
+    """What :func:`process_batch` does, from a micro-batch of decoded messages on.
+
+    While one job decodes and counts, the spans' plan is made; dead letters are written beside the spans.
+    """
+    per_message = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+    beside = _beside(decoded.sparkSession)
     try:
-        # one job fills the cache and counts both outputs (C3: skip empty writes)
-        counts = per_message.agg(
-            F.coalesce(F.sum(F.size(F.coalesce("spans", F.array()))), F.lit(0)).alias("spans"),
-            F.count("reason").alias("dead"),
-        ).first()
         d = Decoded.from_per_message(per_message)
-        n = 0
-        if counts["spans"] > 0:
-            spans = d.spans
-            if span_filter is not None:
-                spans = spans.filter(span_filter())
-            n = _write_adjusted(spans, list(adjusters), sink, batch_id, dead_letter_sink)
-        if live:
+        with ThreadPoolExecutor(1) as other:
+            counting = other.submit(beside(_counts), per_message)
             spans = d.spans if span_filter is None else d.spans.filter(span_filter())
-            adjusted = chain(list(adjusters))(spans).persist(StorageLevel.MEMORY_AND_DISK)
-            for operator in live:
-                operator(adjusted, batch_id)
-            adjusted.unpersist()
-        if counts["dead"] > 0:
-            if dead_letter_sink is not None:
-                write_dead_letters(d.dead_letters, dead_letter_sink, batch_id)
-            else:
-                log.warning("batch %d: %d malformed messages dropped, no dead-letter sink is set", batch_id, counts["dead"])
+            adjusted = chain(list(adjusters))(spans)
+            n_spans, n_dead = counting.result()
+            dead = functools.partial(write_dead_letters, sink=dead_letter_sink, batch_id=batch_id)
+            writing = other.submit(beside(dead), d.dead_letters) if n_dead > 0 and _lies_apart(dead_letter_sink, sink) else None
+            n = 0
+            if n_spans > 0:
+                n = _write_adjusted(spans, adjusted, list(adjusters), sink, batch_id, dead_letter_sink)
+            if live:
+                adjusted = adjusted.persist(StorageLevel.MEMORY_AND_DISK)
+                for operator in live:
+                    operator(adjusted, batch_id)
+                adjusted.unpersist()
+            if writing is not None:
+                writing.result()
+            elif n_dead > 0 and dead_letter_sink is not None:
+                dead(d.dead_letters)
+            elif n_dead > 0:
+                log.warning("batch %d: %d malformed messages dropped, no dead-letter sink is set", batch_id, n_dead)
         return n
     finally:
         per_message.unpersist()
 
 
-def _write_adjusted(spans: DataFrame, adjusters: list[Adjuster], sink: SinkConfig, batch_id: int, dead_letter_sink: SinkConfig | None) -> int:
+def _counts(per_message: DataFrame) -> tuple[int, int]:
+    """Spans and dead letters (C3: skip empty writes); the one job that counts them also fills the cache.
+
+    They are observed, as an aggregate would add a shuffle, with two more jobs, to each micro-batch.
+    """
+    seen = Observation(f"decoded_{time.monotonic_ns()}")
+    spans = F.coalesce(F.sum(F.size(F.coalesce("spans", F.array()))), F.lit(0))
+    per_message.observe(seen, spans.alias("spans"), F.count("reason").alias("dead")).write.format("noop").mode("overwrite").save()
+    return seen.get["spans"], seen.get["dead"]
+
+
+def _beside(spark: SparkSession) -> Callable[[Callable], Callable]:
+    """Makes a function run in another thread as in this one, with the job group that a stopping query cancels."""
+    inherit = inheritable_thread_target(spark)
+    return inherit if callable(inherit) else lambda f: f  # where threads of Python and the JVM are not paired
+
+
+def _lies_apart(dead_letters: SinkConfig | None, sink: SinkConfig) -> bool:
+    """Whether dead letters may be written before the spans are: a batch that is replayed after a failure replaces its own folder of them."""
+    return dead_letters is not None and dead_letters.kind in FILE_BACKENDS and dead_letters.path != sink.path
+
+
+def _write_adjusted(
+    spans: DataFrame, adjusted: DataFrame, adjusters: list[Adjuster], sink: SinkConfig, batch_id: int, dead_letter_sink: SinkConfig | None
+) -> int:
     """Writes the adjusted batch; adjusters whose plans fail at run time are left out of it.
 
     Adjusters made by ``conditional`` and ``python_adjuster`` isolate single spans themselves; this is for any others.
     """
     write = functools.partial(write_spans, sink=sink, batch_id=batch_id, known_non_empty=True, rows_for_dead_letters=spans)
     try:
-        return write(chain(adjusters)(spans))
+        return write(adjusted)
     except RuntimeError:
         kept = _runnable(spans, adjusters)
         if len(kept) == len(adjusters) and dead_letter_sink is None:
@@ -141,10 +185,11 @@ def run_job(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     ckpt = ckpt or scratch_path(spark, "job-checkpoint")
     adjusters = list(config.adjusters)
 
-    def consume(batch_df: DataFrame, batch_id: int) -> None:
-        process_batch(batch_df, batch_id, adjusters, config.sink, config.dead_letter_sink, config.span_filter, config.live)
+    def consume(decoded: DataFrame, batch_id: int) -> None:
+        process_decoded(decoded, batch_id, adjusters, config.sink, config.dead_letter_sink, config.span_filter, config.live)
 
-    writer = config.source(spark).writeStream.foreachBatch(consume).option("checkpointLocation", ckpt)
+    # decoding stands in the stream's own plan, which is analysed once and not for each batch
+    writer = _per_message(config.source(spark)).writeStream.foreachBatch(consume).option("checkpointLocation", ckpt)
     if config.available_now:
         writer = writer.trigger(availableNow=True)
     else:
